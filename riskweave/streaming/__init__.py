@@ -1,0 +1 @@
+"""Intentionally empty: every step of a risk-adjustment run is a batch step."""
