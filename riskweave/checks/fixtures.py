@@ -117,7 +117,7 @@ def cpt_list(spark: SparkSession) -> DataFrame:
 
 
 def weights(spark: SparkSession, spec: ModelSpec) -> DataFrame:
-    labels = F.array(*map(F.lit, spec.labels))
+    labels = F.expr("array(" + ", ".join(f"'{label}'" for label in spec.labels) + ")")
     numbered = spark.sql(WEIGHTS).where(F.col("i") <= len(spec.labels))
     return ingest.weights(
         numbered.select("lookup_key", F.element_at(labels, F.col("i")).alias("variable"), "coef")

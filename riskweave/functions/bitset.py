@@ -50,13 +50,27 @@ def bit_of_number(number: str, word: int) -> str:
     )
 
 
+def mask_if_bit(word: str, bit: int, mask: int) -> str:
+    """``mask`` when the bit of the word is 1, else 0, without a branch.
+
+    Minus one is all ones.  Dozens of branches would push the generated method beyond the
+    size the JVM compiles.
+    """
+    return f"(-(shiftright({word}, {bit}) & 1L) & {mask}L)"
+
+
+def bit_if(test: str, bit: int) -> str:
+    """The bit when a test that is never NULL holds, else 0."""
+    return f"shiftleft(cast({test} as bigint), {bit})"
+
+
 def drop_children(source: str, drops: dict[int, tuple[int, ...]], word: int) -> str:
     """One word of the set after every present parent has removed its children.
 
     All parents are read from the undropped ``source``, so the order of rules is irrelevant.
     """
     removed = [
-        f"case when {any_of(source, [parent])} then {mask}L else 0L end"
+        mask_if_bit(f"{source}_{parent // WORD_BITS}", parent % WORD_BITS, mask)
         for parent, children in drops.items()
         if (mask := masks(children)[word])
     ]

@@ -29,6 +29,7 @@ def lookup_join(
     how: str,
     spread_by: Sequence[Column | str],
     facts_are_set: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join facts with a reference table without letting a hot key pile up in one task.
 
@@ -37,9 +38,10 @@ def lookup_join(
     every reference row copied to each salt, so one key is spread over many tasks.  The salt
     is a hash of the row, not a random number: a re-run task sends rows to the same place.
     ``facts_are_set`` says that copies of a fact row do not matter to the caller, so they are
-    removed before that shuffle.
+    removed before that shuffle.  ``counted`` is a frame with at least the rows of the
+    reference that is cheaper to count, usually the table it is derived from.
     """
-    if fits_broadcast(reference):
+    if fits_broadcast(reference if counted is None else counted):
         return facts.join(F.broadcast(reference), list(on), how)
     salts = _setting(facts, "join.salts", SALTS)
     if facts_are_set:

@@ -52,9 +52,10 @@ def dx_to_hcc(dx: DataFrame, mapping: DataFrame) -> DataFrame:
         F.col("hcc").between(0, MAX_LABELLED), F.format_string("HCC%03d", F.col("hcc"))
     )
     labels = mapping.where(F.col("hcc").isNotNull()).select("diag", label.alias("hcc"))
-    return lookup_join(dx, labels, ["diag"], "inner", spread_by=["hicn"]).select(
-        "hicn", "diag", "hcc"
+    joined = lookup_join(
+        dx, labels, ["diag"], "inner", spread_by=["hicn"], counted=mapping
     )
+    return joined.select("hicn", "diag", "hcc")
 
 
 def _sets_by_person(rows: DataFrame) -> DataFrame:
@@ -84,7 +85,8 @@ def condition_sets(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFr
         .agg(*(F.bit_or(w).alias(w) for w in word_names("pre")))
     )
     joined = lookup_join(
-        dx, by_diagnosis, ["diag"], "inner", spread_by=["hicn"], facts_are_set=True
+        dx, by_diagnosis, ["diag"], "inner",
+        spread_by=["hicn"], facts_are_set=True, counted=mapping,
     )
     return _sets_by_person(joined)
 

@@ -36,7 +36,7 @@ def _code_lines(claims: DataFrame, *extra: Column) -> DataFrame:
 def _with_listed_line(lines: DataFrame, cpt: DataFrame) -> DataFrame:
     matched = lookup_join(
         _code_lines(lines), _listed(cpt), _CODE_AND_YEAR, "left_semi",
-        spread_by=[CLAIM], facts_are_set=True,
+        spread_by=[CLAIM], facts_are_set=True, counted=cpt,
     )
     return matched.select(CLAIM).distinct()
 
@@ -70,7 +70,8 @@ def eligible_claims(claims: DataFrame, cpt: DataFrame) -> DataFrame:
     lines = _code_lines(claims.where(needs_code | inpatient), inpatient.alias("inpatient"))
     listed = _listed(cpt).withColumn("listed", F.lit(True))
     matched = lookup_join(
-        lines, listed, _CODE_AND_YEAR, "left", spread_by=[CLAIM], facts_are_set=True
+        lines, listed, _CODE_AND_YEAR, "left",
+        spread_by=[CLAIM], facts_are_set=True, counted=cpt,
     )
     return matched.where("inpatient or listed").select(CLAIM).distinct()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.bitset import any_of
+from riskweave.functions.bitset import any_of, bit_if
 from riskweave.models import (
     AGE_BANDS,
     AGE_SPLIT_BY_ENTITLEMENT,
@@ -58,7 +58,8 @@ def dual_status_class(code: Column | str) -> Column:
 def age_disabled(person: DataFrame, spec: ModelSpec) -> DataFrame:
     """Adds age on the model's age date (days / 365.25, rounded down) and disabled 0/1."""
     days = F.datediff(F.lit(spec.age_date), "dob")
-    age = F.floor(days / F.lit("365.25").cast("decimal(5,2)")).cast("int")
+    # 365.25 is exact in binary, so whole quotients are exact and none is rounded up to one.
+    age = F.floor(days / F.lit(365.25)).cast("int")
     return person.withColumn("age", age).withColumn(
         "disabled", F.expr("case when age < 65 and orec <> 0 then 1 else 0 end")
     )
@@ -91,19 +92,30 @@ def lookup_key(person: DataFrame) -> DataFrame:
 
 def _band_bits() -> str:
     """Bits 0..16: the bands an age falls in, before the sex is taken into account."""
-    suffixes = [band[0] for band in AGE_BANDS]
-    terms = []
-    for bit, (_, low, high, new_enrollee_only) in enumerate(AGE_BANDS):
-        test = f"age >= {low}" if high is None else f"age between {low} and {high}"
-        if new_enrollee_only:
-            test += f" and model = '{NEW_ENROLLEE_MODEL}'"
-        terms.append(f"case when {test} then {1 << bit}L else 0L end")
-    other, old_age = (1 << suffixes.index(s) for s in (BAND_AT_SPLIT_OTHER, BAND_AT_SPLIT_OLD_AGE))
-    terms.append(
-        f"case when age = {AGE_SPLIT_BY_ENTITLEMENT} and orec <> 0 then {other}L"
-        f" when age = {AGE_SPLIT_BY_ENTITLEMENT} and orec = 0 then {old_age}L else 0L end"
+    bit_of = {band[0]: bit for bit, band in enumerate(AGE_BANDS)}
+
+    def ages(low: int, high: int | None) -> str:
+        return f"age >= {low}" if high is None else f"age between {low} and {high}"
+
+    def cases(new_enrollee_only: bool) -> str:
+        return " ".join(
+            f"when {ages(low, high)} then {1 << bit_of[suffix]}L"
+            for suffix, low, high, only in AGE_BANDS
+            if only == new_enrollee_only
+        )
+
+    split = (
+        f"when age = {AGE_SPLIT_BY_ENTITLEMENT} and orec = 0"
+        f" then {1 << bit_of[BAND_AT_SPLIT_OLD_AGE]}L"
+        f" when age = {AGE_SPLIT_BY_ENTITLEMENT} and orec <> 0"
+        f" then {1 << bit_of[BAND_AT_SPLIT_OTHER]}L"
+    )
+    # The bands of each kind exclude one another, so one case serves all of a kind.
+    return (
+        f"(case {cases(False)} {split} else 0L end"
+        f" | case when model = '{NEW_ENROLLEE_MODEL}' then case {cases(True)} else 0L end"
+        " else 0L end)"
     )
-    return " | ".join(terms)
 
 
 def demographic_bits() -> str:
@@ -113,11 +125,10 @@ def demographic_bits() -> str:
         f"when {sex} then {i * len(AGE_BANDS)}" for i, (_, sex) in enumerate(SEX_PREFIXES)
     )
     bands = f"coalesce(shiftleft({_band_bits()}, case sex {shifts} end), 0L)"
-    originally = [
-        f"when orec = 1 and sex = {sex} then {1 << labels.index(label)}L"
-        for label, sex in ORIGINALLY_DISABLED
-    ]
-    return f"({bands} | case {' '.join(originally)} else 0L end)"
+    originally = " ".join(
+        f"when {sex} then {1 << labels.index(label)}L" for label, sex in ORIGINALLY_DISABLED
+    )
+    return f"({bands} | case when orec = 1 then case sex {originally} else 0L end else 0L end)"
 
 
 def interaction_test(rule: Interaction, source: str) -> str:
@@ -125,7 +136,7 @@ def interaction_test(rule: Interaction, source: str) -> str:
     if rule.groups == NEVER:
         return "false"
     if rule.groups == INSTITUTIONAL_MEDICAID:
-        return f"(medicaid = 1 and model = '{INSTITUTIONAL_MODEL}')"
+        return f"coalesce(medicaid = 1 and model = '{INSTITUTIONAL_MODEL}', false)"
     tests = [any_of(source, group) for group in rule.groups]
     if rule.disabled_only:
         tests.append("disabled = 1")
@@ -136,7 +147,7 @@ def extra_bits(spec: ModelSpec, source: str) -> str:
     """SQL text of ``extra``: demographic bits and one bit per interaction."""
     first = len(demographic_labels())
     terms = [
-        f"case when {interaction_test(rule, source)} then {1 << (first + i)}L else 0L end"
+        bit_if(interaction_test(rule, source), first + i)
         for i, rule in enumerate(spec.interactions)
         if rule.groups != NEVER
     ]

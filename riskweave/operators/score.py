@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,16 +26,26 @@ def _variables(spec: ModelSpec) -> list[tuple[str, int, int]]:
     return demographics + categories + interactions
 
 
-def set_variables(spec: ModelSpec) -> Column:
-    """Array of (label, pos) of the variables that are 1, in report order."""
+def set_positions(spec: ModelSpec) -> Column:
+    """Ascending report positions (from 0) of the variables that are 1.
+
+    Written out instead of a lambda over a table of bits: inside a lambda the optimizer would
+    repeat the hierarchy expressions for every element.
+    """
     entries = ", ".join(
-        f"struct('{label}' as label, {pos} as pos, {word} as word, {bit} as bit)"
-        for pos, (label, word, bit) in enumerate(_variables(spec))
-    )
-    words = ", ".join([*(f"post_{w}" for w in range(WORDS)), EXTRA])
-    return F.expr(
-        f"filter(array({entries}), v -> getbit(array({words})[v.word], v.bit) = 1)"
+        f"if(getbit({f'post_{word}' if word < WORDS else EXTRA}, {bit}) = 1, {pos}, -1)"
+        for pos, (_, word, bit) in enumerate(_variables(spec))
     )
+    return F.expr(f"array_remove(array({entries}), -1)")
+
+
+def _texts(values: Iterable[str]) -> Column:
+    """Array literal."""
+    return F.expr("array(" + ", ".join(f"'{v}'" for v in values) + ")")
+
+
+def _label_at(spec: ModelSpec, position: Column) -> Column:
+    return F.get(_texts(spec.labels), position)
 
 
 def weight_vectors(weights: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -56,8 +68,7 @@ def weight_vectors(weights: DataFrame, spec: ModelSpec) -> DataFrame:
     by_key = single.groupBy("lookup_key").agg(
         F.map_from_entries(F.collect_list(entry)).alias("by_name")
     )
-    names = F.array(*map(F.lit, known))
-    coefs = F.transform(names, lambda name: F.element_at("by_name", name))
+    coefs = F.transform(_texts(known), lambda name: F.element_at("by_name", name))
     return by_key.select("lookup_key", coefs.alias("coefs")).where(
         F.forall("coefs", lambda c: c.isNotNull())
     )
@@ -65,16 +76,17 @@ def weight_vectors(weights: DataFrame, spec: ModelSpec) -> DataFrame:
 
 def scored(profiles: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
     """hicn, lookup_key, cms_risk_score and the variable labels, one row per person row."""
-    rows = profiles.select("hicn", "lookup_key", set_variables(spec).alias("variables"))
+    rows = profiles.select("hicn", "lookup_key", set_positions(spec).alias("positions"))
     joined = lookup_join(
-        rows, weight_vectors(weights, spec), ["lookup_key"], "left", spread_by=["hicn"]
+        rows, weight_vectors(weights, spec), ["lookup_key"], "left",
+        spread_by=["hicn"], counted=weights,
     )
-    units = F.expr("aggregate(variables, 0L, (total, v) -> total + coefs[v.pos])")
+    units = F.expr("aggregate(positions, 0L, (total, p) -> total + coefs[p])")
     return joined.withColumn("units", F.coalesce(units, F.lit(0))).select(
         "hicn",
         "lookup_key",
         F.expr(normalized_score("units", spec)).alias("cms_risk_score"),
-        F.col("variables.label").alias("variables"),
+        F.transform("positions", lambda p: _label_at(spec, p)).alias("variables"),
     )
 
 
@@ -85,9 +97,8 @@ def risk_score(profiles: DataFrame, weights: DataFrame, spec: ModelSpec) -> Data
 
 def bene_hcc(profiles: DataFrame, spec: ModelSpec) -> DataFrame:
     """(hicn, hcc): every variable of the person that is 1, after hierarchies."""
-    return profiles.select("hicn", F.explode(set_variables(spec)).alias("v")).select(
-        "hicn", F.col("v.label").alias("hcc")
-    )
+    positions = profiles.select("hicn", F.explode(set_positions(spec)).alias("p"))
+    return positions.select("hicn", _label_at(spec, F.col("p")).alias("hcc"))
 
 
 def bene_score(profiles: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskweave.models import V22, V23, ModelSpec
 from riskweave.operators import diagnosis, eds, hcc, score
 from riskweave.operators.person import prepare_person, require_unique
+from riskweave.session import tune
 from riskweave.sources.tables import materialize, write_table
 
 
@@ -27,6 +28,7 @@ def eligible_list(claims: DataFrame, cpt: DataFrame) -> DataFrame:
     A join with claim lines then has two plain scans below its shuffles, the form in which
     adaptive execution can split a claim number with a large share of the lines.
     """
+    tune(claims.sparkSession)
     return materialize(eds.eligible_claims(claims, cpt), "eds_all")
 
 
@@ -48,6 +50,7 @@ def profiles(
     and the person-level steps: every result is derived from them without going back to the
     claims, and repeated person rows can be split by adaptive execution.
     """
+    tune(eligibility.sparkSession)
     person = prepare_person(eligibility)
     if strict:
         require_unique(person)
