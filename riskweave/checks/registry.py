@@ -25,10 +25,12 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return person.age_disabled(_persons(spark, sf_dir), V22)
 
 
+def _eligible(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.eligible_list(fixtures.claim_lines(spark, sf_dir), fixtures.cpt_list(spark))
+
+
 def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fixtures.claim_lines(spark, sf_dir)
-    eligible = runs.eligible_list(lines, fixtures.cpt_list(spark))
-    return eds.flag_eds_eligible(fixtures.claims(spark, sf_dir), eligible)
+    return eds.flag_eds_eligible(fixtures.claims(spark, sf_dir), _eligible(spark, sf_dir))
 
 
 def _distinct_dx(spark: SparkSession, sf_dir: str, spec: ModelSpec) -> DataFrame:
@@ -45,7 +47,8 @@ def _profiles(spark: SparkSession, sf_dir: str, spec: ModelSpec) -> DataFrame:
     mapping = fixtures.mapping(spark)
     if spec is V22:
         return runs.profiles_v22(eligibility, claims, mapping)
-    return runs.profiles_v23(eligibility, _flagged(spark, sf_dir), claims, mapping)
+    eligible = _eligible(spark, sf_dir)
+    return runs.profiles_v23(eligibility, claims, claims, mapping, eligible=eligible)
 
 
 def _shared() -> dict[str, Query]:

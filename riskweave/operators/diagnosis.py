@@ -10,14 +10,15 @@ from riskweave.functions.codes import code_in, in_year
 from riskweave.functions.lookups import lookup_join
 from riskweave.models import SUBMISSION_PROVIDER_TYPES, ModelSpec
 
+CLAIM = "clm_cntl_num"
 MAX_LABELLED = 999
 
 
-def _diagnoses(lines: DataFrame, accepted: Column, year: int) -> DataFrame:
+def _diagnoses(lines: DataFrame, accepted: Column, year: int, *keep: str) -> DataFrame:
     """(hicn, diag without periods) of the accepted lines of one service year, with repeats."""
     usable = in_year("clm_thru_dt", year) & F.col("diag").isNotNull() & F.col("hicn").isNotNull()
     return lines.where(accepted & usable).select(
-        "hicn", F.replace("diag", F.lit("."), F.lit("")).alias("diag")
+        *keep, "hicn", F.replace("diag", F.lit("."), F.lit("")).alias("diag")
     )
 
 
@@ -26,13 +27,16 @@ def raps_diagnoses(claims: DataFrame, spec: ModelSpec) -> DataFrame:
     return _diagnoses(claims, F.col("raps_riskeligible") == 1, spec.service_year)
 
 
+def submitted_diagnoses(submissions: DataFrame, spec: ModelSpec) -> DataFrame:
+    """Diagnoses of inpatient submissions, with repeats."""
+    inpatient = code_in("provider_type", SUBMISSION_PROVIDER_TYPES)
+    return _diagnoses(submissions, inpatient, spec.service_year)
+
+
 def eds_raps_diagnoses(paid: DataFrame, submissions: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Diagnoses of encounter-eligible paid lines and of inpatient submissions, with repeats."""
+    """Diagnoses of paid lines flagged encounter-eligible and of inpatient submissions."""
     encounters = _diagnoses(paid, F.col("eds_riskeligible") == 1, spec.service_year)
-    submitted = _diagnoses(
-        submissions, code_in("provider_type", SUBMISSION_PROVIDER_TYPES), spec.service_year
-    )
-    return encounters.union(submitted)
+    return encounters.union(submitted_diagnoses(submissions, spec))
 
 
 def dx_raps(claims: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -71,12 +75,11 @@ def _number_words(number: str) -> list[Column]:
     return [F.expr(bit_of_number(number, w)).alias(f"pre_{w}") for w in range(WORDS)]
 
 
-def condition_sets(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFrame:
-    """(hicn, pre_0..pre_2): the model's categories of each person with any.
+def _mapped(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFrame:
+    """Diagnosis rows that map to a category of the model, with their categories as a set.
 
-    ``dx`` may repeat diagnoses: a set union is idempotent, so the distinct that would cost a
-    shuffle of its own is not needed.  The crosswalk is reduced to one set per diagnosis
-    first, so a diagnosis with several categories does not multiply rows.
+    The crosswalk is reduced to one set per diagnosis first, so a diagnosis with several
+    categories does not multiply rows.
     """
     of_model = mapping.where(F.col("hcc").isin(*spec.hccs))
     by_diagnosis = (
@@ -88,7 +91,34 @@ def condition_sets(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFr
         dx, by_diagnosis, ["diag"], "inner",
         spread_by=["hicn"], facts_are_set=True, counted=mapping,
     )
-    return _sets_by_person(joined)
+    return joined.drop("diag")
+
+
+def condition_sets(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFrame:
+    """(hicn, pre_0..pre_2): the model's categories of each person with any.
+
+    ``dx`` may repeat diagnoses: a set union is idempotent, so the distinct that would cost a
+    shuffle of its own is not needed.
+    """
+    return _sets_by_person(_mapped(dx, mapping, spec))
+
+
+def condition_sets_of_claims(
+    claims: DataFrame,
+    eligible: DataFrame,
+    submissions: DataFrame,
+    mapping: DataFrame,
+    spec: ModelSpec,
+) -> DataFrame:
+    """The sets of ``eds_raps_diagnoses`` from unflagged claims and the eligible claim list.
+
+    Only lines of the service year whose diagnosis maps to a category are shuffled to meet
+    the claim list, instead of all lines to be flagged.
+    """
+    lines = _diagnoses(claims, F.col(CLAIM).isNotNull(), spec.service_year, CLAIM)
+    encounters = _mapped(lines, mapping, spec).join(eligible.select(CLAIM), CLAIM, "left_semi")
+    submitted = _mapped(submitted_diagnoses(submissions, spec), mapping, spec)
+    return _sets_by_person(encounters.drop(CLAIM).unionByName(submitted))
 
 
 def condition_sets_of_labels(dx_hcc: DataFrame, spec: ModelSpec) -> DataFrame:

@@ -37,27 +37,32 @@ def flag_claims(claims: DataFrame, cpt: DataFrame) -> DataFrame:
     return eds.flag_eds_eligible(claims, eligible_list(claims, cpt))
 
 
-def profiles(
-    eligibility: DataFrame,
-    diagnoses: DataFrame,
-    mapping: DataFrame,
-    spec: ModelSpec,
-    strict: bool = False,
+def _profiles(
+    eligibility: DataFrame, sets: DataFrame, spec: ModelSpec, strict: bool
 ) -> DataFrame:
-    """Person profiles.
+    """Person profiles from the category sets.
 
-    The category sets, three numbers per person, are written between the scan of all claims
-    and the person-level steps: every result is derived from them without going back to the
-    claims, and repeated person rows can be split by adaptive execution.
+    The sets, three numbers per person, are written between the scan of all claims and the
+    person-level steps: every result is derived from them without going back to the claims,
+    and repeated person rows can be split by adaptive execution.
     """
     tune(eligibility.sparkSession)
     person = prepare_person(eligibility)
     if strict:
         require_unique(person)
-    sets = materialize(
-        diagnosis.condition_sets(diagnoses, mapping, spec), f"condition_sets_{spec.version}"
-    )
-    return hcc.profile(person, sets, spec)
+    return hcc.profile(person, materialize(sets, f"condition_sets_{spec.version}"), spec)
+
+
+def profiles(
+    eligibility: DataFrame,
+    diagnoses: DataFrame,
+    mapping: DataFrame,
+    spec: ModelSpec,
+    strict: bool = False,
+) -> DataFrame:
+    """Person profiles from (hicn, diag) rows of any origin."""
+    sets = diagnosis.condition_sets(diagnoses, mapping, spec)
+    return _profiles(eligibility, sets, spec, strict)
 
 
 def profiles_v22(
@@ -73,10 +78,17 @@ def profiles_v23(
     submissions: DataFrame,
     mapping: DataFrame,
     strict: bool = False,
+    eligible: DataFrame | None = None,
 ) -> DataFrame:
-    """V23 takes encounter-eligible paid lines (see ``flag_claims``) and inpatient submissions."""
-    dx = diagnosis.eds_raps_diagnoses(paid, submissions, V23)
-    return profiles(eligibility, dx, mapping, V23, strict)
+    """V23 takes encounter-eligible paid lines and inpatient submissions.
+
+    Paid lines either carry ``eds_riskeligible`` or come with the list of eligible claims.
+    """
+    if eligible is None:
+        dx = diagnosis.eds_raps_diagnoses(paid, submissions, V23)
+        return profiles(eligibility, dx, mapping, V23, strict)
+    sets = diagnosis.condition_sets_of_claims(paid, eligible, submissions, mapping, V23)
+    return _profiles(eligibility, sets, V23, strict)
 
 
 def run(rows: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -96,8 +108,9 @@ def run_v23(
     submissions: DataFrame,
     tables: ModelTables,
     strict: bool = False,
+    eligible: DataFrame | None = None,
 ) -> DataFrame:
-    rows = profiles_v23(eligibility, paid, submissions, tables.mapping, strict)
+    rows = profiles_v23(eligibility, paid, submissions, tables.mapping, strict, eligible)
     return run(rows, tables.weights, V23)
 
 
