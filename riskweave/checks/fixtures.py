@@ -108,17 +108,22 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.claims(_derive(spark, sf_dir, CLAIMS))
 
 
+def _reference(spark: SparkSession, text: str) -> DataFrame:
+    """A reference table of fixed size: at most 1,606 rows, so one partition holds it."""
+    return spark.sql(text).coalesce(1)
+
+
 def mapping(spark: SparkSession) -> DataFrame:
-    return ingest.mapping(spark.sql(MAPPING))
+    return ingest.mapping(_reference(spark, MAPPING))
 
 
 def cpt_list(spark: SparkSession) -> DataFrame:
-    return ingest.cpt_list(spark.sql(CPT_LIST))
+    return ingest.cpt_list(_reference(spark, CPT_LIST))
 
 
 def weights(spark: SparkSession, spec: ModelSpec) -> DataFrame:
     labels = F.expr("array(" + ", ".join(f"'{label}'" for label in spec.labels) + ")")
-    numbered = spark.sql(WEIGHTS).where(F.col("i") <= len(spec.labels))
+    numbered = _reference(spark, WEIGHTS).where(F.col("i") <= len(spec.labels))
     return ingest.weights(
         numbered.select("lookup_key", F.element_at(labels, F.col("i")).alias("variable"), "coef")
     )

@@ -61,19 +61,35 @@ def eds_all(physician: DataFrame, inpatient: DataFrame, outpatient: DataFrame) -
     return physician.union(inpatient).union(outpatient).distinct()
 
 
-def eligible_claims(claims: DataFrame, cpt: DataFrame) -> DataFrame:
-    """The same list as ``eds_all`` of the three filters, from one scan and one shuffle."""
-    needs_code = code_in("clm_type_cd", PHYSICIAN_CLAIM_TYPES) | bill_type_in(
-        claims, OUTPATIENT_BILL_TYPES
+def claim_flags(claims: DataFrame, cpt: DataFrame) -> DataFrame:
+    """One row per claim that passes a filter, with a boolean per filter.
+
+    All three lists and their union from one scan, one lookup and one shuffle.
+    """
+    by_type = code_in("clm_type_cd", PHYSICIAN_CLAIM_TYPES)
+    inpatient = bill_type_in(claims, INPATIENT_BILL_TYPES)
+    outpatient = bill_type_in(claims, OUTPATIENT_BILL_TYPES)
+    lines = _code_lines(
+        claims.where(by_type | inpatient | outpatient),
+        by_type.alias("by_type"), inpatient.alias("inpatient"), outpatient.alias("outpatient"),
     )
-    inpatient = F.coalesce(bill_type_in(claims, INPATIENT_BILL_TYPES), F.lit(False))
-    lines = _code_lines(claims.where(needs_code | inpatient), inpatient.alias("inpatient"))
     listed = _listed(cpt).withColumn("listed", F.lit(True))
     matched = lookup_join(
         lines, listed, _CODE_AND_YEAR, "left",
         spread_by=[CLAIM], facts_are_set=True, counted=cpt,
     )
-    return matched.where("inpatient or listed").select(CLAIM).distinct()
+    rules = {
+        "physician": "by_type and listed", "inpatient": "inpatient",
+        "outpatient": "outpatient and listed",
+    }
+    flags = [F.expr(f"coalesce({rule}, false)").alias(name) for name, rule in rules.items()]
+    passing = matched.select(CLAIM, *flags).where("physician or inpatient or outpatient")
+    return passing.groupBy(CLAIM).agg(*(F.bool_or(name).alias(name) for name in rules))
+
+
+def eligible_claims(claims: DataFrame, cpt: DataFrame) -> DataFrame:
+    """The same list as ``eds_all`` of the three filters, from one scan and one shuffle."""
+    return claim_flags(claims, cpt).select(CLAIM)
 
 
 def flag_eds_eligible(claims: DataFrame, eligible: DataFrame) -> DataFrame:

@@ -126,8 +126,11 @@ def write_results(result: DataFrame, score_name: str, hcc_name: str) -> None:
 
 
 def write_claim_lists(claims: DataFrame, cpt: DataFrame, prefix: str) -> None:
-    """Write the four claim lists: ``<prefix>phys``, ``ip``, ``op`` and ``all``."""
-    write_table(eds.eds_physician(claims, cpt), f"{prefix}phys")
-    write_table(eds.eds_inpatient(claims), f"{prefix}ip")
-    write_table(eds.eds_outpatient(claims, cpt), f"{prefix}op")
-    write_table(eds.eligible_claims(claims, cpt), f"{prefix}all")
+    """Write the four claim lists: ``<prefix>phys``, ``ip``, ``op`` and ``all``.
+
+    The claims are scanned once; the lists are read off one small table of claim flags.
+    """
+    flags = materialize(eds.claim_flags(claims, cpt), "claim_flags")
+    for name, passed in (("phys", "physician"), ("ip", "inpatient"), ("op", "outpatient"),
+                         ("all", "true")):
+        write_table(flags.where(passed).select(eds.CLAIM), f"{prefix}{name}")

@@ -30,7 +30,7 @@ def final_plan(df: DataFrame) -> str:
     return execution.executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def shuffles_of_facts(plan: str) -> list[str]:
+def shuffles(plan: str) -> list[str]:
     return re.findall(r"^.*Exchange hashpartitioning\((\w+)#", plan, re.MULTILINE)
 
 
@@ -81,8 +81,7 @@ def test_diagnoses_are_filtered_and_pruned_at_the_scan(spark, claims):
 def test_category_sets_shuffle_once_by_person(spark, claims):
     dx = diagnosis.raps_diagnoses(claims, V22)
     plan = plan_of(diagnosis.condition_sets(dx, fixtures.mapping(spark), V22))
-    # The other shuffle is inside the broadcast crosswalk.
-    assert shuffles_of_facts(plan) == ["hicn", "diag"]
+    assert shuffles(plan) == ["hicn"]
     assert "partial_bit_or" in plan and "ObjectHashAggregate" not in plan
     assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
@@ -90,7 +89,7 @@ def test_category_sets_shuffle_once_by_person(spark, claims):
 def test_claim_list_takes_one_scan_and_one_shuffle(spark, claims):
     plan = plan_of(eds.eligible_claims(claims, fixtures.cpt_list(spark)))
     assert plan.count("FileScan") == 1
-    assert shuffles_of_facts(plan) == ["clm_cntl_num", "hcpcs_cd"]
+    assert shuffles(plan) == ["clm_cntl_num"]
 
 
 def test_v23_shuffles_mapped_lines_only(spark, claims):

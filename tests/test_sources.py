@@ -50,6 +50,9 @@ def test_claim_lists_are_written(spark, sf_dir, tmp_path):
     runs.write_claim_lists(lines, cpt, f"{tmp_path}/eds_")
     parts = [tables.read_table(spark, f"{tmp_path}/eds_{n}") for n in ("phys", "ip", "op")]
     whole = tables.read_table(spark, f"{tmp_path}/eds_all")
+    alone = [eds.eds_physician(lines, cpt), eds.eds_inpatient(lines),
+             eds.eds_outpatient(lines, cpt)]
+    assert [rows(p) for p in parts] == [rows(a) for a in alone]
     assert rows(eds.eds_all(*parts)) == rows(whole)
 
 
