@@ -83,9 +83,22 @@ cross join (select cast(id + 1 as int) as i from range(146) t(id)) v
 """
 
 
+# The columns that the statements read; a given schema saves the job that infers one.
+_TABLES = {
+    "customer": "c_custkey bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_shipdate timestamp_ntz",
+}
+
+
 def _derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    names = [n for n in ("customer", "orders", "lineitem") if f"{{{n}}}" in text]
-    return spark.sql(text, **{n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names})
+    tables = {
+        name: spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+        for name, schema in _TABLES.items()
+        if f"{{{name}}}" in text
+    }
+    return spark.sql(text, **tables)
 
 
 def eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
