@@ -77,9 +77,12 @@ from range(700) t(id) where (id % 100 + id % 7) % 4 = 0
 
 # i is the position of the variable among the model's output labels, from 1.
 WEIGHTS = """
-select k.lookup_key, v.i, cast(cast(((v.i * 37 + k.j * 101) % 1500) as decimal(12,3)) * cast(0.001 as decimal(4,3)) as decimal(12,3)) as coef
-from (values ('CN0',0),('CN1',1),('CP0',2),('CP1',3),('CF0',4),('CF1',5),('I',6),('E00',7),('E10',8),('E01',9),('E11',10)) k(lookup_key, j)
-cross join (select cast(id + 1 as int) as i from range(146) t(id)) v
+select case j when 0 then 'CN0' when 1 then 'CN1' when 2 then 'CP0' when 3 then 'CP1' when 4 then 'CF0'
+  when 5 then 'CF1' when 6 then 'I' when 7 then 'E00' when 8 then 'E10' when 9 then 'E01' when 10 then 'E11'
+ end as lookup_key, i,
+ cast(cast(((i * 37 + j * 101) % 1500) as decimal(12,3)) * cast(0.001 as decimal(4,3)) as decimal(12,3)) as coef
+from (select cast(id % 146 + 1 as int) as i, cast((id - id % 146) / 146 as int) as j
+ from range(1606) t(id)) n
 """
 
 

@@ -323,6 +323,14 @@ def test_whole_type_of_bill(spark):
     assert {r.clm_cntl_num for r in eds.eds_inpatient(lines).collect()} == {"A", "C"}
 
 
+def test_numeric_bill_type_parts_are_joined_as_text(spark):
+    lines = ingest.claims(spark.createDataFrame(
+        [("A", 1, 1), ("B", 1, 3), ("C", 4, 1), ("D", 4, None)],
+        "clm_cntl_num string, clm_fac_type_cd int, clm_srvc_clsfctn_type_cd int",
+    ).withColumn("clm_thru_dt", F.current_date()))
+    assert {r.clm_cntl_num for r in eds.eds_inpatient(lines).collect()} == {"A", "C"}
+
+
 def test_two_weights_for_one_key_are_rejected(spark):
     rows = [("A", born(75), 2, 0, 0, "CN")]
     once = weights_of(spark, V22, ["CN0"], default="1")
