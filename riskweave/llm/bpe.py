@@ -98,15 +98,29 @@ class Merges:
             else:
                 return True
 
-    def ends(self, text: str) -> Iterator[str]:
-        """The last token of the encoding of every prefix of ``text``, in order of length.
+    def last_tokens(self, text: str) -> list[str | None]:
+        """The last token of the encoding of every prefix of ``text``; None for length 0.
 
-        Of what it has found, the pass keeps as much as the longest token spans.  A unit outside
-        the vocabulary is a token of its own.
+        A unit outside the vocabulary is a token of its own.
         """
+        last: list[str | None] = [None]
+        fits, known, upto = self.fits, self._fits, 0
+        for at, token in self._ending.iter(text):
+            if at < upto:
+                continue  # found already: a longer token fitted
+            while upto < at:
+                last.append(text[upto])
+                upto += 1
+            pair = (last[at + 1 - len(token)], token)
+            if known[pair] if pair in known else fits(*pair):
+                last.append(token)
+                upto = at + 1
+        return last + list(text[upto:])
+
+    def ends(self, text: str) -> Iterator[str]:
+        """The same as a stream that keeps no more than the longest token spans."""
         size = self.longest + 1
-        last: list[str | None] = [None] * min(size, len(text) + 1)
-        size = len(last)
+        last: list[str | None] = [None] * size
         fits, known, upto = self.fits, self._fits, 0
         for at, token in self._ending.iter(text):
             end = at + 1
@@ -128,7 +142,7 @@ class Merges:
 def prefix_counts(merges: Merges, text: str) -> list[int]:
     """Number of tokens of every prefix, from length 0 on."""
     counts = [0]
-    for end, token in enumerate(merges.ends(text), 1):
+    for end, token in enumerate(merges.last_tokens(text)[1:], 1):
         counts.append(counts[end - len(token)] + 1)
     return counts
 

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from riskweave.llm import chat_format, exact_dedup, line_dedup, mixing
+from riskweave.llm import (
+    chat_format,
+    exact_dedup,
+    line_dedup,
+    mixing,
+    sentence_pieces,
+    token_counts,
+)
 
-MODULES = (exact_dedup, chat_format, line_dedup, mixing)
+MODULES = (exact_dedup, chat_format, sentence_pieces, token_counts, line_dedup, mixing)
 
 
 def queries() -> dict:

@@ -64,6 +64,9 @@ class Pieces:
     def stream(self, text: str) -> Iterator[list[int]]:
         """Ids of one text, put out as soon as they are final."""
         width = self.merges.longest
+        if len(text) < 2 * width:  # the window holds it all
+            yield self._ids(self.merges.last_tokens(text), 0, len(text))
+            return
         held: dict[int, str | None] = {0: None}  # boundary -> piece that ends there
         done, end = 0, 0
         for end, piece in enumerate(self.merges.ends(text), 1):
@@ -88,7 +91,7 @@ class Pieces:
             live.add(max(done, furthest - len(held[furthest])))
         return live.pop()
 
-    def _ids(self, held: dict, start: int, stop: int) -> list[int]:
+    def _ids(self, held: dict | list, start: int, stop: int) -> list[int]:
         path, at = [], stop
         while at > start:
             path.append(held[at])
