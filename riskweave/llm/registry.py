@@ -7,11 +7,15 @@ from riskweave.llm import (
     exact_dedup,
     line_dedup,
     mixing,
+    quality,
     sentence_pieces,
     token_counts,
+    topk_search,
 )
 
-MODULES = (exact_dedup, chat_format, sentence_pieces, token_counts, line_dedup, mixing)
+MODULES = (
+    quality, exact_dedup, chat_format, sentence_pieces, token_counts, line_dedup, mixing, topk_search,
+)
 
 
 def queries() -> dict:
