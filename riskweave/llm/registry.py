@@ -7,6 +7,7 @@ from riskweave.llm import (
     exact_dedup,
     line_dedup,
     mixing,
+    near_dedup,
     quality,
     sentence_pieces,
     token_counts,
@@ -14,7 +15,8 @@ from riskweave.llm import (
 )
 
 MODULES = (
-    quality, exact_dedup, chat_format, sentence_pieces, token_counts, line_dedup, mixing, topk_search,
+    quality, exact_dedup, chat_format, sentence_pieces, token_counts, line_dedup, mixing, near_dedup,
+    topk_search,
 )
 
 
