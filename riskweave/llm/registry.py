@@ -10,13 +10,14 @@ from riskweave.llm import (
     near_dedup,
     quality,
     sentence_pieces,
+    suffix_dedup,
     token_counts,
     topk_search,
 )
 
 MODULES = (
-    quality, exact_dedup, chat_format, sentence_pieces, token_counts, line_dedup, mixing, near_dedup,
-    topk_search,
+    quality, suffix_dedup, exact_dedup, chat_format, sentence_pieces, token_counts, line_dedup,
+    mixing, near_dedup, topk_search,
 )
 
 
