@@ -29,6 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave.llm.bpe import Merges
 from riskweave.llm.texts import whole
@@ -158,7 +159,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 [*kept, "ids", "n_ids", "decoded_sha256"],
             )
 
-    schema = docs.select(*kept).schema.add("ids", "array<int>").add("n_ids", "long")
+    schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
+    schema = schema.add("n_ids", "long")
     read = docs.select(*kept, whole(F.col("text")).alias("_whole_text"))
     return read.mapInArrow(over, schema.add("decoded_sha256", "string"))
 
