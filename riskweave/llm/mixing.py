@@ -130,6 +130,25 @@ def mix(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS) -
     )
 
 
+def repeat(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """The document rows of the mix, each as often as it is taken, with all their columns."""
+    taken = mix(docs, scratch, weights).where("times > 0").select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
+        F.col("size").alias("_size"), F.col("times").alias("_times"),
+    )
+    # Rows repeated with id, source and size are taken alike; each is joined once.
+    taken = scratch.keep(taken.distinct(), "taken")
+    size = F.regexp_count(whole(F.col("text")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    same = (
+        F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
+        & F.col("source").eqNullSafe(F.col("_source"))
+        & (F.col("_words") == F.col("_size"))
+    )
+    joined = docs.withColumn("_words", size).join(taken, same)
+    copies = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
+    return joined.withColumn("_copy", copies).select(*docs.columns)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return mix(docs, Scratch(spark, "mixing")).selectExpr(
