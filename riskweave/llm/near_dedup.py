@@ -14,9 +14,10 @@ for which a pair at the threshold is missed with probability at most ``MISS``.
 Links.  Pairs within a bucket are not made.  First every member meets the bucket's smallest; the
 pairs are confirmed on the full sets and linked members get one label.  Only buckets with several
 labels go on: in each round more of their members (4, 32, 256, ..., chosen by hash, until all have
-been) meet the members with other labels.  So in the end every two members of a bucket are linked
-through confirmed pairs or have been compared, whatever the bucket's size, while a bucket of
-copies costs one comparison per member.
+been) meet the members with other labels.  Pairs whose sketches agree in fewer bins than a pair at
+the threshold does, but for a probability of ``MISS``, go no further.  So in the end every two
+members of a bucket are linked through confirmed pairs or have been compared, whatever the
+bucket's size, while a bucket of copies costs one comparison per member.
 
 Defined cases: null, empty and blank texts have an empty set and are linked with nothing; a text
 with fewer words than a shingle has its words as its one shingle; rows with equal sets are linked;
@@ -26,6 +27,7 @@ other columns are not read; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -63,6 +65,16 @@ class Near:
             rows += 1
         return rows
 
+    @property
+    def least_bins(self) -> int:
+        """Bins in which a pair at the threshold agrees, but for a probability of ``MISS``."""
+        bins, share = BANDS * self.rows, self.percent / 100
+        below, least = (1 - share) ** bins, 0
+        while below <= MISS:
+            least += 1
+            below += math.comb(bins, least) * share**least * (1 - share) ** (bins - least)
+        return least
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A well mixed 64-bit hash of 64-bit numbers."""
@@ -166,12 +178,12 @@ def _blocks(texts: list[bytes]) -> Iterator[slice]:
 
 
 _SKETCHED = """doc_id long, text_hash long, row long, n long, set_a long, set_b long,
-    bands array<long>"""
+    bands array<long>, bins array<tinyint>"""
 
 
 def _sketch_rows(near: Near):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
+        row, n_bins = TaskContext.get().partitionId() << 33, BANDS * near.rows
         for batch in batches:
             texts = batch.column(2).to_pylist()
             for part in _blocks(texts):
@@ -179,15 +191,16 @@ def _sketch_rows(near: Near):
                 sizes = np.array([len(s) for s in sets])
                 full = np.flatnonzero(sizes)
                 digest = np.zeros((2, len(sets)), U)
-                keys = np.empty((0, BANDS), U)
+                keys, found = np.empty((0, BANDS), U), np.empty((0, n_bins), U)
                 if len(full):
                     own = [sets[i] for i in full]
                     heads = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
                     every = np.concatenate(own)
                     for i in range(2):
                         digest[i, full] = np.add.reduceat(mix(every + U(i + 1)), heads)
-                    keys = band_keys(sketches(own, BANDS * near.rows), BANDS)
-                ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))])
+                    found = sketches(own, n_bins)
+                    keys = band_keys(found, BANDS)
+                ends = np.concatenate([[0], np.cumsum(sizes > 0)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(c.slice(part.start, len(sets)) for c in batch.columns[:2]),
@@ -195,10 +208,16 @@ def _sketch_rows(near: Near):
                         pa.array(sizes.astype(np.int64)),
                         *(pa.array(d.view(np.int64)) for d in digest),
                         pa.ListArray.from_arrays(
-                            pa.array(ends, pa.int32()), pa.array(keys.reshape(-1).view(np.int64))
+                            pa.array(ends * BANDS, pa.int32()),
+                            pa.array(keys.reshape(-1).view(np.int64)),
+                        ),
+                        # A byte of each bin tells unlike bins apart well enough.
+                        pa.ListArray.from_arrays(
+                            pa.array(ends * n_bins, pa.int32()),
+                            pa.array(found.reshape(-1).astype(np.uint8).view(np.int8)),
                         ),
                     ],
-                    ["doc_id", "text_hash", "row", "n", "set_a", "set_b", "bands"],
+                    ["doc_id", "text_hash", "row", "n", "set_a", "set_b", "bands", "bins"],
                 )
                 row += len(sets)
 
@@ -328,12 +347,16 @@ class NearGroups:
             if not active.limit(1).count():
                 return labels
             # A member's place in its bucket, from 0 up to the bucket's size, by hash.
+            active = active.join(self.rows.select(F.col("row").alias("node"), "bins"), "node")
             place = "pmod(xxhash64(key, node), 1048576) / 1048576 * size"
             pivot = active.where(f"{place} >= {done} and {place} < {pivots}").selectExpr(
-                "key", "node as pivot", "n as pivot_n", "label as pivot_label"
+                "key", "node as pivot", "n as pivot_n", "label as pivot_label",
+                "bins as pivot_bins",
             )
+            # Sketches too unlike for the threshold need no look at the full sets.
+            agree = "size(filter(zip_with(bins, pivot_bins, (x, y) -> x = y), same -> same))"
             met = active.join(scratch.keep(pivot, f"pivots-{turn}"), "key").where(
-                f"label <> pivot_label and {sized}"
+                f"label <> pivot_label and {sized} and {agree} >= {self.near.least_bins}"
             )
             # The smaller node is a, as in the pairs before.
             pairs = met.selectExpr("least(node, pivot) as a", "greatest(node, pivot) as b")
