@@ -9,6 +9,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from riskweave.functions.bitset import WORD_BITS, masks
+
 # --------------------------------------------------------------------------
 # These must equal the published models for the results to agree.
 # --------------------------------------------------------------------------
@@ -200,6 +202,15 @@ class ModelSpec:
                   for g in i.groups for h in g}
         if not named <= set(self.hccs):
             raise ValueError(f"rules name unknown categories: {sorted(named - set(self.hccs))}")
+        # A category is one bit of the set's words; what has no bit is refused here, because
+        # it would be read from another variable's bit later.
+        masks(self.hccs)
+        bits = len(demographic_labels()) + len(self.interactions)
+        if bits > WORD_BITS:
+            raise ValueError(
+                f"at most {WORD_BITS - len(demographic_labels())} interactions fit,"
+                f" not {len(self.interactions)}"
+            )
 
     @property
     def hcc_labels(self) -> tuple[str, ...]:

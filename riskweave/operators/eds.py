@@ -18,11 +18,16 @@ _CODE_AND_YEAR = ("hcpcs_cd", "cy")
 
 
 def bill_type_in(claims: DataFrame, types: tuple[str, ...]) -> Column:
-    """Type of bill: its first two characters where given whole, else facility || service."""
+    """Type of bill of each row: facility || service, or where a row lacks either, the first two
+    characters of the whole form.  A whole form with a leading zero matches nothing."""
+    forms = []
+    if {"clm_fac_type_cd", "clm_srvc_clsfctn_type_cd"} <= set(claims.columns):
+        forms.append(F.rtrim(F.concat("clm_fac_type_cd", "clm_srvc_clsfctn_type_cd")))
     if "type_of_bill" in claims.columns:
-        return F.substring("type_of_bill", 1, 2).isin(*types)
-    bill_type = F.concat("clm_fac_type_cd", "clm_srvc_clsfctn_type_cd")
-    return F.rtrim(bill_type).isin(*types)
+        whole = F.substring("type_of_bill", 1, 2)
+        # Blank parts are as good as absent ones when the row has the whole form.
+        forms = [F.coalesce(*(F.when(form != "", form) for form in forms), whole)]
+    return forms[0].isin(*types)
 
 
 def _listed(cpt: DataFrame) -> DataFrame:

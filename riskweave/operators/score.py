@@ -51,9 +51,10 @@ def _label_at(spec: ModelSpec, position: Column) -> Column:
 def weight_vectors(weights: DataFrame, spec: ModelSpec) -> DataFrame:
     """(lookup_key, coefs): one integer coefficient per variable, in report order.
 
-    A key with a NULL or absent coefficient scores 0 for everyone, whichever variables the
-    person has, so it is left out and then treated like an unknown key.  Two values for one
-    (key, variable) are an error, since either could win.
+    A key with a NULL coefficient scores 0 for everyone, whichever variables the person has, so
+    it is left out and then treated like an unknown key.  A key that has some of the variables
+    but lacks one is an error, and so are two values for one (key, variable), since either
+    could win.
     """
     known = [label.upper() for label in spec.labels]
     single = (
@@ -68,6 +69,10 @@ def weight_vectors(weights: DataFrame, spec: ModelSpec) -> DataFrame:
     by_key = single.groupBy("lookup_key").agg(
         F.map_from_entries(F.collect_list(entry)).alias("by_name")
     )
+    lacking = F.filter(_texts(known), lambda name: ~F.map_contains_key("by_name", name))
+    absent = F.format_string("no weight for key %s, variable %s", "lookup_key", F.get(lacking, 0))
+    complete = F.when(F.size(lacking) > 0, F.raise_error(absent)).otherwise(F.lit(True))
+    by_key = by_key.where(complete)
     coefs = F.transform(_texts(known), lambda name: F.element_at("by_name", name))
     return by_key.select("lookup_key", coefs.alias("coefs")).where(
         F.forall("coefs", lambda c: c.isNotNull())

@@ -28,6 +28,8 @@ def _conform(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
             continue
         source, type_ = present[name]
         column = F.col(source) if type_ == field.type else F.col(source).cast(field.type)
+        if field.digits and type_ != field.type:
+            column = F.lpad(column, field.digits, "0")
         columns.append((normalized(column) if field.key else column).alias(field.name))
     return df.select(*columns)
 
@@ -37,6 +39,11 @@ def claims(df: DataFrame) -> DataFrame:
     return _conform(df, schemas.CLAIMS)
 
 
+def diagnoses(df: DataFrame) -> DataFrame:
+    """Further (hicn, diag) rows, such as chart reviews, in the key form of the other inputs."""
+    return _conform(df, schemas.DIAGNOSES)
+
+
 def cpt_list(df: DataFrame) -> DataFrame:
     """Listed procedure codes by calendar year; either spelling of the code column."""
     return _conform(df, schemas.CPT_LIST)

@@ -12,6 +12,8 @@ class Field:
     key: bool = False
     required: bool = True
     aliases: tuple[str, ...] = ()
+    #: Digits of a code that is written with leading zeros; a number is padded to them.
+    digits: int = 0
 
 
 CLAIMS = (
@@ -27,7 +29,11 @@ CLAIMS = (
     Field("diag", "string", key=True, required=False),
     Field("raps_riskeligible", "int", required=False),
     Field("eds_riskeligible", "int", required=False),
-    Field("provider_type", "string", required=False),
+    Field("provider_type", "string", required=False, digits=2),
+)
+DIAGNOSES = (
+    Field("hicn", "string", key=True),
+    Field("diag", "string", key=True),
 )
 CPT_LIST = (
     Field("hcpcs_cpt_code", "string", key=True, aliases=("hcpcs_cpt",)),
