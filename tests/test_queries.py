@@ -1,4 +1,7 @@
-"""Every registered query against its SQL formulation in another engine."""
+"""Every query of the engine against its SQL formulation in another engine.
+
+Queries on training data, some of which SQL cannot express, have their own tests.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from riskweave.checks import oracle, registry
 
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
