@@ -319,6 +319,23 @@ class NearGroups:
         # A class whose row is repeated meets a partner several times.
         return self.scratch.keep(found.distinct(), f"links-{turn}")
 
+    def _joined(self, labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
+        """The labels after some more links; only linked labels are worked on again."""
+        if not links.limit(1).count():
+            return labels
+        for side in ("a", "b"):
+            own = labels.select(F.col("node").alias(side), F.col("label").alias("own"))
+            links = links.join(own, side, "left").withColumn(side, F.coalesce("own", side))
+            links = links.drop("own")
+        links = self.scratch.keep(links.distinct(), f"label-links-{turn}")
+        merged = components(links, self.scratch, f"components-{turn}")
+        upper = merged.select(F.col("node").alias("label"), F.col("label").alias("upper"))
+        moved = labels.join(upper, "label", "left").select(
+            "node", F.coalesce("upper", "label").alias("label")
+        )
+        fresh = merged.join(labels.select("node"), "node", "left_anti")
+        return self.scratch.keep(moved.unionByName(fresh.select("node", "label")), f"all-{turn}")
+
     def labels(self) -> DataFrame | None:
         """(node, label) of the classes with a link."""
         scratch, buckets = self.scratch, self.buckets()
@@ -362,10 +379,8 @@ class NearGroups:
             pairs = met.selectExpr("least(node, pivot) as a", "greatest(node, pivot) as b")
             fresh = pairs.distinct().join(seen, ["a", "b"], "left_anti")
             fresh = scratch.keep(fresh, f"pairs-{turn}")
-            found = self._confirmed(fresh, texts, turn)
+            labels = self._joined(labels, self._confirmed(fresh, texts, turn), turn)
             seen = seen.unionByName(fresh)
-            links = links.unionByName(found)
-            labels = components(links, scratch, f"components-{turn}")
             active = active.select("key", "node", "n", "size")
             done, pivots = pivots, pivots * GROWTH
 
