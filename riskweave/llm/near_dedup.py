@@ -45,6 +45,7 @@ BANDS = 32
 MISS = 1e-5
 BLOCK_BYTES = 1 << 20
 FIRST_PIVOTS, GROWTH = 4, 8
+SIEVE_BITS = 1 << 26
 
 U = np.uint64
 _FULL = U(0xFFFFFFFFFFFFFFFF)
@@ -257,6 +258,26 @@ def _confirm(near: Near):
     return over
 
 
+def sieve(rows: DataFrame, key: list[str], wanted: DataFrame, wanted_key: list[str]) -> DataFrame:
+    """The rows whose key may be wanted, found before they are shuffled.
+
+    One bit for each hash of a wanted key is broadcast, ``SIEVE_BITS`` bits (8 MB) whatever the
+    number of keys.  No wanted row is lost; others that pass are left to the join that follows.
+    """
+    def place(columns: list[str]):
+        return F.pmod(F.xxhash64(*columns), F.lit(SIEVE_BITS))
+
+    bits = wanted.select(place(wanted_key).alias("_place")).groupBy(
+        F.bitmap_bucket_number("_place").alias("_bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
+    at = F.bitmap_bit_position(place(key))
+    byte = F.expr("cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int)")
+    placed = rows.withColumn("_own", F.bitmap_bucket_number(place(key))).withColumn("_at", at)
+    return placed.join(F.broadcast(bits), F.col("_own") == F.col("_bucket")).where(
+        F.getbit(byte, F.expr("cast(_at % 8 as int)")) == 1
+    ).select(*rows.columns)
+
+
 class NearGroups:
     """The steps from documents to groups; each step's table is written to the scratch folder."""
 
@@ -306,14 +327,17 @@ class NearGroups:
             F.xxhash64(text).alias("text_hash"),
         )
         same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+        docs = sieve(docs, ["doc_id", "text_hash"], wanted, ["_id", "_hash"])
         return self.scratch.keep(docs.join(wanted, same).select("node", "text"), "texts")
 
     def _confirmed(self, pairs: DataFrame, texts: DataFrame, turn: int) -> DataFrame:
         """The pairs (a, b) that are near."""
         pivots = pairs.select("a").distinct()
-        left = texts.join(pivots, texts.node == pivots.a, "left_semi")
+        left = sieve(texts, ["node"], pivots, ["a"])
+        left = left.join(pivots, left.node == pivots.a, "left_semi")
         left = left.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+        right = sieve(texts, ["node"], pairs, ["b"])
+        right = right.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
         found = both.mapInArrow(_confirm(self.near), "a long, b long")
         # A class whose row is repeated meets a partner several times.

@@ -228,6 +228,15 @@ def test_sketches_fill_and_estimate():
     assert abs((found[0] == found[1]).mean() - 0.7) < 0.08
 
 
+def test_sieve_loses_no_wanted_row(spark):
+    rows = spark.range(20_000).selectExpr("nullif(id, 7) as node", "id as text")
+    wanted = rows.where("node is null or node % 100 = 3").selectExpr("node as a", "text as h")
+    found = near_dedup.sieve(rows, ["node", "text"], wanted, ["a", "h"]).collect()
+    must = {(r.a, r.h) for r in wanted.collect()}
+    assert must <= {(r.node, r.text) for r in found} and len(found) < len(must) + 50
+    assert not near_dedup.sieve(rows, ["node"], wanted.limit(0), ["a"]).count()
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(0, 30)] + [(40, 50), (60, 50), (70, 71), (71, 70)]
     frame_ = spark.createDataFrame(links, "a long, b long")
