@@ -383,12 +383,15 @@ class NearGroups:
             mixed = named.groupBy("key").agg(
                 F.min("label").alias("l"), F.max("label").alias("m"), F.max("size").alias("s")
             ).where(f"l < m and s > {done}").select("key")
-            active = scratch.keep(named.join(scratch.keep(mixed, f"open-{turn}"), "key"),
-                                  f"active-{turn}")
+            mixed = scratch.keep(mixed, f"open-{turn}")
+            named = sieve(named, ["key"], mixed, ["key"])
+            active = scratch.keep(named.join(mixed, "key"), f"active-{turn}")
             if not active.limit(1).count():
                 return labels
             # A member's place in its bucket, from 0 up to the bucket's size, by hash.
-            active = active.join(self.rows.select(F.col("row").alias("node"), "bins"), "node")
+            bins = self.rows.select(F.col("row").alias("node"), "bins")
+            bins = sieve(bins, ["node"], active, ["node"])
+            active = scratch.keep(active.join(bins, "node"), f"sketched-{turn}")
             place = "pmod(xxhash64(key, node), 1048576) / 1048576 * size"
             pivot = active.where(f"{place} >= {done} and {place} < {pivots}").selectExpr(
                 "key", "node as pivot", "n as pivot_n", "label as pivot_label",
