@@ -63,6 +63,13 @@ select concat('K', cast(l_orderkey as string)) as clm_cntl_num, l_linenumber as
 from {lineitem} join {orders} on l_orderkey = o_orderkey
 """
 
+# Diagnoses from another source, not in key form.
+FURTHER_DX = """
+select concat('b', cast(o_custkey as string), ' ') as hicn,
+ case when o_orderkey % 19 = 0 then null else concat('d', lpad(cast(o_orderkey % 95 as string), 2, '0'), '.', cast(o_orderkey % 7 as string), ' ') end as diag
+from {orders}
+"""
+
 MAPPING = """
 select concat('D', lpad(cast(id % 95 as string), 2, '0'), cast(id % 7 as string)) as diag,
  case when id % 95 < 89 then cast(substr('001002006008009010011012017018019021022023027028029033034035039040046047048054055056057058059060070071072073074075076077078079080082083084085086087088096099100103104106107108110111112114115122124134135136137138157158161162166167169170173176186188189003005020050101200', cast(1 + 3 * (id % 95) as int), 3) as int) when id % 95 = 89 then 1000 end as hcc
@@ -124,6 +131,10 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.claims(_derive(spark, sf_dir, CLAIMS))
 
 
+def further_dx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.diagnoses(_derive(spark, sf_dir, FURTHER_DX))
+
+
 def _reference(spark: SparkSession, text: str) -> DataFrame:
     """A reference table of fixed size: at most 1,606 rows, so one partition holds it."""
     return spark.sql(text).coalesce(1)

@@ -188,6 +188,7 @@ _INPUTS = {
     "mapping": fixtures.MAPPING,
     "cpt_list": fixtures.CPT_LIST,
     "dual_status": fixtures.DUAL_STATUS,
+    "further_dx": fixtures.FURTHER_DX,
 }
 
 _CLAIM_FILTERS = """
@@ -234,6 +235,11 @@ demographic as (
  select hicn, case sex when 2 then 'originallydisabled_female' else 'originallydisabled_male' end
  from featured where orec = 1 and sex in (1, 2))"""
 
+_FURTHER = """
+ union
+ select upper(rtrim(hicn)), replace(upper(rtrim(diag)), '.', '') from further_dx
+ where diag is not null and hicn is not null)"""
+
 _DIAGNOSES = {
     "v22": """
 dx as (
@@ -324,13 +330,17 @@ def _dx_query(version: str, select: str) -> str:
     )
 
 
-def _model_query(version: str, select: str, scored: bool = False) -> str:
+def _model_query(version: str, select: str, scored: bool = False, further: bool = False) -> str:
     inputs = ["eligibility", "claims", "mapping"]
     ctes = [_PERSONS, _DEMOGRAPHICS]
     if version == "v23":
         inputs += ["claim_lines", "cpt_list"]
         ctes += [_CLAIM_FILTERS]
-    ctes += [_DIAGNOSES[version], _model(version)]
+    dx = _DIAGNOSES[version]
+    if further:
+        inputs += ["further_dx"]
+        dx = dx.removesuffix(")") + _FURTHER
+    ctes += [dx, _model(version)]
     return _query(inputs, [*ctes, _score(version)] if scored else ctes, select)
 
 
@@ -342,6 +352,13 @@ def _interaction_labels(version: str) -> list[str]:
     return [label for label, _, _ in _rules(version)]
 
 
+_RESULT = """
+select hicn, lookup_key, cms_risk_score,
+ coalesce(string_agg(label, '|' order by i), '') as variables
+from scored left join variables using (hicn) left join labels using (label)
+group by hicn, lookup_key, cms_risk_score"""
+
+
 def _version_queries(version: str) -> dict[str, str]:
     labelled = "'hcc' || lpad(cast(hcc as varchar), 3, '0')"
     hccs = [label.lower() for label in _hcc_labels(version)]
@@ -383,11 +400,7 @@ from dx join mapping on dx.diag = mapping.diag where hcc is not null"""),
             version, "select hicn, cms_risk_score from scored", scored=True),
         f"bene_hcc_{version}": _model_query(
             version, "select hicn, label as hcc from variables"),
-        f"run_{version}": _model_query(version, """
-select hicn, lookup_key, cms_risk_score,
- coalesce(string_agg(label, '|' order by i), '') as variables
-from scored left join variables using (hicn) left join labels using (label)
-group by hicn, lookup_key, cms_risk_score""", scored=True),
+        f"run_{version}": _model_query(version, _RESULT, scored=True),
     }
 
 
@@ -421,6 +434,7 @@ select *, case when orec = 1 and age <= 64 then 0 else orec end as orec_adjusted
             f"select hicn, {originally} from person left join demographic using (hicn) "
             "group by hicn"),
         "lookup_key": _person_query("select * from keyed"),
+        "run_v22_extra_dx": _model_query("v22", _RESULT, scored=True, further=True),
         "dx_raps_v22": _dx_query("v22", "select hicn, diag from dx"),
         "dx_eds_raps_v23": _dx_query("v23", "select hicn, diag from dx"),
     }

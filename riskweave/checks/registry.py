@@ -66,7 +66,16 @@ def _shared() -> dict[str, Query]:
             "dual_status_class", person.dual_status_class("dual_status_cd")
         )
 
+    def run_with_further(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = runs.ModelTables(fixtures.mapping(spark), fixtures.weights(spark, V22))
+        result = runs.run_v22(
+            fixtures.eligibility(spark, sf_dir), fixtures.claims(spark, sf_dir), tables,
+            further=[fixtures.further_dx(spark, sf_dir)],
+        )
+        return result.withColumn("variables", F.array_join("variables", "|"))
+
     return {
+        "run_v22_extra_dx": run_with_further,
         "eds_physician": lambda s, d: eds.eds_physician(*lines_and_list(s, d)),
         "eds_inpatient": lambda s, d: eds.eds_inpatient(fixtures.claim_lines(s, d)),
         "eds_outpatient": lambda s, d: eds.eds_outpatient(*lines_and_list(s, d)),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,17 @@ def eds_raps_diagnoses(paid: DataFrame, submissions: DataFrame, spec: ModelSpec)
     return encounters.union(submitted_diagnoses(submissions, spec))
 
 
+def with_further(dx: DataFrame, further: Sequence[DataFrame]) -> DataFrame:
+    """The diagnoses and those of further (hicn, diag) rows, such as chart reviews.
+
+    Further rows count as they are; the caller has chosen year and source.
+    """
+    for rows in further:
+        usable = rows.where(F.col("diag").isNotNull() & F.col("hicn").isNotNull())
+        dx = dx.union(usable.select("hicn", F.replace("diag", F.lit("."), F.lit("")).alias("diag")))
+    return dx
+
+
 def dx_raps(claims: DataFrame, spec: ModelSpec) -> DataFrame:
     return raps_diagnoses(claims, spec).distinct()
 
@@ -89,7 +102,7 @@ def _mapped(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFrame:
     )
     joined = lookup_join(
         dx, by_diagnosis, ["diag"], "inner",
-        spread_by=["hicn"], facts_are_set=True, counted=mapping,
+        spread_by=[c for c in dx.columns if c != "diag"], facts_are_set=True, counted=mapping,
     )
     return joined.drop("diag")
 
@@ -109,6 +122,7 @@ def condition_sets_of_claims(
     submissions: DataFrame,
     mapping: DataFrame,
     spec: ModelSpec,
+    further: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """The sets of ``eds_raps_diagnoses`` from unflagged claims and the eligible claim list.
 
@@ -117,7 +131,8 @@ def condition_sets_of_claims(
     """
     lines = _diagnoses(claims, F.col(CLAIM).isNotNull(), spec.service_year, CLAIM)
     encounters = _mapped(lines, mapping, spec).join(eligible.select(CLAIM), CLAIM, "left_semi")
-    submitted = _mapped(submitted_diagnoses(submissions, spec), mapping, spec)
+    others = with_further(submitted_diagnoses(submissions, spec), further)
+    submitted = _mapped(others, mapping, spec)
     return _sets_by_person(encounters.drop(CLAIM).unionByName(submitted))
 
 

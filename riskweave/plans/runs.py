@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -66,10 +67,19 @@ def profiles(
 
 
 def profiles_v22(
-    eligibility: DataFrame, claims: DataFrame, mapping: DataFrame, strict: bool = False
+    eligibility: DataFrame,
+    claims: DataFrame,
+    mapping: DataFrame,
+    strict: bool = False,
+    spec: ModelSpec = V22,
+    further: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """V22 takes the diagnoses of lines flagged by submission-based eligibility."""
-    return profiles(eligibility, diagnosis.raps_diagnoses(claims, V22), mapping, V22, strict)
+    """V22 takes the diagnoses of lines flagged by submission-based eligibility.
+
+    ``spec`` may be another year's; ``further`` are (hicn, diag) frames from other sources.
+    """
+    dx = diagnosis.with_further(diagnosis.raps_diagnoses(claims, spec), further)
+    return profiles(eligibility, dx, mapping, spec, strict)
 
 
 def profiles_v23(
@@ -79,16 +89,20 @@ def profiles_v23(
     mapping: DataFrame,
     strict: bool = False,
     eligible: DataFrame | None = None,
+    spec: ModelSpec = V23,
+    further: Sequence[DataFrame] = (),
 ) -> DataFrame:
     """V23 takes encounter-eligible paid lines and inpatient submissions.
 
     Paid lines either carry ``eds_riskeligible`` or come with the list of eligible claims.
     """
     if eligible is None:
-        dx = diagnosis.eds_raps_diagnoses(paid, submissions, V23)
-        return profiles(eligibility, dx, mapping, V23, strict)
-    sets = diagnosis.condition_sets_of_claims(paid, eligible, submissions, mapping, V23)
-    return _profiles(eligibility, sets, V23, strict)
+        dx = diagnosis.eds_raps_diagnoses(paid, submissions, spec)
+        return profiles(eligibility, diagnosis.with_further(dx, further), mapping, spec, strict)
+    sets = diagnosis.condition_sets_of_claims(
+        paid, eligible, submissions, mapping, spec, further
+    )
+    return _profiles(eligibility, sets, spec, strict)
 
 
 def run(rows: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -97,9 +111,15 @@ def run(rows: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
 
 
 def run_v22(
-    eligibility: DataFrame, claims: DataFrame, tables: ModelTables, strict: bool = False
+    eligibility: DataFrame,
+    claims: DataFrame,
+    tables: ModelTables,
+    strict: bool = False,
+    spec: ModelSpec = V22,
+    further: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    return run(profiles_v22(eligibility, claims, tables.mapping, strict), tables.weights, V22)
+    rows = profiles_v22(eligibility, claims, tables.mapping, strict, spec, further)
+    return run(rows, tables.weights, spec)
 
 
 def run_v23(
@@ -109,9 +129,13 @@ def run_v23(
     tables: ModelTables,
     strict: bool = False,
     eligible: DataFrame | None = None,
+    spec: ModelSpec = V23,
+    further: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    rows = profiles_v23(eligibility, paid, submissions, tables.mapping, strict, eligible)
-    return run(rows, tables.weights, V23)
+    rows = profiles_v23(
+        eligibility, paid, submissions, tables.mapping, strict, eligible, spec, further
+    )
+    return run(rows, tables.weights, spec)
 
 
 def write_results(result: DataFrame, score_name: str, hcc_name: str) -> None:

@@ -65,8 +65,9 @@ def weights(df: DataFrame) -> DataFrame:
     A coefficient with more decimals than the exact arithmetic holds is an error, not a
     rounded value.
     """
+    long = {"variable", "coef"} <= {c.lower() for c in df.columns}
     wide = [c for c in df.columns if c.lower().startswith(WIDE_PREFIX)]
-    if wide:
+    if wide and not long:
         key = next(c for c in df.columns if c.lower() == "lookup_key")
         # Both the variable part of the names and the key are normalized below.
         df = df.select(key, *(F.col(c).cast("decimal(38,18)").alias(c[len(WIDE_PREFIX):])

@@ -40,12 +40,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back.
+    """Write a frame to the shared folder and read it back; it goes when the driver ends.
 
     Lost executors then cost a re-read instead of the scan behind the frame, and a join
     with the frame sees its true size and a plain scan, which lets adaptive execution
     broadcast it when small and split hot keys of the other side when not.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    context = df.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 
 import pytest
+from conftest import born, mapping_by_number, persons
 from pyspark.sql import functions as F
 
 from riskweave.models import V22
 from riskweave.operators import eds, score
+from riskweave.plans import runs
 from riskweave.sources import ingest
 
 
@@ -53,3 +56,25 @@ def test_numeric_provider_type_is_padded(spark):
 def test_further_diagnoses_take_the_key_form(spark):
     rows = spark.createDataFrame([("a ", "d2.1")], "hicn string, diag string")
     assert tuple(ingest.diagnoses(rows).first())[0] == "A"
+
+
+def test_long_weights_may_carry_other_columns(spark):
+    rows = spark.sql("select 'CN0' as lookup_key, 'HCC001' as variable, 0.1 as coef, 'x' as b_note")
+    assert ingest.weights(rows).first().variable == "HCC001"
+
+
+def test_spec_of_another_year_and_further_diagnoses(spark):
+    spec = dataclasses.replace(V22, service_year=2020, age_date=dt.date(2021, 2, 1))
+    person = persons(spark, ("A", born(70), 1, 0, 0, "CN"), ("B", born(70), 1, 0, 0, "CN"))
+    rows = [("A", "D8", dt.date(2020, 5, 1), 1), ("B", "D8", dt.date(2018, 5, 1), 1)]
+    claims = ingest.claims(spark.createDataFrame(
+        rows, "hicn string, diag string, clm_thru_dt date, raps_riskeligible int"))
+    further = ingest.diagnoses(spark.createDataFrame(
+        [("b ", "d.85"), ("b", None), (None, "D85")], "hicn string, diag string"))
+    weights = spark.createDataFrame(
+        [("CN0", label, "0.1") for label in V22.labels],
+        "lookup_key string, variable string, coef string")
+    tables = runs.ModelTables(mapping_by_number(spark), ingest.weights(weights))
+    result = runs.run_v22(person, claims, tables, spec=spec, further=[further])
+    assert {r.hicn: r.variables for r in result.collect()} == {
+        "A": ["m70_74", "HCC008"], "B": ["m70_74", "HCC085"]}
