@@ -102,7 +102,12 @@ def _versioned(spec: ModelSpec) -> dict[str, Query]:
         return diagnosis.dx_to_hcc(_distinct_dx(spark, sf_dir, spec), fixtures.mapping(spark))
 
     def hcc_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-        sets = diagnosis.condition_sets_of_labels(dx_to_hcc(spark, sf_dir), spec)
+        claims, mapping = fixtures.claims(spark, sf_dir), fixtures.mapping(spark)
+        if spec is V22:
+            sets = diagnosis.condition_sets(diagnosis.raps_diagnoses(claims, V22), mapping, V22)
+        else:
+            eligible = _eligible(spark, sf_dir)
+            sets = diagnosis.condition_sets_of_claims(claims, eligible, claims, mapping, V23)
         return hcc.hcc_flags(_persons(spark, sf_dir), sets, spec)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
