@@ -63,7 +63,7 @@ def _scales(text: str, words: list[str], counts: Counter) -> list[float]:
     n, size = max(1, len(words)), max(1, len(text))
     lines = text.split("\n")
     letters = sum(map(len, words))
-    upper = sum(c.isupper() for c in text[:: max(1, size // 4096)]) / min(size, 4096)
+    upper = sum(map(str.isupper, text)) / size
     signs = size - sum(map(text.count, "etaoinshrdlucmfwypvbgkjqxz ETAOINSHRDLUCMFWYPVBGKJQXZ\n"))
     return [
         len(counts) / n,

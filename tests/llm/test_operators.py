@@ -361,3 +361,12 @@ def test_quality(spark, sf_dir, empty):
     assert all(0 <= r.score <= 1 for r in quality.classify(odd, labels.limit(0)).collect())
     assert quality.classify(odd.select("doc_id", "text"), labels).count() == len(ODD)
     assert quality.classify(empty, labels).count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    "", "Ab É", "Ab c" * 1500, "Abcdefg\n" * 1250, "a" * 9000 + "B" * 3000, ("x" * 4999 + "É") * 3,
+])
+def test_capitals_are_counted_over_the_whole_text(text):
+    words = text.split()
+    share = sum(c.isupper() for c in text) / max(1, len(text))
+    assert quality._scales(text, words, quality.Counter(words))[3] == min(1, 2 * share)
