@@ -39,6 +39,7 @@ SHARPNESS = 8
 THRESHOLD = 0.3
 BLOCK = 512
 REMEMBERED = 500_000
+LONGEST_REMEMBERED = 64
 WORDS, SHAPES, SCALES = 0.5, 1.0, 1.5
 #: Columns of each group of terms.
 SCALE_BINS = 12
@@ -51,7 +52,7 @@ _FORM = "".maketrans(
 def _shape(word: str) -> str:
     """Letters as a or A, digits as 9, runs cut to two."""
     out: list[str] = []
-    for c in word[:32].translate(_FORM):
+    for c in word.translate(_FORM):
         c = c if c.isascii() else ("A" if c.isupper() else "a" if c.isalpha() else "x")
         if out[-2:] != [c, c]:
             out.append(c)
@@ -105,7 +106,8 @@ class Terms:
             )
             if len(self._columns) >= REMEMBERED:
                 self._columns.clear()
-            self._columns[word] = known
+            if len(word) <= LONGEST_REMEMBERED:
+                self._columns[word] = known
         return known
 
     def rows(self, texts: list[str]) -> np.ndarray:

@@ -370,3 +370,14 @@ def test_capitals_are_counted_over_the_whole_text(text):
     words = text.split()
     share = sum(c.isupper() for c in text) / max(1, len(text))
     assert quality._scales(text, words, quality.Counter(words))[3] == min(1, 2 * share)
+
+
+def test_shape_is_that_of_the_whole_word():
+    assert quality._shape("ab" * 16 + "C9é中") == "aaA9aa"
+    long = "x" * 40 + "=" * 3 + "Q7" * 2000
+    assert quality._shape(long) == "aa==" + "A9" * 2000
+    terms = quality.Terms()
+    same, other = terms.rows([f"short {long}", f"short {long[:32]}"])
+    shapes = slice(quality.HEAD, quality.HEAD + quality.N_SHAPES)
+    assert (same[shapes] != other[shapes]).any()
+    assert long not in terms._columns and "short" in terms._columns
