@@ -1,10 +1,11 @@
 """Exact token counts of every prefix of a text.
 
 A text is cut into pre-tokens, which merges never cross, and a dynamic program counts the
-tokens of every prefix of a pre-token (see ``bpe``).  Counts of texts are running sums of those.
-What is kept per text are the pre-tokens' ends and the counts there; any other prefix is
-answered from the pre-token it ends in.  Truncation (the longest prefix within a budget) and
-budget questions then need no encoding of the text.
+tokens of every prefix of a pre-token (see ``bpe``).  Those counts are stored by offset inside
+the pre-token; the count of a text is the sum of the last ones.  ``prefixes`` stores the count of
+every prefix of a text.  A prefix that ends in white space, a contraction or an added token can be
+cut otherwise than the whole text; its last two pre-tokens are then cut again while storing.
+Truncation (the longest prefix within a budget) and budget questions only read stored counts.
 
 Pre-tokens repeat, so each task remembers their counts, up to ``REMEMBERED`` of them; that is
 a bound on memory and changes no result.
@@ -16,7 +17,7 @@ columns are not read; an empty table gives no rows.
 
 from __future__ import annotations
 
-import bisect
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,7 +43,10 @@ class PrefixCounter:
         special = "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))
         self._special = regex.compile(f"({special})") if self.added else None
         self._pieces = regex.compile(PATTERN)
-        self._totals: dict[str, int] = {t: 1 for t in self.added}
+        self._space = regex.compile(r"\s*")
+        # A pre-token may be cut in two where it ends a prefix.
+        self._contraction = regex.compile("'(?:s|t|re|ve|m|ll|d)")
+        self._counts: dict[str, array] = {}
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens and added tokens, which together are the text."""
@@ -53,61 +57,60 @@ class PrefixCounter:
             found += [part] if part in self.added else self._pieces.findall(part)
         return found
 
-    def _total(self, piece: str) -> int:
-        known = self._totals.get(piece)
+    def _inside(self, piece: str) -> array:
+        """Tokens of every prefix of a pre-token, by code points from 0 on.  Of an added token
+        only the last one counts."""
+        known = self._counts.get(piece)
         if known is None:
-            known = self._inside(piece)[-1]
-            if len(self._totals) >= REMEMBERED:
-                self._totals = {t: 1 for t in self.added}
+            if piece in self.added:
+                known = array("I", [0] * len(piece) + [1])
+            else:
+                known = array("I", bpe.prefix_counts(self.merges, piece.encode().decode("latin-1")))
+                if len(known) > len(piece) + 1:  # counted by bytes
+                    at, kept = 0, array("I", [0])
+                    for char in piece:
+                        at += len(char.encode())
+                        kept.append(known[at])
+                    known = kept
+            if len(self._counts) >= REMEMBERED:
+                self._counts.clear()
             if len(piece) <= LONGEST_REMEMBERED:
-                self._totals[piece] = known
+                self._counts[piece] = known
         return known
 
-    def _inside(self, piece: str) -> list[int]:
-        """Tokens of every prefix of a pre-token, by number of bytes."""
-        return bpe.prefix_counts(self.merges, piece.encode().decode("latin-1"))
-
     def count(self, text: str) -> int:
-        """Tokens of the whole text: the count at its last prefix."""
-        return sum(map(self._total, self.pieces(text)))
+        """Tokens of the whole text: the sum of the counts at the ends of its pre-tokens."""
+        inside, known = self._inside, self._counts
+        return sum((known.get(piece) or inside(piece))[-1] for piece in self.pieces(text))
 
     def prefixes(self, text: str) -> tuple[list[int], list[int]]:
-        """Ends of the pre-tokens, in code points, and the counts there; both begin with 0."""
+        """Ends of the pre-tokens, in code points, and the count of every prefix; both begin
+        with 0."""
         ends, counts = [0], [0]
+        before, upto, base = "", 0, 0  # the pre-token before, tokens before it and before this one
         for piece in self.pieces(text):
+            inside = self._inside(piece)
+            counts += [base + n for n in inside[1:]]
+            if piece in self.added or self._contraction.fullmatch(piece):
+                again = len(piece) - 1
+            elif before and self._space.fullmatch(before[-1]):
+                again = self._space.match(piece).end()
+            else:
+                again = 0
+            for length in range(1, again + 1):
+                counts[ends[-1] + length] = upto + self.count(before + piece[:length])
             ends.append(ends[-1] + len(piece))
-            counts.append(counts[-1] + self._total(piece))
+            before, upto, base = piece, base, base + inside[-1]
         return ends, counts
 
     def at(self, text: str, ends: list[int], counts: list[int], length: int) -> int:
-        """Tokens of the first ``length`` code points.
-
-        A prefix is cut like the whole text up to the pre-token before the one it ends in, which
-        a cut inside white space or a contraction can change; the rest is short and counted.
-        """
-        at = max(0, bisect.bisect_left(ends, length) - 2)
-        return counts[at] + self.count(text[ends[at]:length])
+        """Tokens of the first ``length`` code points."""
+        return counts[length]
 
     def fitting(self, text: str, ends: list[int], counts: list[int], budget: int) -> int:
-        """Length of a prefix within the budget, as long as pre-token ends and the prefixes of
-        the next pre-token allow."""
-        at = bisect.bisect_right(counts, budget) - 1
-        if at == len(ends) - 1:
-            return ends[at]
-        piece = text[ends[at]:ends[at + 1]]
-        if piece in self.added:
-            return ends[at]
-        inside = self._inside(piece)
-        sizes = [0]
-        for char in piece:
-            sizes.append(sizes[-1] + len(char.encode()))
+        """Length of the longest prefix within the budget; 0 if there is none."""
         # From the longest down: counts of prefixes are not monotone.
-        for length in range(len(piece) - 1, 0, -1):
-            if counts[at] + inside[sizes[length]] <= budget and (
-                self.at(text, ends, counts, ends[at] + length) <= budget
-            ):
-                return ends[at] + length
-        return ends[at]
+        return next((n for n in range(len(text), -1, -1) if counts[n] <= budget), 0)
 
 
 def _mapped(path: str, schema: pa.Schema, row) -> callable:
@@ -143,7 +146,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
 
 
 def prefix_table(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id with the ends of the text's pre-tokens and the token counts there."""
+    """doc_id with the ends of the text's pre-tokens and the token count of every prefix."""
     schema = pa.schema([("doc_id", pa.int64()), ("ends", pa.list_(pa.int32())),
                         ("counts", pa.list_(pa.int32()))])
     return _read(docs).mapInArrow(
@@ -153,7 +156,7 @@ def prefix_table(docs: DataFrame, path: str) -> DataFrame:
 
 
 def truncate(docs: DataFrame, path: str, budget: int = LIMIT) -> DataFrame:
-    """doc_id, the text's longest prefix found within the budget, and its tokens."""
+    """doc_id, the text's longest prefix within the budget, and its tokens."""
 
     def row(counter: PrefixCounter, text: str) -> tuple:
         ends, counts = counter.prefixes(text)

@@ -381,3 +381,24 @@ def test_shape_is_that_of_the_whole_word():
     shapes = slice(quality.HEAD, quality.HEAD + quality.N_SHAPES)
     assert (same[shapes] != other[shapes]).any()
     assert long not in terms._columns and "short" in terms._columns
+
+
+def test_token_counts_of_every_prefix():
+    tokenizers = pytest.importorskip("tokenizers")
+    public = pytest.importorskip("public_tokenizers")
+    path = public.path("byte_bpe_50k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    counter = token_counts.PrefixCounter(path)
+    rng = np.random.default_rng(5)
+    parts = ["a", " ", "\n", "\t", "'", "'re", "'ll", "don't", "!", "12", "é", "中文", "\u3000", "\x1c",
+             "<|endoftext|>", "<|end", "hello", "Word", "▁", "e\u0301", "\U0001f600"]
+    texts = ["a\n\nb", "", *("".join(rng.choice(parts, 14)) for _ in range(150))]
+    for text in texts:
+        _, counts = counter.prefixes(text)
+        want = [len(library.encode(text[:n], add_special_tokens=False).ids)
+                for n in range(len(text) + 1)]
+        assert counts == want
+        assert counter.count(text) == want[-1]
+        for budget in range(max(want) + 2):
+            longest = max(n for n, c in enumerate(want) if c <= budget)
+            assert counter.fitting(text, [], counts, budget) == longest
