@@ -402,3 +402,48 @@ def test_token_counts_of_every_prefix():
         for budget in range(max(want) + 2):
             longest = max(n for n, c in enumerate(want) if c <= budget)
             assert counter.fitting(text, [], counts, budget) == longest
+
+
+def test_token_queries_equal_the_libraries(spark, tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    library = pytest.importorskip("sentencepiece")
+    public = pytest.importorskip("public_tokenizers")
+    docs = [(i, t) for i, t, _ in ODD]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    counts = tokenizers.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    pieces = library.SentencePieceProcessor(model_file=public.path("piece_bpe_32k.model"))
+    want6, want5 = [], []
+    for i, t in docs:
+        text = t or ""
+        n = len(counts.encode(text, add_special_tokens=False).ids)
+        want6.append((i, len(text.encode()), n, n > 512))
+        ids = pieces.encode(text, num_threads=1)
+        digest = hashlib.sha256(pieces.decode(ids).encode()).hexdigest()
+        same = digest == hashlib.sha256(text.encode()).hexdigest()
+        want5.append((i, len(ids), ids, digest, same))
+    got = token_counts.op6_token_counts(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want6, key=str)
+    got = sentence_pieces.op5_sentence_pieces(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want5, key=str)
+
+
+def test_near_stage_of_the_pipeline(spark):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(40):
+        words = [f"w{i % 4}x{n}" for n in range(120)]
+        for at in rng.integers(0, 120, rng.integers(0, 7)):
+            words[at] = f"z{rng.integers(0, 9999)}"
+        rows.append((i, " ".join(words), "n"))
+    sets = plain_sets([r[1] for r in rows], 5)
+    group = list(range(len(rows)))
+    for _ in rows:
+        for a, b in itertools.combinations(range(len(rows)), 2):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                group[a] = group[b] = min(group[a], group[b])
+    kept = corpus_pipeline.near_dedup_stage(spark, frame(spark, rows), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(group))
+    assert 4 < len(kept) < len(rows)
