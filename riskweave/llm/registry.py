@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from riskweave.llm import (
     chat_format,
+    divergence,
     exact_dedup,
+    lexical_search,
     line_dedup,
     mixing,
     near_dedup,
     quality,
+    secret_scan,
     sentence_pieces,
     suffix_dedup,
     token_counts,
@@ -17,7 +20,7 @@ from riskweave.llm import (
 
 MODULES = (
     quality, suffix_dedup, exact_dedup, chat_format, sentence_pieces, token_counts, line_dedup,
-    mixing, near_dedup, topk_search,
+    mixing, near_dedup, topk_search, secret_scan, lexical_search, divergence,
 )
 
 
