@@ -102,6 +102,34 @@ def is_repeat(unit: str) -> bool:
     return unit in (unit + unit)[1:-1]
 
 
+def _dates(value: str, i: int) -> Iterator[tuple[int, int]]:
+    for size in (4, 6, 8, 10):
+        cost = date(value[i:i + size]) if i + size <= len(value) else None
+        if cost is not None:
+            yield i + size, cost
+
+
+def _walks(value: str, i: int) -> Iterator[tuple[int, int]]:
+    """Sequences in one direction, and walks over neighbouring keys with turns."""
+    end = min(len(value), i + LONGEST)
+    if i + 1 >= end:
+        return
+    way, j = sequence_step(value[i], value[i + 1]), i + 1
+    while way and j < end and sequence_step(value[j - 1], value[j]) == way:
+        j += 1
+        if j - i >= SHORTEST_RUN:
+            yield j, KEY + TIMES[j - i]
+    turns, last = 0, None
+    for j in range(i + 1, end):
+        heading = walk_step(value[j - 1], value[j])
+        if heading is None:
+            return
+        turns += last is not None and heading != last
+        last = heading
+        if j + 1 - i >= SHORTEST_RUN:
+            yield j + 1, KEY + TIMES[j + 1 - i] + turns * TURN
+
+
 class GuessCost:
     """Costs with a ranked list of words: ``WORDS`` and then the caller's."""
 
@@ -111,6 +139,7 @@ class GuessCost:
             if SHORTEST_WORD <= len(word) <= LONGEST:
                 self._rank.setdefault(word, len(self._rank) + 1)
         self._longest = max(map(len, self._rank))
+        self._heads = {word[:SHORTEST_WORD] for word in self._rank}
         self._unit = lru_cache(1 << 12)(self.cost)
 
     def word(self, segment: str) -> int | None:
@@ -130,12 +159,6 @@ class GuessCost:
         )
         return millibits(rank) + case + 1000 * replaced
 
-    def _dates(self, value: str, i: int) -> Iterator[tuple[int, int]]:
-        for size in (4, 6, 8, 10):
-            cost = date(value[i:i + size]) if i + size <= len(value) else None
-            if cost is not None:
-                yield i + size, cost
-
     def _words(self, value: str, i: int) -> Iterator[tuple[int, int]]:
         for j in range(i + SHORTEST_WORD, min(len(value), i + self._longest) + 1):
             cost = self.word(value[i:j])
@@ -155,35 +178,31 @@ class GuessCost:
                 if size * times >= SHORTEST_RUN:
                     yield j, cost + TIMES[times]
 
-    def _walks(self, value: str, i: int) -> Iterator[tuple[int, int]]:
-        """Sequences in one direction, and walks over neighbouring keys with turns."""
-        end = min(len(value), i + LONGEST)
-        way = sequence_step(value[i], value[i + 1]) if i + 1 < end else 0
-        j = i + 1
-        while way and j < end and sequence_step(value[j - 1], value[j]) == way:
-            j += 1
-            if j - i >= SHORTEST_RUN:
-                yield j, KEY + TIMES[j - i]
-        turns, last = 0, None
-        for j in range(i + 1, end):
-            heading = walk_step(value[j - 1], value[j])
-            if heading is None:
-                return
-            turns += last is not None and heading != last
-            last = heading
-            if j + 1 - i >= SHORTEST_RUN:
-                yield j + 1, KEY + TIMES[j + 1 - i] + turns * TURN
+    def _segments(self, value: str, lower: str, plain: str, i: int) -> Iterator[tuple[int, int]]:
+        """(end, cost) of the segments that begin at i, but for brute force.
+
+        Each kind is tried only where its first characters allow it.
+        """
+        head = slice(i, i + SHORTEST_WORD)
+        if lower[head] in self._heads or plain[head] in self._heads:
+            yield from self._words(value, i)
+        if "0" <= value[i] <= "9":
+            yield from _dates(value, i)
+        if value[i] in value[i + 1:i + 1 + LONGEST_UNIT]:
+            yield from self._repeats(value, i)
+        yield from _walks(value, i)
 
     def cost(self, value: str) -> int:
         """Thousandths of a bit; 0 for an empty value."""
+        lower = value.translate(_ASCII_LOWER)
+        plain = lower.translate(_PLAIN)
         best = [0] + [NEVER] * len(value)
         open_span = NEVER
         for i, c in enumerate(value):
             here = best[i] + SEGMENT
-            for kind in (self._words, self._dates, self._repeats, self._walks):
-                for j, cost in kind(value, i):
-                    if here + cost < best[j]:
-                        best[j] = here + cost
+            for j, cost in self._segments(value, lower, plain, i):
+                if here + cost < best[j]:
+                    best[j] = here + cost
             # A brute-force span goes on, or begins here.
             open_span = min(open_span, here) + character(c)
             best[i + 1] = min(best[i + 1], open_span)
