@@ -176,6 +176,28 @@ SUBMISSION_PROVIDER_TYPES = ("01", "02")
 # --------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class ClaimRules:
+    """Which claims the filters accept; claim types and bill types are the caller's to edit.
+
+    ``years`` limits the filters to claims with a through date in one of these years; without
+    any, a line only has to fall in a year of the procedure list.
+    """
+
+    physician_types: tuple[str, ...] = PHYSICIAN_CLAIM_TYPES
+    inpatient_bills: tuple[str, ...] = INPATIENT_BILL_TYPES
+    outpatient_bills: tuple[str, ...] = OUTPATIENT_BILL_TYPES
+    years: tuple[int, ...] = ()
+
+    def __post_init__(self) -> None:
+        for code in self.physician_types:
+            if not code or code != code.strip():
+                raise ValueError(f"claim type {code!r} is empty or has blanks around it")
+        for code in self.inpatient_bills + self.outpatient_bills:
+            if len(code) != 2 or not code.isalnum():
+                raise ValueError(f"a bill type has two letters or digits, not {code!r}")
+
+
 @dataclass(frozen=True)
 class Interaction:
     label: str
@@ -257,5 +279,6 @@ def _v23() -> ModelSpec:
     )
 
 
+CLAIM_RULES = ClaimRules()
 V22 = _v22()
 V23 = _v23()

@@ -1,7 +1,8 @@
 """Which claims count for risk adjustment: physician, inpatient and outpatient filters.
 
 Each filter returns the distinct claim numbers of the lines it accepts.  Only the columns a
-filter needs leave the scan, and the one shuffle carries distinct claim numbers.
+filter needs leave the scan, and the one shuffle carries distinct claim numbers.  Beside every
+test on a computed value stands one on bare columns that it implies, for the scan to skip by.
 """
 
 from __future__ import annotations
@@ -9,11 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.codes import code_in
+from riskweave.functions.codes import (
+    any_of,
+    code_in,
+    implied_by_blank_concat,
+    implied_by_concat,
+    in_years,
+    starts_with_any,
+)
 from riskweave.functions.lookups import lookup_join
-from riskweave.models import INPATIENT_BILL_TYPES, OUTPATIENT_BILL_TYPES, PHYSICIAN_CLAIM_TYPES
+from riskweave.models import CLAIM_RULES, ClaimRules
 
 CLAIM = "clm_cntl_num"
+FACILITY, SERVICE, WHOLE_BILL = "clm_fac_type_cd", "clm_srvc_clsfctn_type_cd", "type_of_bill"
 _CODE_AND_YEAR = ("hcpcs_cd", "cy")
 
 
@@ -21,15 +30,37 @@ def bill_type_in(claims: DataFrame, types: tuple[str, ...]) -> Column:
     """Type of bill of each row: facility || service, or where a row lacks either, the first two
     characters of the whole form.  A whole form with a leading zero matches nothing."""
     forms = []
-    if {"clm_fac_type_cd", "clm_srvc_clsfctn_type_cd"} <= set(claims.columns):
-        forms.append(F.rtrim(F.concat("clm_fac_type_cd", "clm_srvc_clsfctn_type_cd")))
-    if "type_of_bill" in claims.columns:
-        whole = F.substring("type_of_bill", 1, 2)
+    if {FACILITY, SERVICE} <= set(claims.columns):
+        forms.append(F.rtrim(F.concat(FACILITY, SERVICE)))
+    if WHOLE_BILL in claims.columns:
+        whole = F.substring(WHOLE_BILL, 1, 2)
         # Blank parts are as good as absent ones when the row has the whole form.
         forms = [F.coalesce(*(F.when(form != "", form) for form in forms), whole)]
     return forms[0].isin(*types)
 
 
+def may_be_bill_type(claims: DataFrame, types: tuple[str, ...]) -> Column:
+    """Implied by ``bill_type_in``, on bare columns."""
+    parts, whole = {FACILITY, SERVICE} <= set(claims.columns), WHOLE_BILL in claims.columns
+    tests = []
+    if parts:
+        tests.append(implied_by_concat(FACILITY, SERVICE, types))
+    if whole:
+        begins = starts_with_any(WHOLE_BILL, types)
+        tests.append(implied_by_blank_concat(FACILITY, SERVICE) & begins if parts else begins)
+    return any_of(tests)
+
+
+def _of_years(claims: DataFrame, rules: ClaimRules) -> DataFrame:
+    return claims.where(in_years("clm_thru_dt", rules.years)) if rules.years else claims
+
+
+def _of_bill_type(claims: DataFrame, types: tuple[str, ...], rules: ClaimRules) -> DataFrame:
+    return _of_years(claims, rules).where(
+        may_be_bill_type(claims, types) & bill_type_in(claims, types)
+    )
+
+
 def _listed(cpt: DataFrame) -> DataFrame:
     return cpt.select(F.col("hcpcs_cpt_code").alias("hcpcs_cd"), "cy").distinct()
 
@@ -46,19 +77,24 @@ def _with_listed_line(lines: DataFrame, cpt: DataFrame) -> DataFrame:
     return matched.select(CLAIM).distinct()
 
 
-def eds_physician(claims: DataFrame, cpt: DataFrame) -> DataFrame:
+def eds_physician(
+    claims: DataFrame, cpt: DataFrame, rules: ClaimRules = CLAIM_RULES
+) -> DataFrame:
     """Physician claims with a line whose procedure code is listed for the line's year."""
-    return _with_listed_line(claims.where(code_in("clm_type_cd", PHYSICIAN_CLAIM_TYPES)), cpt)
+    lines = _of_years(claims, rules).where(code_in("clm_type_cd", rules.physician_types))
+    return _with_listed_line(lines, cpt)
 
 
-def eds_inpatient(claims: DataFrame) -> DataFrame:
+def eds_inpatient(claims: DataFrame, rules: ClaimRules = CLAIM_RULES) -> DataFrame:
     """Inpatient claims by type of bill; no procedure code is asked for."""
-    return claims.where(bill_type_in(claims, INPATIENT_BILL_TYPES)).select(CLAIM).distinct()
+    return _of_bill_type(claims, rules.inpatient_bills, rules).select(CLAIM).distinct()
 
 
-def eds_outpatient(claims: DataFrame, cpt: DataFrame) -> DataFrame:
+def eds_outpatient(
+    claims: DataFrame, cpt: DataFrame, rules: ClaimRules = CLAIM_RULES
+) -> DataFrame:
     """Outpatient claims by type of bill, of any claim type, with a listed line."""
-    return _with_listed_line(claims.where(bill_type_in(claims, OUTPATIENT_BILL_TYPES)), cpt)
+    return _with_listed_line(_of_bill_type(claims, rules.outpatient_bills, rules), cpt)
 
 
 def eds_all(physician: DataFrame, inpatient: DataFrame, outpatient: DataFrame) -> DataFrame:
@@ -66,16 +102,22 @@ def eds_all(physician: DataFrame, inpatient: DataFrame, outpatient: DataFrame) -
     return physician.union(inpatient).union(outpatient).distinct()
 
 
-def claim_flags(claims: DataFrame, cpt: DataFrame) -> DataFrame:
+def claim_flags(
+    claims: DataFrame, cpt: DataFrame, rules: ClaimRules = CLAIM_RULES
+) -> DataFrame:
     """One row per claim that passes a filter, with a boolean per filter.
 
     All three lists and their union from one scan, one lookup and one shuffle.
     """
-    by_type = code_in("clm_type_cd", PHYSICIAN_CLAIM_TYPES)
-    inpatient = bill_type_in(claims, INPATIENT_BILL_TYPES)
-    outpatient = bill_type_in(claims, OUTPATIENT_BILL_TYPES)
+    by_type = code_in("clm_type_cd", rules.physician_types)
+    inpatient = bill_type_in(claims, rules.inpatient_bills)
+    outpatient = bill_type_in(claims, rules.outpatient_bills)
+    candidates = _of_years(claims, rules).where(
+        starts_with_any("clm_type_cd", rules.physician_types)
+        | may_be_bill_type(claims, rules.inpatient_bills + rules.outpatient_bills)
+    )
     lines = _code_lines(
-        claims.where(by_type | inpatient | outpatient),
+        candidates.where(by_type | inpatient | outpatient),
         by_type.alias("by_type"), inpatient.alias("inpatient"), outpatient.alias("outpatient"),
     )
     listed = _listed(cpt).withColumn("listed", F.lit(True))
@@ -92,9 +134,11 @@ def claim_flags(claims: DataFrame, cpt: DataFrame) -> DataFrame:
     return passing.groupBy(CLAIM).agg(*(F.bool_or(name).alias(name) for name in rules))
 
 
-def eligible_claims(claims: DataFrame, cpt: DataFrame) -> DataFrame:
+def eligible_claims(
+    claims: DataFrame, cpt: DataFrame, rules: ClaimRules = CLAIM_RULES
+) -> DataFrame:
     """The same list as ``eds_all`` of the three filters, from one scan and one shuffle."""
-    return claim_flags(claims, cpt).select(CLAIM)
+    return claim_flags(claims, cpt, rules).select(CLAIM)
 
 
 def flag_eds_eligible(claims: DataFrame, eligible: DataFrame) -> DataFrame:

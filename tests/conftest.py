@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import os
 import sys
@@ -35,6 +36,22 @@ def sf_dir() -> str:
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
+@contextlib.contextmanager
+def settings(spark, **values):
+    names = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 PERSON_SCHEMA = "hicn string, dob date, sex int, orec int, medicaid int, model string"
 
 

@@ -1,0 +1,108 @@
+"""Claim filters at the scan: what is pushed down, what it may not drop, years and edited types."""
+
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import settings
+from riskweave.models import CLAIM_RULES, ClaimRules
+from riskweave.operators import eds
+from riskweave.sources import ingest
+from riskweave.sources.tables import materialize
+
+PIECES = (None, "", " ", "  ", "1", "1 ", " 1", "4", "11", "11 ", "12", "2", "41", "8", "85", "119")
+BILLS = (None, "", "11", "110", "0110", " 11", "12x", "85", "4")
+CODES = ("4700", "4700 ", "4000", "47000", None)
+
+
+def lines(spark, whole: bool, parts: bool = True):
+    """Every combination of odd bill type columns, a claim each."""
+    rows = [
+        (f"K{i}", fac, srv, bill, CODES[i % len(CODES)], "C1", dt.date(2015 + i % 6, 3, 1))
+        for i, (fac, srv, bill) in enumerate(itertools.product(PIECES, PIECES, BILLS))
+    ]
+    claims = spark.createDataFrame(
+        rows, "clm_cntl_num string, clm_fac_type_cd string, clm_srvc_clsfctn_type_cd string,"
+              " type_of_bill string, clm_type_cd string, hcpcs_cd string, clm_thru_dt date")
+    if not whole:
+        claims = claims.drop("type_of_bill")
+    if not parts:
+        claims = claims.drop("clm_fac_type_cd", "clm_srvc_clsfctn_type_cd")
+    return ingest.claims(materialize(claims, f"bill_types_{whole}_{parts}"))
+
+
+def listed(spark, *years):
+    return spark.createDataFrame([("C1", y) for y in years], "hcpcs_cpt_code string, cy int")
+
+
+@pytest.mark.parametrize(("whole", "parts"), [(False, True), (True, True), (True, False)])
+def test_the_pushed_test_drops_nothing(spark, whole, parts):
+    claims = lines(spark, whole, parts)
+    for types in (CLAIM_RULES.inpatient_bills, CLAIM_RULES.outpatient_bills, ("1A",)):
+        exact = F.coalesce(eds.bill_type_in(claims, types), F.lit(False))
+        may = F.coalesce(eds.may_be_bill_type(claims, types), F.lit(False))
+        lost, kept = claims.select(
+            F.count_if(exact & ~may), F.count_if(may)).first()
+        assert lost == 0
+        assert kept < claims.count()
+
+
+def pushed(df) -> str:
+    with settings(df.sparkSession, spark__sql__maxMetadataStringLength="100000"):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 1
+    return re.search(r"PushedFilters: \[(.*?)\], ReadSchema", scans[0])[1]
+
+
+def test_every_filter_reaches_the_scan(spark):
+    claims, cpt = lines(spark, True), listed(spark, 2018)
+    assert "StringStartsWith(clm_type_cd,4700)" in pushed(eds.eds_physician(claims, cpt))
+    for df in (eds.eds_inpatient(claims), eds.eds_outpatient(claims, cpt),
+               eds.claim_flags(claims, cpt)):
+        assert "StringStartsWith(clm_fac_type_cd,1" in pushed(df)
+        assert "StringStartsWith(type_of_bill,1" in pushed(df)
+    assert "StringStartsWith(clm_type_cd,4700)" in pushed(eds.claim_flags(claims, cpt))
+
+
+def test_years_are_pushed_as_ranges_and_limit_every_list(spark):
+    rules = ClaimRules(years=(2016, 2018, 2017, 2020))
+    claims, cpt = lines(spark, False), listed(spark, *range(2010, 2030))
+    inside = claims.where("year(clm_thru_dt) in (2016, 2017, 2018, 2020)")
+    for limited, plain in (
+        (eds.eds_physician(claims, cpt, rules), eds.eds_physician(inside, cpt)),
+        (eds.eds_inpatient(claims, rules), eds.eds_inpatient(inside)),
+        (eds.eds_outpatient(claims, cpt, rules), eds.eds_outpatient(inside, cpt)),
+        (eds.eligible_claims(claims, cpt, rules), eds.eligible_claims(inside, cpt)),
+    ):
+        text = pushed(limited)
+        assert "GreaterThanOrEqual(clm_thru_dt,2016-01-01)" in text
+        assert "LessThan(clm_thru_dt,2019-01-01)" in text
+        assert "LessThan(clm_thru_dt,2017-01-01)" not in text
+        got = sorted(r[0] for r in limited.collect())
+        assert got and got == sorted(r[0] for r in plain.collect())
+
+
+def test_edited_types(spark):
+    claims = lines(spark, True)
+    rules = ClaimRules(physician_types=("4000",), inpatient_bills=("12",), outpatient_bills=("11",))
+    cpt = listed(spark, *range(2010, 2030))
+    flags = eds.claim_flags(claims, cpt, rules)
+    for name, alone in (("physician", eds.eds_physician(claims, cpt, rules)),
+                        ("inpatient", eds.eds_inpatient(claims, rules)),
+                        ("outpatient", eds.eds_outpatient(claims, cpt, rules))):
+        got = sorted(r[0] for r in flags.where(name).collect())
+        assert got and got == sorted(r[0] for r in alone.collect())
+
+
+@pytest.mark.parametrize("wrong", [
+    {"physician_types": ("",)}, {"physician_types": ("4700 ",)}, {"inpatient_bills": ("111",)},
+    {"outpatient_bills": ("1",)}, {"outpatient_bills": ("1 ",)}])
+def test_codes_that_cannot_match_are_refused(wrong):
+    with pytest.raises(ValueError):
+        ClaimRules(**wrong)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import contextlib
 import re
 
 import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conftest import mapping_by_number
+from conftest import mapping_by_number, settings
 from riskweave.checks import fixtures
 from riskweave.functions import lookups
 from riskweave.models import V22, V23
@@ -34,22 +33,6 @@ def shuffles(plan: str) -> list[str]:
     return re.findall(r"^.*Exchange hashpartitioning\((\w+)#", plan, re.MULTILINE)
 
 
-@contextlib.contextmanager
-def settings(spark, **values):
-    names = {k.replace("__", "."): v for k, v in values.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def small_partitions(spark):
     return settings(
         spark,
