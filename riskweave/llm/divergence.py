@@ -1,8 +1,9 @@
 """How much the sources of a language differ in their words, by in-mapper stripes.
 
 Each task folds whole documents into one stripe a language and term: the number of documents
-that hold the term, and its occurrences in each source.  Stripes that outgrow ``SPILL`` cells
-are passed on and begun anew, so a task's memory is bounded.  Equal keys are merged behind one
+that hold the term, and its occurrences in each source.  When stripes outgrow ``SPILL`` cells,
+those of one document so far are spilled, or all if that frees too little; so a task's memory is
+bounded, and frequent terms stay until its end.  Cells of equal keys are merged behind one
 shuffle, to which a frequent term or a large source comes as one stripe a task.  Stripes with
 enough documents are written; their sums give every group's size.  The merged stripes then emit
 the divergences: shards of bounded size, each together with the group sizes, give sums for pairs
@@ -20,11 +21,11 @@ own; other columns are not read; an empty table gives no rows.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.scratch import Scratch
@@ -34,12 +35,13 @@ LEAST_DOCS = 3
 BEST = 200
 UNIT_STEPS = 3  # shares are in units of 1000 ** -3
 TABLE = byte_table(LETTERS)
-SPILL = 1 << 18
-SHARD = 1 << 17
+SPILL = 1 << 17
+SHARD = 1 << 19
 CELLS = 1 << 20
 #: Stripe that lists a language's sources.  No term is empty.
 NO_TERM = b""
-STRIPE = "lang string, term binary, df long, source array<string>, n array<long>"
+#: A cell of a stripe; its first cell carries the number of documents, the others 0.
+CELL = "lang string, term binary, source string, n long, df long"
 FOUND = "lang string, source string, part string, item binary, value long"
 
 
@@ -48,17 +50,15 @@ class Stripes:
 
     def __init__(self, spill: int = SPILL):
         self._spill = spill
-        self._begin()
-
-    def _begin(self) -> None:
-        self.cells, self._of = 0, {}
+        self.cells = 0
+        self._of: dict[str, dict[bytes, dict[str | None, int]]] = {}
 
     def add(self, lang: str, source: str, text: bytes | None) -> None:
         counts = Counter()
         for part in term_lists(text, TABLE):
             counts.update(part)
-        terms = self._of.setdefault(lang, {NO_TERM: {None: 0}})
-        terms[NO_TERM][source] = 0
+        terms = self._of.setdefault(lang, {})
+        terms.setdefault(NO_TERM, {None: 0})[source] = 0
         for term, n in counts.items():
             stripe = terms.get(term)
             if stripe is None:
@@ -75,25 +75,44 @@ class Stripes:
     def full(self) -> bool:
         return self.cells >= self._spill
 
+    def spill(self) -> Iterator[pa.RecordBatch]:
+        yield self._drain(lambda df: df == 1)
+        if self.cells > self._spill // 2:
+            yield self.drain()
+
     def drain(self) -> pa.RecordBatch:
-        langs, names, df, sources, counts = [], [], [], [], []
+        return self._drain(lambda df: True)
+
+    def _drain(self, goes: Callable[[int], bool]) -> pa.RecordBatch:
+        langs, names, sources, counts, documents = [], [], [], [], []
+        self.cells = 0
         for lang, terms in self._of.items():
-            langs += [lang] * len(terms)
-            names += terms
-            for stripe in terms.values():
-                df.append(stripe.pop(None))
-                sources.append(list(stripe))
-                counts.append(list(stripe.values()))
-        self._begin()
+            stay = {}
+            for term, stripe in terms.items():
+                df = stripe[None]
+                if not goes(df):
+                    stay[term] = stripe
+                    self.cells += len(stripe) - 1
+                    continue
+                for source, n in stripe.items():
+                    if source is not None:
+                        langs.append(lang)
+                        names.append(term)
+                        sources.append(source)
+                        counts.append(n)
+                        documents.append(df)
+                        df = 0
+            self._of[lang] = stay
         return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(names, pa.binary()), pa.array(df, pa.int64()),
-             pa.array(sources, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))],
-            ["lang", "term", "df", "source", "n"],
+            [pa.array(langs, pa.string()), pa.array(names, pa.binary()),
+             pa.array(sources, pa.string()), pa.array(counts, pa.int64()),
+             pa.array(documents, pa.int64())],
+            ["lang", "term", "source", "n", "df"],
         )
 
 
-def partial_stripes(docs: DataFrame, spill: int = SPILL) -> DataFrame:
-    """Stripes of every task, a key once for each time that its task spills."""
+def partial_cells(docs: DataFrame, spill: int = SPILL) -> DataFrame:
+    """Cells of every task's stripes, a cell once for each time that it is spilled."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stripes = Stripes(spill)
         for batch in batches:
@@ -101,7 +120,7 @@ def partial_stripes(docs: DataFrame, spill: int = SPILL) -> DataFrame:
             for lang, source, text in zip(*columns, strict=True):
                 stripes.add(lang.as_py(), source.as_py(), text.as_py())
                 if stripes.full():
-                    yield stripes.drain()
+                    yield from stripes.spill()
         yield stripes.drain()
 
     texts = docs.select(
@@ -109,32 +128,26 @@ def partial_stripes(docs: DataFrame, spill: int = SPILL) -> DataFrame:
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.col("text").cast("binary").alias("text"),
     )
-    return texts.mapInArrow(rows, STRIPE)
+    return texts.mapInArrow(rows, CELL)
 
 
-def merged_stripes(partial: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
-    """One stripe a key: kept terms, and the stripe of sources.  One shuffle, by key."""
-    dealt = partial.repartition("lang", "term").select(
-        "lang", "term", "df", F.posexplode(F.arrays_zip("source", "n")).alias("at", "cell")
-    )
-    cells = dealt.groupBy("lang", "term", F.col("cell.source").alias("source")).agg(
-        F.sum("cell.n").alias("n"), F.sum(F.when(F.col("at") == 0, F.col("df"))).alias("df")
-    )
-    whole = cells.groupBy("lang", "term").agg(
-        F.sum("df").alias("df"), F.collect_list(F.struct("source", "n")).alias("cells")
-    )
-    return whole.where((F.col("df") >= least) | (F.col("term") == F.lit(NO_TERM))).select(
-        "lang", "term", "df", F.col("cells.source").alias("source"), F.col("cells.n").alias("n")
-    )
+def merged_cells(partial: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
+    """lang, term, source and n of kept terms, each once.  One shuffle, by lang and term.
+
+    Most terms are rare and go before their cells are added up.
+    """
+    documents = F.sum("df").over(Window.partitionBy("lang", "term"))
+    dealt = partial.repartition("lang", "term").withColumn("documents", documents)
+    kept = dealt.where((F.col("documents") >= least) | (F.col("term") == F.lit(NO_TERM)))
+    return kept.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
 
 
-def group_sizes(stripes: DataFrame) -> DataFrame:
+def group_sizes(cells: DataFrame) -> DataFrame:
     """lang, source, size (occurrences of kept terms) and kept (the language's kept terms)."""
-    cells = stripes.select("lang", F.explode(F.arrays_zip("source", "n")).alias("cell"))
-    sizes = cells.groupBy("lang", F.col("cell.source").alias("source")).agg(
-        F.sum("cell.n").alias("size")
+    sizes = cells.groupBy("lang", "source").agg(F.sum("n").alias("size"))
+    kept = cells.select("lang", "term").distinct().groupBy("lang").agg(
+        (F.count(F.lit(1)) - 1).alias("kept")
     )
-    kept = stripes.groupBy("lang").agg((F.count(F.lit(1)) - 1).alias("kept"))
     return sizes.join(kept, "lang")
 
 
@@ -152,24 +165,18 @@ def gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def _counts(stripes: pa.Table, sources: list[str]) -> np.ndarray:
-    """Occurrences by term and source."""
-    sizes = pa.compute.list_value_length(stripes.column("n")).to_numpy()
-    rows = np.repeat(np.arange(len(sizes)), sizes)
-    names = pa.compute.list_flatten(stripes.column("source"))
-    columns = pa.compute.index_in(names, value_set=pa.array(sources, pa.string())).to_numpy()
-    counts = np.zeros((len(sizes), len(sources)), np.int64)
-    counts[rows, columns] = pa.compute.list_flatten(stripes.column("n")).to_numpy()
-    return counts
-
-
-def _language(lang: str, stripes: pa.Table, groups: pa.Table, best: int) -> Iterator[pa.Table]:
-    """Partial pair sums and best terms of one language's stripes, which are sorted by term."""
+def _language(lang: str, cells: pa.Table, groups: pa.Table, best: int) -> Iterator[pa.Table]:
+    """Partial pair sums and best terms of one language's cells, which are sorted by term."""
     sources = groups.column("source").to_pylist()
     sizes = groups.column("size").to_numpy().astype(np.int64)
     kept = groups.column("kept")[0].as_py()
     step = max(1, CELLS // len(sources))
     encoded = np.array([s.encode() for s in sources] + [None], object)[:-1]
+    coded = cells.column("term").combine_chunks().dictionary_encode()
+    names, row = _plain(coded).dictionary.to_pylist(), _plain(coded).indices.to_numpy()
+    column = pa.compute.index_in(
+        cells.column("source"), value_set=pa.array(sources, pa.string())).to_numpy()
+    occurrences = cells.column("n").to_numpy()
 
     def table(source, part, items, values) -> pa.Table:
         n = len(values)
@@ -179,12 +186,13 @@ def _language(lang: str, stripes: pa.Table, groups: pa.Table, best: int) -> Iter
             "value": pa.array(values, pa.int64()),
         })
 
-    for start in range(0, max(1, stripes.num_rows), step):
-        block = stripes.slice(start, step)
-        counts = _counts(block, sources)
+    for start in range(0, max(1, len(names)), step):
+        terms = np.array(names[start:start + step] + [None], object)[:-1]
+        own = slice(*np.searchsorted(row, [start, start + step]))
+        counts = np.zeros((len(terms), len(sources)), np.int64)
+        counts[row[own] - start, column[own]] = occurrences[own]
         p = share(counts, np.maximum(sizes + kept, 1))
         q = share(counts.sum(axis=1), max(1, int(sizes.sum()) + kept))
-        terms = np.array(block.column("term").to_pylist() + [None], object)[:-1]
         for g, source in enumerate(sources):
             sums = gap(p[:, g:g + 1], p).sum(axis=0)
             others = np.arange(len(sources)) != g
@@ -195,15 +203,19 @@ def _language(lang: str, stripes: pa.Table, groups: pa.Table, best: int) -> Iter
             yield table(source, "term", list(terms[rows[first]]), values[first])
 
 
-def _shard(stripes: pa.Table, groups: pa.Table, best: int) -> pa.Table:
-    """Rows of ``FOUND`` of one shard.  Shard 0 names every pair, even without stripes."""
+def _plain(array: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
+
+
+def _shard(cells: pa.Table, groups: pa.Table, best: int) -> pa.Table:
+    """Rows of ``FOUND`` of one shard.  Shard 0 names every pair, even without cells."""
     compute = pa.compute
     groups = groups.sort_by([("lang", "ascending"), ("source", "ascending")])
-    stripes = stripes.sort_by([("lang", "ascending"), ("term", "ascending")])
+    cells = cells.sort_by([("lang", "ascending"), ("term", "ascending")])
     first = groups.num_rows > 0 and groups.column("shard")[0].as_py() == 0
     found = []
     for lang in compute.unique(groups.column("lang")).to_pylist():
-        own = stripes.filter(compute.equal(stripes.column("lang"), lang))
+        own = cells.filter(compute.equal(cells.column("lang"), lang))
         if first or own.num_rows:
             of_lang = groups.filter(compute.equal(groups.column("lang"), lang))
             found += _language(lang, own, of_lang, best)
@@ -215,10 +227,10 @@ def _shard(stripes: pa.Table, groups: pa.Table, best: int) -> pa.Table:
 def divergences(docs: DataFrame, scratch: Scratch, least: int = LEAST_DOCS, best: int = BEST,
                 spill: int = SPILL, shard: int = SHARD) -> DataFrame:
     """lang, source, part, item, value and rank: every other source, and the best terms."""
-    stripes = scratch.keep(merged_stripes(partial_stripes(docs, spill), least), "stripes")
-    groups = scratch.keep(group_sizes(stripes), "groups")
-    shards = max(1, -(-stripes.count() // shard))
-    dealt = stripes.where(F.col("term") != F.lit(NO_TERM)).withColumn(
+    cells = scratch.keep(merged_cells(partial_cells(docs, spill), least), "stripes")
+    groups = scratch.keep(group_sizes(cells), "groups")
+    shards = max(1, -(-cells.count() // shard))
+    dealt = cells.where(F.col("term") != F.lit(NO_TERM)).withColumn(
         "shard", F.pmod(F.xxhash64("lang", "term"), F.lit(shards)).cast("int")
     )
     sizes = groups.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
