@@ -31,6 +31,20 @@ select concat('B', cast(o_custkey as string)) as hicn,
 from {orders}
 """
 
+# Identifiers as a plan may give them: lower case, or with trailing blanks.
+ELIGIBILITY_MIXED_CASE = f"""
+select case extract(day from dob) % 3 when 0 then lower(hicn) when 1 then concat(hicn, '  ') else hicn end as hicn,
+ dob, sex, orec, medicaid, model
+from ({ELIGIBILITY}) e
+"""
+
+# Every fourth person has a second row, institutional and of the other sex.
+SECOND_ROWS = f"""
+select hicn, dob, cast(3 - sex as int) as sex, orec, medicaid, 'I' as model
+from ({ELIGIBILITY}) e where extract(day from dob) % 4 = 0
+"""
+ELIGIBILITY_REPEATED = f"{ELIGIBILITY} union all {SECOND_ROWS}"
+
 # Dual status codes 01 to 12 by customer.
 DUAL_STATUS = """
 select concat('B', cast(c_custkey as string)) as hicn,
@@ -49,6 +63,16 @@ select concat('K', cast(l_orderkey as string)) as clm_cntl_num, l_linenumber as
 from {lineitem}
 """
 
+# The type of bill in parts, whole with blank parts, or whole with a leading zero.
+CLAIM_LINES_MIXED_BILL = f"""
+select clm_cntl_num, clm_line_num, clm_thru_dt, clm_type_cd, hcpcs_cd,
+ case clm_line_num % 3 when 0 then '' when 1 then clm_fac_type_cd end as clm_fac_type_cd,
+ case clm_line_num % 3 when 0 then ' ' when 1 then clm_srvc_clsfctn_type_cd end as clm_srvc_clsfctn_type_cd,
+ case clm_line_num % 3 when 0 then concat(clm_fac_type_cd, clm_srvc_clsfctn_type_cd, '4')
+  when 2 then concat('0', clm_fac_type_cd, clm_srvc_clsfctn_type_cd) end as type_of_bill
+from ({CLAIM_LINES}) l
+"""
+
 CLAIMS = """
 select concat('K', cast(l_orderkey as string)) as clm_cntl_num, l_linenumber as clm_line_num,
  concat('B', cast(o_custkey as string)) as hicn,
@@ -70,9 +94,24 @@ select concat('b', cast(o_custkey as string), ' ') as hicn,
 from {orders}
 """
 
-MAPPING = """
+# --------------------------------------------------------------------------
+# Categories that the invented diagnoses map to, those of the models and others.
+# --------------------------------------------------------------------------
+MAPPED_CATEGORIES = (
+    1, 2, 6, 8, 9, 10, 11, 12, 17, 18, 19, 21, 22, 23, 27, 28, 29, 33, 34, 35, 39, 40, 46, 47,
+    48, 54, 55, 56, 57, 58, 59, 60, 70, 71, 72, 73, 74, 75, 76, 77, 78, 79, 80, 82, 83, 84, 85,
+    86, 87, 88, 96, 99, 100, 103, 104, 106, 107, 108, 110, 111, 112, 114, 115, 122, 124, 134,
+    135, 136, 137, 138, 157, 158, 161, 162, 166, 167, 169, 170, 173, 176, 186, 188, 189, 3, 5,
+    20, 50, 101, 200,
+)
+# --------------------------------------------------------------------------
+# End of the fixed values.
+# --------------------------------------------------------------------------
+
+_CASES = " ".join(f"when {i} then {number}" for i, number in enumerate(MAPPED_CATEGORIES[:89]))
+MAPPING = f"""
 select concat('D', lpad(cast(id % 95 as string), 2, '0'), cast(id % 7 as string)) as diag,
- case when id % 95 < 89 then cast(substr('001002006008009010011012017018019021022023027028029033034035039040046047048054055056057058059060070071072073074075076077078079080082083084085086087088096099100103104106107108110111112114115122124134135136137138157158161162166167169170173176186188189003005020050101200', cast(1 + 3 * (id % 95) as int), 3) as int) when id % 95 = 89 then 1000 end as hcc
+ case id % 95 {_CASES} when 89 then 1000 end as hcc
 from range(665) t(id) where id % 95 < 92
 union all select 'D000' as diag, 85 as hcc
 """
@@ -115,6 +154,18 @@ def eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.eligibility(_derive(spark, sf_dir, ELIGIBILITY))
 
 
+def eligibility_mixed_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.eligibility(_derive(spark, sf_dir, ELIGIBILITY_MIXED_CASE))
+
+
+def eligibility_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.eligibility(_derive(spark, sf_dir, ELIGIBILITY_REPEATED))
+
+
+def claim_lines_mixed_bill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.claims(_derive(spark, sf_dir, CLAIM_LINES_MIXED_BILL))
+
+
 def eligibility_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.eligibility(_derive(spark, sf_dir, ELIGIBILITY_PER_ORDER))
 
@@ -149,8 +200,15 @@ def cpt_list(spark: SparkSession) -> DataFrame:
 
 
 def weights(spark: SparkSession, spec: ModelSpec) -> DataFrame:
+    """Every lookup key has a coefficient for every variable."""
     labels = F.expr("array(" + ", ".join(f"'{label}'" for label in spec.labels) + ")")
     numbered = _reference(spark, WEIGHTS).where(F.col("i") <= len(spec.labels))
     return ingest.weights(
         numbered.select("lookup_key", F.element_at(labels, F.col("i")).alias("variable"), "coef")
     )
+
+
+def weights_with_null(spark: SparkSession, spec: ModelSpec) -> DataFrame:
+    """The same, but one coefficient of the key CN0 is NULL."""
+    hole = (F.col("lookup_key") == "CN0") & (F.col("variable") == spec.labels[2].upper())
+    return weights(spark, spec).withColumn("coef", F.when(~hole, F.col("coef")))

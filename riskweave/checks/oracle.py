@@ -7,6 +7,8 @@ again here instead of being read from the model specs.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from riskweave.checks import fixtures
 
 # --------------------------------------------------------------------------
@@ -14,90 +16,155 @@ from riskweave.checks import fixtures
 # --------------------------------------------------------------------------
 
 HCCS = {
-    "v22": """1 2 6 8 9 10 11 12 17 18 19 21 22 23 27 28 29 33 34 35 39 40 46 47 48 54 55 57 58
-        70 71 72 73 74 75 76 77 78 79 80 82 83 84 85 86 87 88 96 99 100 103 104 106 107 108 110
-        111 112 114 115 122 124 134 135 136 137 157 158 161 162 166 167 169 170 173 176 186 188
-        189""",
-    "v23": """1 2 6 8 9 10 11 12 17 18 19 21 22 23 27 28 29 33 34 35 39 40 46 47 48 54 55 56 57
-        58 59 60 70 71 72 73 74 75 76 77 78 79 80 82 83 84 85 86 87 88 96 99 100 103 104 106 107
-        108 110 111 112 114 115 122 124 134 135 136 137 138 157 158 161 162 166 167 169 170 173
-        176 186 188 189""",
+    "v22": (
+        1, 2, 6, 8, 9, 10, 11, 12, 17, 18, 19, 21, 22, 23, 27, 28, 29, 33, 34, 35, 39, 40, 46,
+        47, 48, 54, 55, 57, 58, 70, 71, 72, 73, 74, 75, 76, 77, 78, 79, 80, 82, 83, 84, 85, 86,
+        87, 88, 96, 99, 100, 103, 104, 106, 107, 108, 110, 111, 112, 114, 115, 122, 124, 134,
+        135, 136, 137, 157, 158, 161, 162, 166, 167, 169, 170, 173, 176, 186, 188, 189,
+    ),
+    "v23": (
+        1, 2, 6, 8, 9, 10, 11, 12, 17, 18, 19, 21, 22, 23, 27, 28, 29, 33, 34, 35, 39, 40, 46,
+        47, 48, 54, 55, 56, 57, 58, 59, 60, 70, 71, 72, 73, 74, 75, 76, 77, 78, 79, 80, 82, 83,
+        84, 85, 86, 87, 88, 96, 99, 100, 103, 104, 106, 107, 108, 110, 111, 112, 114, 115, 122,
+        124, 134, 135, 136, 137, 138, 157, 158, 161, 162, 166, 167, 169, 170, 173, 176, 186, 188,
+        189,
+    ),
 }
 
 # parent: dropped children
 DROPS = {
-    "v22": """
-        8: 9 10 11 12; 9: 10 11 12; 10: 11 12; 11: 12; 17: 18 19; 18: 19; 27: 28 29 80; 28: 29;
-        46: 48; 54: 55; 57: 58; 70: 71 72 103 104 169; 71: 72 104 169; 72: 169; 82: 83 84; 83: 84;
-        86: 87 88; 87: 88; 99: 100; 103: 104; 106: 107 108 161 189; 107: 108; 110: 111 112;
-        111: 112; 114: 115; 134: 135 136 137; 135: 136 137; 136: 137; 157: 158 161; 158: 161;
-        166: 80 167""",
-    "v23": """
-        8: 9 10 11 12; 9: 10 11 12; 10: 11 12; 11: 12; 17: 18 19; 18: 19; 27: 28 29 80; 28: 29;
-        46: 48; 54: 55 56; 55: 56; 57: 58 59 60; 58: 59 60; 59: 60; 70: 71 72 103 104 169;
-        71: 72 104 169; 72: 169; 82: 83 84; 83: 84; 86: 87 88; 87: 88; 99: 100; 103: 104;
-        106: 107 108 161 189; 107: 108; 110: 111 112; 111: 112; 114: 115; 134: 135 136 137 138;
-        135: 136 137 138; 136: 137 138; 137: 138; 157: 158 161; 158: 161; 166: 80 167""",
+    "v22": {
+        8: (9, 10, 11, 12),
+        9: (10, 11, 12),
+        10: (11, 12),
+        11: (12,),
+        17: (18, 19),
+        18: (19,),
+        27: (28, 29, 80),
+        28: (29,),
+        46: (48,),
+        54: (55,),
+        57: (58,),
+        70: (71, 72, 103, 104, 169),
+        71: (72, 104, 169),
+        72: (169,),
+        82: (83, 84),
+        83: (84,),
+        86: (87, 88),
+        87: (88,),
+        99: (100,),
+        103: (104,),
+        106: (107, 108, 161, 189),
+        107: (108,),
+        110: (111, 112),
+        111: (112,),
+        114: (115,),
+        134: (135, 136, 137),
+        135: (136, 137),
+        136: (137,),
+        157: (158, 161),
+        158: (161,),
+        166: (80, 167),
+    },
+    "v23": {
+        8: (9, 10, 11, 12),
+        9: (10, 11, 12),
+        10: (11, 12),
+        11: (12,),
+        17: (18, 19),
+        18: (19,),
+        27: (28, 29, 80),
+        28: (29,),
+        46: (48,),
+        54: (55, 56),
+        55: (56,),
+        57: (58, 59, 60),
+        58: (59, 60),
+        59: (60,),
+        70: (71, 72, 103, 104, 169),
+        71: (72, 104, 169),
+        72: (169,),
+        82: (83, 84),
+        83: (84,),
+        86: (87, 88),
+        87: (88,),
+        99: (100,),
+        103: (104,),
+        106: (107, 108, 161, 189),
+        107: (108,),
+        110: (111, 112),
+        111: (112,),
+        114: (115,),
+        134: (135, 136, 137, 138),
+        135: (136, 137, 138),
+        136: (137, 138),
+        137: (138,),
+        157: (158, 161),
+        158: (161,),
+        166: (80, 167),
+    },
 }
 
-# label: groups of which each must be hit; D = disabled
+# label, groups of which each must be hit, only when disabled
 INTERACTIONS = {
-    "v22": """
-        hcc47_gcancer: 47 & 8 9 10 11 12
-        hcc85_gdiabetesmellit: 85 & 17 18 19
-        hcc85_gcopdcf: 85 & 110 111 112
-        hcc85_grenal: 85 & 134 135 136 137
-        grespdepandarre_gcopdcf: 82 83 84 & 110 111 112
-        hcc85_hcc96: 85 & 96
-        gsubstanceabuse_gpsychiatric: 54 55 & 57 58
-        ltimcaid: -
-        origds: -
-        disabled_hcc85: 85 & D
-        disabled_pressure_ulcer: 157 158 & D
-        disabled_hcc161: 161 & D
-        disabled_hcc39: 39 & D
-        disabled_hcc77: 77 & D
-        disabled_hcc6: 6 & D
-        chf_gcopdcf: 85 & 110 111 112
-        gcopdcf_card_resp_fail: 82 83 84 & 110 111 112
-        sepsis_pressure_ulcer: 2 & 157 158
-        sepsis_artif_openings: 2 & 188
-        art_openings_pressure_ulcer: 188 & 157 158
-        diabetes_chf: 85 & 17 18 19
-        gcopdcf_asp_spec_bact_pneum: 114 & 110 111 112
-        asp_spec_bact_pneum_pres_ulc: 114 & 157 158
-        sepsis_asp_spec_bact_pneum: 2 & 114
-        schizophrenia_gcopdcf: 57 & 110 111 112
-        schizophrenia_chf: 57 & 85
-        schizophrenia_seizures: 57 & 79""",
-    "v23": """
-        HCC47_gCancer: 47 & 8 9 10 11 12
-        HCC85_gDiabetesMellit: 85 & 17 18 19
-        HCC85_gCopdCF: 85 & 110 111 112
-        HCC85_gRenal_V23: 85 & 134 135 136 137 138
-        grespDepandArre_gCopdCF: 82 83 84 & 110 111 112
-        HCC85_HCC96: 85 & 96
-        disable_substAbuse_psych_V23: 54 55 56 & 57 58 59 60 & D
-        LTIMCAID: -
-        ORIGDS: -
-        DISABLED_HCC85: 85 & D
-        DISABLED_PRESSURE_ULCER: 157 158 & D
-        DISABLED_HCC161: 161 & D
-        DISABLED_HCC39: 39 & D
-        DISABLED_HCC77: 77 & D
-        DISABLED_HCC6: 6 & D
-        CHF_gCopdCF: 85 & 110 111 112
-        gCopdCF_CARD_RESP_FAIL: 82 83 84 & 110 111 112
-        SEPSIS_PRESSURE_ULCER: 2 & 157 158
-        SEPSIS_ARTIF_OPENINGS: 2 & 188
-        ART_OPENINGS_PRESS_ULCER: 188 & 157 158
-        DIABETES_CHF: 85 & 17 18 19
-        gCopdCF_ASP_SPEC_B_PNEUM: 114 & 110 111 112
-        ASP_SPEC_B_PNEUM_PRES_ULC: 114 & 157 158
-        SEPSIS_ASP_SPEC_BACT_PNEUM: 2 & 114
-        SCHIZOPHRENIA_gCopdCF: 57 & 110 111 112
-        SCHIZOPHRENIA_CHF: 57 & 85
-        SCHIZOPHRENIA_SEIZURES: 57 & 79""",
+    "v22": (
+        ("hcc47_gcancer", ((47,), (8, 9, 10, 11, 12)), False),
+        ("hcc85_gdiabetesmellit", ((85,), (17, 18, 19)), False),
+        ("hcc85_gcopdcf", ((85,), (110, 111, 112)), False),
+        ("hcc85_grenal", ((85,), (134, 135, 136, 137)), False),
+        ("grespdepandarre_gcopdcf", ((82, 83, 84), (110, 111, 112)), False),
+        ("hcc85_hcc96", ((85,), (96,)), False),
+        ("gsubstanceabuse_gpsychiatric", ((54, 55), (57, 58)), False),
+        ("ltimcaid", (), False),
+        ("origds", (), False),
+        ("disabled_hcc85", ((85,),), True),
+        ("disabled_pressure_ulcer", ((157, 158),), True),
+        ("disabled_hcc161", ((161,),), True),
+        ("disabled_hcc39", ((39,),), True),
+        ("disabled_hcc77", ((77,),), True),
+        ("disabled_hcc6", ((6,),), True),
+        ("chf_gcopdcf", ((85,), (110, 111, 112)), False),
+        ("gcopdcf_card_resp_fail", ((82, 83, 84), (110, 111, 112)), False),
+        ("sepsis_pressure_ulcer", ((2,), (157, 158)), False),
+        ("sepsis_artif_openings", ((2,), (188,)), False),
+        ("art_openings_pressure_ulcer", ((188,), (157, 158)), False),
+        ("diabetes_chf", ((85,), (17, 18, 19)), False),
+        ("gcopdcf_asp_spec_bact_pneum", ((114,), (110, 111, 112)), False),
+        ("asp_spec_bact_pneum_pres_ulc", ((114,), (157, 158)), False),
+        ("sepsis_asp_spec_bact_pneum", ((2,), (114,)), False),
+        ("schizophrenia_gcopdcf", ((57,), (110, 111, 112)), False),
+        ("schizophrenia_chf", ((57,), (85,)), False),
+        ("schizophrenia_seizures", ((57,), (79,)), False),
+    ),
+    "v23": (
+        ("HCC47_gCancer", ((47,), (8, 9, 10, 11, 12)), False),
+        ("HCC85_gDiabetesMellit", ((85,), (17, 18, 19)), False),
+        ("HCC85_gCopdCF", ((85,), (110, 111, 112)), False),
+        ("HCC85_gRenal_V23", ((85,), (134, 135, 136, 137, 138)), False),
+        ("grespDepandArre_gCopdCF", ((82, 83, 84), (110, 111, 112)), False),
+        ("HCC85_HCC96", ((85,), (96,)), False),
+        ("disable_substAbuse_psych_V23", ((54, 55, 56), (57, 58, 59, 60)), True),
+        ("LTIMCAID", (), False),
+        ("ORIGDS", (), False),
+        ("DISABLED_HCC85", ((85,),), True),
+        ("DISABLED_PRESSURE_ULCER", ((157, 158),), True),
+        ("DISABLED_HCC161", ((161,),), True),
+        ("DISABLED_HCC39", ((39,),), True),
+        ("DISABLED_HCC77", ((77,),), True),
+        ("DISABLED_HCC6", ((6,),), True),
+        ("CHF_gCopdCF", ((85,), (110, 111, 112)), False),
+        ("gCopdCF_CARD_RESP_FAIL", ((82, 83, 84), (110, 111, 112)), False),
+        ("SEPSIS_PRESSURE_ULCER", ((2,), (157, 158)), False),
+        ("SEPSIS_ARTIF_OPENINGS", ((2,), (188,)), False),
+        ("ART_OPENINGS_PRESS_ULCER", ((188,), (157, 158)), False),
+        ("DIABETES_CHF", ((85,), (17, 18, 19)), False),
+        ("gCopdCF_ASP_SPEC_B_PNEUM", ((114,), (110, 111, 112)), False),
+        ("ASP_SPEC_B_PNEUM_PRES_ULC", ((114,), (157, 158)), False),
+        ("SEPSIS_ASP_SPEC_BACT_PNEUM", ((2,), (114,)), False),
+        ("SCHIZOPHRENIA_gCopdCF", ((57,), (110, 111, 112)), False),
+        ("SCHIZOPHRENIA_CHF", ((57,), (85,)), False),
+        ("SCHIZOPHRENIA_SEIZURES", ((57,), (79,)), False),
+    ),
 }
 INSTITUTIONAL_MEDICAID = {"v22": "ltimcaid", "v23": "LTIMCAID"}
 NORMALIZATION = {"v22": 1041, "v23": 1038}
@@ -112,7 +179,8 @@ BANDS = """
     ('95_gt', 95, 9999, false)
 """
 BAND_SUFFIXES = (
-    "0_34 35_44 45_54 55_59 60_64 65 66 67 68 69 65_69 70_74 75_79 80_84 85_89 90_94 95_gt"
+    "0_34", "35_44", "45_54", "55_59", "60_64", "65", "66", "67", "68", "69", "65_69",
+    "70_74", "75_79", "80_84", "85_89", "90_94", "95_gt",
 )
 
 # --------------------------------------------------------------------------
@@ -122,34 +190,24 @@ BAND_SUFFIXES = (
 VERSIONS = ("v22", "v23")
 
 
-def _hccs(version: str) -> list[int]:
-    return [int(n) for n in HCCS[version].split()]
+def _hccs(version: str) -> tuple[int, ...]:
+    return HCCS[version]
 
 
 def _drop_pairs(version: str) -> list[tuple[int, int]]:
-    pairs = []
-    for rule in DROPS[version].split(";"):
-        parent, children = rule.split(":")
-        pairs += [(int(parent), int(child)) for child in children.split()]
-    return pairs
+    return [(parent, child) for parent, found in DROPS[version].items() for child in found]
 
 
 def _parents(version: str) -> list[int]:
-    return sorted({parent for parent, _ in _drop_pairs(version)})
+    return sorted(DROPS[version])
 
 
-def _rules(version: str) -> list[tuple[str, list[list[int]], bool]]:
-    rules = []
-    for line in INTERACTIONS[version].strip().splitlines():
-        label, text = (part.strip() for part in line.split(":"))
-        groups = [g.split() for g in text.split("&")]
-        numbers = [[int(n) for n in g] for g in groups if g not in (["D"], ["-"])]
-        rules.append((label, numbers, ["D"] in groups))
-    return rules
+def _rules(version: str) -> tuple[tuple[str, tuple[tuple[int, ...], ...], bool], ...]:
+    return INTERACTIONS[version]
 
 
 def _band_labels() -> list[str]:
-    return [sex + suffix for sex in "fm" for suffix in BAND_SUFFIXES.split()]
+    return [sex + suffix for sex in "fm" for suffix in BAND_SUFFIXES]
 
 
 def _demographic_labels() -> list[str]:
@@ -161,7 +219,7 @@ def _labels(version: str) -> list[str]:
     return [*_demographic_labels(), *hccs, *(label for label, _, _ in _rules(version))]
 
 
-def _in(numbers: list[int]) -> str:
+def _in(numbers: Iterable[int]) -> str:
     return f"({', '.join(map(str, numbers))})"
 
 
@@ -189,22 +247,38 @@ _INPUTS = {
     "cpt_list": fixtures.CPT_LIST,
     "dual_status": fixtures.DUAL_STATUS,
     "further_dx": fixtures.FURTHER_DX,
+    "claim_lines_mixed_bill": fixtures.CLAIM_LINES_MIXED_BILL,
+    "given": fixtures.ELIGIBILITY_MIXED_CASE,
 }
 
-_CLAIM_FILTERS = """
+# The filters with their codes and the years they are limited to.
+_FILTERS = """
 coded as (
- select l.*, clm_fac_type_cd || clm_srvc_clsfctn_type_cd as tob,
+ select l.*, {tob} as tob,
   exists (select 1 from cpt_list c
           where c.hcpcs_cpt_code = l.hcpcs_cd and c.cy = extract(year from l.clm_thru_dt)) as listed
- from claim_lines l),
-physician as (select distinct clm_cntl_num from coded where clm_type_cd = '4700' and listed),
-inpatient as (select distinct clm_cntl_num from coded where tob in ('11', '41')),
+ from {lines} l where {years}),
+physician as (select distinct clm_cntl_num from coded where clm_type_cd in ({types}) and listed),
+inpatient as (select distinct clm_cntl_num from coded where tob in ({inpatient})),
 outpatient as (
- select distinct clm_cntl_num from coded
- where tob in ('12', '13', '43', '71', '73', '76', '77', '85') and listed),
+ select distinct clm_cntl_num from coded where tob in ({outpatient}) and listed),
 eds_all as (
  select clm_cntl_num from physician union select clm_cntl_num from inpatient
  union select clm_cntl_num from outpatient)"""
+_USUAL = {
+    "tob": "clm_fac_type_cd || clm_srvc_clsfctn_type_cd",
+    "lines": "claim_lines",
+    "years": "true",
+    "types": "'4700'",
+    "inpatient": "'11', '41'",
+    "outpatient": "'12', '13', '43', '71', '73', '76', '77', '85'",
+}
+_CLAIM_FILTERS = _FILTERS.format(**_USUAL)
+_FLAGS = """
+select e.clm_cntl_num, p.clm_cntl_num is not null as physician,
+ i.clm_cntl_num is not null as inpatient, o.clm_cntl_num is not null as outpatient
+from eds_all e left join physician p using (clm_cntl_num)
+left join inpatient i using (clm_cntl_num) left join outpatient o using (clm_cntl_num)"""
 
 _PERSONS = """
 person as (select hicn, dob, sex, orec, medicaid, model from eligibility where hicn is not null),
@@ -316,6 +390,10 @@ def _claim_query(select: str) -> str:
     return _query(["claim_lines", "cpt_list"], [_CLAIM_FILTERS], select)
 
 
+def _flags_query(inputs: list[str], **changed: str) -> str:
+    return _query(inputs, [_FILTERS.format(**(_USUAL | changed))], _FLAGS)
+
+
 def _person_query(select: str) -> str:
     return _query(["eligibility"], [_PERSONS, _DEMOGRAPHICS], select)
 
@@ -359,6 +437,68 @@ from scored left join variables using (hicn) left join labels using (label)
 group by hicn, lookup_key, cms_risk_score"""
 
 
+def _raised(query: str, changes: dict[str, str]) -> str:
+    """A query with some of its texts replaced; each has to be there."""
+    for old, new in changes.items():
+        assert old in query, old
+        query = query.replace(old, new)
+    return query
+
+
+def _mixed_case() -> str:
+    """Persons are joined in key form, and their identifier is reported as given."""
+    keyed = _model_query("v22", _RESULT, scored=True)
+    given = _query(["given"], [f"result as ({keyed})"], """
+select given.hicn, result.* exclude (hicn)
+from result join given on upper(rtrim(given.hicn)) = result.hicn""")
+    return given
+
+
+def _repeated_persons() -> str:
+    """Second rows are persons of their own with the diagnoses of the first, marked by '#'."""
+    marked = "select hicn || '#' as hicn, {columns} from ({rows}) m"
+    second = marked.format(columns="dob, sex, orec, medicaid, model",
+                           rows=fixtures.SECOND_ROWS.format(**_TABLES))
+    lines = marked.format(columns="clm_thru_dt, diag, raps_riskeligible",
+                          rows=fixtures.CLAIMS.format(**_TABLES))
+    single = "select hicn, clm_thru_dt, diag, raps_riskeligible from ({}) c".format(
+        fixtures.CLAIMS.format(**_TABLES))
+    tables = [
+        f"eligibility as ({fixtures.ELIGIBILITY.format(**_TABLES)} union all {second})",
+        f"claims as ({single} union all {lines})",
+        f"mapping as ({fixtures.MAPPING})",
+    ]
+    ctes = [_PERSONS, _DEMOGRAPHICS, _DIAGNOSES["v22"], _model("v22"), _score("v22")]
+    return (f"with {', '.join([*tables, *ctes, f'result as ({_RESULT})'])}\n"
+            "select replace(hicn, '#', '') as hicn, result.* exclude (hicn) from result")
+
+
+def _both() -> str:
+    queries = (
+        f"select '{version}' as version, r.* exclude (lookup_key)"
+        f" from ({_model_query(version, _RESULT, scored=True)}) r"
+        for version in VERSIONS
+    )
+    return " union all ".join(queries)
+
+
+def _explained(version: str) -> str:
+    """Every variable before the hierarchies, what dropped it, and what it adds."""
+    return """
+select hicn, label as hcc, coalesce(by_name, '') as dropped_by,
+ cast(cast(coef * 1000 as bigint) * 1000000 as double) / 1000000000 as coefficient,
+ case when by_name is null and coef is not null
+  then cast(cast(coef * 1000 as bigint) * 1000000 as double) / 1000000000 else 0 end as contribution
+from (
+ select hicn, label, null as by_name from variables
+ union all
+ select hicn, 'HCC' || lpad(cast(d.child as varchar), 3, '0'),
+  string_agg('HCC' || lpad(cast(d.parent as varchar), 3, '0'), '|' order by d.parent)
+ from before b join before c using (hicn) join drops d on d.parent = b.hcc and d.child = c.hcc
+ group by hicn, d.child) found
+join keyed using (hicn) join labels using (label) left join weights using (lookup_key, i)"""
+
+
 def _version_queries(version: str) -> dict[str, str]:
     labelled = "'hcc' || lpad(cast(hcc as varchar), 3, '0')"
     hccs = [label.lower() for label in _hcc_labels(version)]
@@ -400,6 +540,7 @@ from dx join mapping on dx.diag = mapping.diag where hcc is not null"""),
             version, "select hicn, cms_risk_score from scored", scored=True),
         f"bene_hcc_{version}": _model_query(
             version, "select hicn, label as hcc from variables"),
+        f"bene_hcc_explained_{version}": _model_query(version, _explained(version), scored=True),
         f"run_{version}": _model_query(version, _RESULT, scored=True),
     }
 
@@ -412,6 +553,29 @@ def oracle_sql() -> dict[str, str]:
         "eds_inpatient": _claim_query("select clm_cntl_num from inpatient"),
         "eds_outpatient": _claim_query("select clm_cntl_num from outpatient"),
         "eds_all": _claim_query("select clm_cntl_num from eds_all"),
+        "eds_lists_of_years": _flags_query(
+            ["claim_lines", "cpt_list"],
+            years="extract(year from l.clm_thru_dt) in (2016, 2018, 2019)"),
+        "eds_lists_edited": _flags_query(
+            ["claim_lines", "cpt_list"], types="'4000'", inpatient="'12'",
+            outpatient="'77', '13', '99'"),
+        "eds_lists_mixed_bill": _flags_query(
+            ["claim_lines_mixed_bill", "cpt_list"], lines="claim_lines_mixed_bill",
+            tob="coalesce(nullif(rtrim(clm_fac_type_cd || clm_srvc_clsfctn_type_cd), ''),"
+                " substr(type_of_bill, 1, 2))"),
+        "run_v22_mixed_case": _mixed_case(),
+        "run_v22_repeated_persons": _repeated_persons(),
+        "run_v22_null_coefficient": _raised(
+            _model_query("v22", _RESULT, scored=True),
+            {"join weights using (lookup_key, i)":
+             "join weights using (lookup_key, i) where lookup_key <> 'CN0'"}),
+        "run_v22_from_rules": _model_query("v22", _RESULT, scored=True),
+        "run_both": _both(),
+        "result_tables_v22": _model_query("v22", """
+select hicn, cms_risk_score, n_variables, first_variable
+from scored left join (
+ select hicn, count(*) as n_variables, min(label) as first_variable from variables group by hicn)
+using (hicn)""", scored=True),
         "eds_eligible_claims": _claim_query("select clm_cntl_num from eds_all"),
         "flag_eds_eligible": _query(["claims", "claim_lines", "cpt_list"], [_CLAIM_FILTERS], """
 select c.*, case when e.clm_cntl_num is not null then 1 else 0 end as eds_riskeligible

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.checks import fixtures
-from riskweave.models import V22, V23, ModelSpec
+from riskweave.models import V22, V23, ClaimRules, ModelSpec
 from riskweave.operators import diagnosis, eds, hcc, person, score
 from riskweave.plans import runs
+from riskweave.plans.steps import Steps
+from riskweave.sources import rules
+from riskweave.sources.files import Folder
+from riskweave.sources.tables import read_table, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 SPECS = (V22, V23)
+EDITED_RULES = ClaimRules(
+    physician_types=("4000",), inpatient_bills=("12",), outpatient_bills=("77", "13", "99")
+)
 
 
 def _persons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +63,56 @@ def _shared() -> dict[str, Query]:
     def lines_and_list(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         return fixtures.claim_lines(spark, sf_dir), fixtures.cpt_list(spark)
 
-    def union_of_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-        lines, cpt = lines_and_list(spark, sf_dir)
-        return eds.eds_all(
-            eds.eds_physician(lines, cpt), eds.eds_inpatient(lines), eds.eds_outpatient(lines, cpt)
+    def lists_of(rules: ClaimRules) -> Query:
+        return lambda s, d: eds.claim_flags(*lines_and_list(s, d), rules)
+
+    def all_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The union of the three lists, read off one table of claim flags."""
+        flags = eds.claim_flags(*lines_and_list(spark, sf_dir))
+        return flags.where("physician or inpatient or outpatient").select(eds.CLAIM)
+
+    def persons_v22(
+        eligibility: Callable, weights: Callable = fixtures.weights, spec: ModelSpec = V22
+    ) -> Query:
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tables = runs.ModelTables(fixtures.mapping(spark), weights(spark, spec))
+            claims = fixtures.claims(spark, sf_dir)
+            result = runs.run_v22(eligibility(spark, sf_dir), claims, tables, spec=spec)
+            return result.withColumn("variables", F.array_join("variables", "|"))
+        return query
+
+    def from_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spec = rules.read_spec(
+            "v22", *rules.rule_tables(spark, V22), normalization_millis=V22.normalization_millis
         )
+        return persons_v22(fixtures.eligibility, spec=spec)(spark, sf_dir)
+
+    def both(spark: SparkSession, sf_dir: str) -> DataFrame:
+        steps = Steps(spark, f"{shared_folder(spark)}/run-both-{uuid.uuid4().hex}")
+        steps.folder.delete_on_exit()
+        claims, cpt = fixtures.claims(spark, sf_dir), fixtures.cpt_list(spark)
+        given = [runs.ModelTables(fixtures.mapping(spark), fixtures.weights(spark, spec))
+                 for spec in SPECS]
+        eligible = runs.eligible_list(fixtures.claim_lines(spark, sf_dir), cpt, steps=steps)
+        results = runs.run_both(fixtures.eligibility(spark, sf_dir), claims, eligible, given, steps)
+        first, second = (
+            r.select(F.lit(spec.version).alias("version"), "hicn", "cms_risk_score",
+                     F.array_join("variables", "|").alias("variables"))
+            for r, spec in zip(results, SPECS, strict=True)
+        )
+        return first.union(second)
+
+    def result_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """The two tables of a run, published and read back."""
+        folder = f"{shared_folder(spark)}/result-tables-{uuid.uuid4().hex}"
+        Folder(spark, folder).delete_on_exit()
+        given = runs.ModelTables(fixtures.mapping(spark), fixtures.weights(spark, V22))
+        result = runs.run_v22(
+            fixtures.eligibility(spark, sf_dir), fixtures.claims(spark, sf_dir), given)
+        runs.write_results(result, f"{folder}/bene_score", f"{folder}/bene_hcc")
+        listed = read_table(spark, f"{folder}/bene_hcc").groupBy("hicn").agg(
+            F.count("hcc").alias("n_variables"), F.min("hcc").alias("first_variable"))
+        return read_table(spark, f"{folder}/bene_score").join(listed, "hicn", "left")
 
     def dual_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fixtures.dual_status(spark, sf_dir).withColumn(
@@ -79,7 +132,17 @@ def _shared() -> dict[str, Query]:
         "eds_physician": lambda s, d: eds.eds_physician(*lines_and_list(s, d)),
         "eds_inpatient": lambda s, d: eds.eds_inpatient(fixtures.claim_lines(s, d)),
         "eds_outpatient": lambda s, d: eds.eds_outpatient(*lines_and_list(s, d)),
-        "eds_all": union_of_lists,
+        "eds_all": all_lists,
+        "eds_lists_of_years": lists_of(ClaimRules(years=(2016, 2018, 2019))),
+        "eds_lists_edited": lists_of(EDITED_RULES),
+        "eds_lists_mixed_bill": lambda s, d: eds.claim_flags(
+            fixtures.claim_lines_mixed_bill(s, d), fixtures.cpt_list(s)),
+        "run_v22_mixed_case": persons_v22(fixtures.eligibility_mixed_case),
+        "run_v22_repeated_persons": persons_v22(fixtures.eligibility_repeated),
+        "run_v22_null_coefficient": persons_v22(fixtures.eligibility, fixtures.weights_with_null),
+        "run_v22_from_rules": from_rules,
+        "run_both": both,
+        "result_tables_v22": result_tables,
         "eds_eligible_claims": lambda s, d: eds.eligible_claims(*lines_and_list(s, d)),
         "flag_eds_eligible": _flagged,
         "prepare_person": _persons,
@@ -128,6 +191,9 @@ def _versioned(spec: ModelSpec) -> dict[str, Query]:
             _profiles(s, d, spec), fixtures.weights(s, spec), spec
         ),
         "bene_hcc": lambda s, d: score.bene_hcc(_profiles(s, d, spec), spec),
+        "bene_hcc_explained": lambda s, d: score.explained(
+            _profiles(s, d, spec), fixtures.weights(s, spec), spec
+        ),
         "run": run,
     }
     return {f"{name}_{spec.version}": query for name, query in queries.items()}

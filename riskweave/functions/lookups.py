@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A reference table is broadcast only when its counted rows stay within this bound
-# (session setting of the same meaning: riskweave.broadcast.maxRows).
-BROADCAST_MAX_ROWS = 500_000
+# A reference table is broadcast only when the optimizer's estimate of its size stays within
+# this bound (session setting of the same meaning: riskweave.broadcast.maxBytes).  The estimate
+# is taken from file sizes, so no job runs; parquet unpacks to a few times its size.
+BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 SALTS = 64
 
 
@@ -17,9 +18,15 @@ def _setting(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(f"riskweave.{name}", str(default)))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Size by the statistics of the optimized plan; beyond any bound where there are none."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes()))
+
+
 def fits_broadcast(reference: DataFrame) -> bool:
-    """Count the reference table and compare with the bound."""
-    return reference.count() <= _setting(reference, "broadcast.maxRows", BROADCAST_MAX_ROWS)
+    bound = _setting(reference, "broadcast.maxBytes", BROADCAST_MAX_BYTES)
+    return estimated_bytes(reference) <= bound
 
 
 def lookup_join(
@@ -29,7 +36,6 @@ def lookup_join(
     how: str,
     spread_by: Sequence[Column | str],
     facts_are_set: bool = False,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Join facts with a reference table without letting a hot key pile up in one task.
 
@@ -38,10 +44,9 @@ def lookup_join(
     every reference row copied to each salt, so one key is spread over many tasks.  The salt
     is a hash of the row, not a random number: a re-run task sends rows to the same place.
     ``facts_are_set`` says that copies of a fact row do not matter to the caller, so they are
-    removed before that shuffle.  ``counted`` is a frame with at least the rows of the
-    reference that is cheaper to count, usually the table it is derived from.
+    removed before that shuffle.
     """
-    if fits_broadcast(reference if counted is None else counted):
+    if fits_broadcast(reference):
         return facts.join(F.broadcast(reference), list(on), how)
     salts = _setting(facts, "join.salts", SALTS)
     if facts_are_set:

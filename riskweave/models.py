@@ -7,9 +7,11 @@ touches Spark.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
-from riskweave.functions.bitset import WORD_BITS, masks
+from riskweave.functions.bitset import BitSet
 
 # --------------------------------------------------------------------------
 # These must equal the published models for the results to agree.
@@ -44,13 +46,13 @@ BAND_AT_SPLIT_OLD_AGE = "65"
 SEX_PREFIXES = (("f", 2), ("m", 1))
 ORIGINALLY_DISABLED = (("originallydisabled_female", 2), ("originallydisabled_male", 1))
 
-HCCS_V22 = """
-    1 2 6 8 9 10 11 12 17 18 19 21 22 23 27 28 29 33 34 35 39 40 46 47 48 54 55 57 58
-    70 71 72 73 74 75 76 77 78 79 80 82 83 84 85 86 87 88 96 99 100 103 104 106 107 108
-    110 111 112 114 115 122 124 134 135 136 137 157 158 161 162 166 167 169 170 173 176
-    186 188 189
-"""
-HCCS_ADDED_V23 = "56 59 60 138"
+HCCS_V22 = (
+    1, 2, 6, 8, 9, 10, 11, 12, 17, 18, 19, 21, 22, 23, 27, 28, 29, 33, 34, 35, 39, 40, 46, 47,
+    48, 54, 55, 57, 58, 70, 71, 72, 73, 74, 75, 76, 77, 78, 79, 80, 82, 83, 84, 85, 86, 87, 88,
+    96, 99, 100, 103, 104, 106, 107, 108, 110, 111, 112, 114, 115, 122, 124, 134, 135, 136, 137,
+    157, 158, 161, 162, 166, 167, 169, 170, 173, 176, 186, 188, 189,
+)
+HCCS_ADDED_V23 = (56, 59, 60, 138)
 
 # A present parent drops its children.
 DROPS_V22 = {
@@ -154,6 +156,9 @@ INTERACTIONS = (
     ("schizophrenia_seizures", "SCHIZOPHRENIA_SEIZURES", ((57,), (79,)), None, False, False),
 )
 
+# Category labels have three digits.
+MAX_LABELLED = 999
+
 SERVICE_YEAR = 2018
 AGE_DATE = dt.date(2019, 2, 1)
 CODING_INTENSITY_MILLIS = 941  # 0.941
@@ -175,6 +180,11 @@ SUBMISSION_PROVIDER_TYPES = ("01", "02")
 # End of the fixed values.
 # --------------------------------------------------------------------------
 
+# Column names that several modules share.
+CLAIM = "clm_cntl_num"
+# Part of the key of tables that ``sources.buckets`` writes.
+CLAIM_SLOT = "claim_slot"
+
 
 @dataclass(frozen=True)
 class ClaimRules:
@@ -205,6 +215,24 @@ class Interaction:
     disabled_only: bool
 
 
+def closed_drops(drops: Mapping[int, Sequence[int]]) -> dict[int, tuple[int, ...]]:
+    """Every parent with all that it drops, directly or through a child; a cycle is an error."""
+    closed: dict[int, tuple[int, ...]] = {}
+
+    def below(parent: int, path: tuple[int, ...]) -> tuple[int, ...]:
+        if parent in path:
+            chain = " -> ".join(map(str, (*path[path.index(parent):], parent)))
+            raise ValueError(f"hierarchy rules form a cycle: {chain}")
+        if parent not in closed:
+            found = set(drops.get(parent, ()))
+            for child in drops.get(parent, ()):
+                found.update(below(child, (*path, parent)))
+            closed[parent] = tuple(sorted(found))
+        return closed[parent]
+
+    return {parent: below(parent, ()) for parent in drops if drops[parent]}
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     """Everything that distinguishes one model version (or one payment year)."""
@@ -219,20 +247,30 @@ class ModelSpec:
     age_date: dt.date = AGE_DATE
 
     def __post_init__(self) -> None:
+        if len(set(self.hccs)) < len(self.hccs):
+            raise ValueError(f"a category occurs twice: {sorted(self.hccs)}")
+        if out := [h for h in self.hccs if not 0 <= h <= MAX_LABELLED]:
+            raise ValueError(f"category numbers have up to three digits, not {out}")
         named = set(self.drops) | {c for cs in self.drops.values() for c in cs}
         named |= {h for i in self.interactions if not isinstance(i.groups, str)
                   for g in i.groups for h in g}
         if not named <= set(self.hccs):
             raise ValueError(f"rules name unknown categories: {sorted(named - set(self.hccs))}")
-        # A category is one bit of the set's words; what has no bit is refused here, because
-        # it would be read from another variable's bit later.
-        masks(self.hccs)
-        bits = len(demographic_labels()) + len(self.interactions)
-        if bits > WORD_BITS:
-            raise ValueError(
-                f"at most {WORD_BITS - len(demographic_labels())} interactions fit,"
-                f" not {len(self.interactions)}"
-            )
+        upper = [label.upper() for label in self.labels]
+        if twice := {label for label in upper if upper.count(label) > 1}:
+            raise ValueError(f"labels occur twice: {sorted(twice)}")
+        # Rules are applied all at once, to the set as it was, so they have to be closed.
+        object.__setattr__(self, "drops", closed_drops(self.drops))
+
+    @cached_property
+    def categories(self) -> BitSet:
+        """Where each category stands in the words of a person's set."""
+        return BitSet(self.hccs)
+
+    @cached_property
+    def features(self) -> BitSet:
+        """Where demographic variables and interactions stand in the words ``extra``."""
+        return BitSet(demographic_labels() + tuple(i.label for i in self.interactions))
 
     @property
     def hcc_labels(self) -> tuple[str, ...]:
@@ -255,7 +293,7 @@ def demographic_labels() -> tuple[str, ...]:
 def _v22() -> ModelSpec:
     return ModelSpec(
         version="v22",
-        hccs=tuple(int(n) for n in HCCS_V22.split()),
+        hccs=HCCS_V22,
         drops=DROPS_V22,
         interactions=tuple(
             Interaction(label, groups, disabled)
@@ -269,7 +307,7 @@ def _v23() -> ModelSpec:
     parents = sorted(DROPS_V22.keys() | DROPS_ADDED_V23.keys())
     return ModelSpec(
         version="v23",
-        hccs=tuple(sorted(int(n) for n in (HCCS_V22 + HCCS_ADDED_V23).split())),
+        hccs=tuple(sorted(HCCS_V22 + HCCS_ADDED_V23)),
         drops={p: DROPS_V22.get(p, ()) + DROPS_ADDED_V23.get(p, ()) for p in parents},
         interactions=tuple(
             Interaction(label, changed or groups, disabled)

@@ -7,13 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.bitset import WORDS, bit_of_number, word_names
-from riskweave.functions.codes import code_in, in_year
+from riskweave.functions.codes import code_in, in_year, in_years
 from riskweave.functions.lookups import lookup_join
-from riskweave.models import SUBMISSION_PROVIDER_TYPES, ModelSpec
+from riskweave.models import (
+    CLAIM,
+    CLAIM_SLOT,
+    MAX_LABELLED,
+    SUBMISSION_PROVIDER_TYPES,
+    ModelSpec,
+)
+from riskweave.operators.eds import claim_keys, distinct_claims
 
-CLAIM = "clm_cntl_num"
-MAX_LABELLED = 999
 
 
 def _diagnoses(lines: DataFrame, accepted: Column, year: int, *keep: str) -> DataFrame:
@@ -69,51 +73,50 @@ def dx_to_hcc(dx: DataFrame, mapping: DataFrame) -> DataFrame:
         F.col("hcc").between(0, MAX_LABELLED), F.format_string("HCC%03d", F.col("hcc"))
     )
     labels = mapping.where(F.col("hcc").isNotNull()).select("diag", label.alias("hcc"))
-    joined = lookup_join(
-        dx, labels, ["diag"], "inner", spread_by=["hicn"], counted=mapping
-    )
+    joined = lookup_join(dx, labels, ["diag"], "inner", spread_by=["hicn"])
     return joined.select("hicn", "diag", "hcc")
 
 
-def _sets_by_person(rows: DataFrame) -> DataFrame:
+def sets_by_person(rows: DataFrame, *words: str) -> DataFrame:
     """One row per hicn: the union of the row sets.
 
-    ``bit_or`` on three bigints is combined map-side, so a person with a third of all rows
+    ``bit_or`` on a few bigints is combined map-side, so a person with a third of all rows
     reaches the shuffle as one small row per task.
     """
-    return rows.groupBy("hicn").agg(*(F.bit_or(w).alias(w) for w in word_names("pre")))
-
-
-def _number_words(number: str) -> list[Column]:
-    return [F.expr(bit_of_number(number, w)).alias(f"pre_{w}") for w in range(WORDS)]
+    return rows.groupBy("hicn").agg(*(F.bit_or(w).alias(w) for w in words))
 
 
-def _mapped(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFrame:
+def mapped(
+    dx: DataFrame, mapping: DataFrame, spec: ModelSpec, prefix: str = "pre"
+) -> DataFrame:
     """Diagnosis rows that map to a category of the model, with their categories as a set.
 
     The crosswalk is reduced to one set per diagnosis first, so a diagnosis with several
     categories does not multiply rows.
     """
-    of_model = mapping.where(F.col("hcc").isin(*spec.hccs))
-    by_diagnosis = (
-        of_model.select("diag", *_number_words("hcc"))
-        .groupBy("diag")
-        .agg(*(F.bit_or(w).alias(w) for w in word_names("pre")))
-    )
     joined = lookup_join(
-        dx, by_diagnosis, ["diag"], "inner",
-        spread_by=[c for c in dx.columns if c != "diag"], facts_are_set=True, counted=mapping,
+        dx, crosswalk_sets(mapping, spec, prefix), ["diag"], "inner",
+        spread_by=[c for c in dx.columns if c != "diag"], facts_are_set=True,
     )
     return joined.drop("diag")
 
 
+def crosswalk_sets(mapping: DataFrame, spec: ModelSpec, prefix: str = "pre") -> DataFrame:
+    """Each diagnosis of the crosswalk with the set of the model's categories it maps to."""
+    names = spec.categories.names(prefix)
+    words = [F.expr(spec.categories.bit_of_number("hcc", w)).alias(name)
+             for w, name in enumerate(names)]
+    of_model = mapping.where(F.col("hcc").isin(*spec.hccs)).select("diag", *words)
+    return of_model.groupBy("diag").agg(*(F.bit_or(name).alias(name) for name in names))
+
+
 def condition_sets(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFrame:
-    """(hicn, pre_0..pre_2): the model's categories of each person with any.
+    """(hicn, pre_0...): the model's categories of each person with any.
 
     ``dx`` may repeat diagnoses: a set union is idempotent, so the distinct that would cost a
     shuffle of its own is not needed.
     """
-    return _sets_by_person(_mapped(dx, mapping, spec))
+    return sets_by_person(mapped(dx, mapping, spec), *spec.categories.names("pre"))
 
 
 def condition_sets_of_claims(
@@ -129,16 +132,58 @@ def condition_sets_of_claims(
     Only lines of the service year whose diagnosis maps to a category are shuffled to meet
     the claim list, instead of all lines to be flagged.
     """
-    lines = _diagnoses(claims, F.col(CLAIM).isNotNull(), spec.service_year, CLAIM)
-    encounters = _mapped(lines, mapping, spec).join(eligible.select(CLAIM), CLAIM, "left_semi")
+    keys = claim_keys(claims, eligible)
+    listed = eligible if CLAIM_SLOT in keys else distinct_claims(eligible)
+    lines = _diagnoses(claims, F.col(CLAIM).isNotNull(), spec.service_year, *keys)
+    encounters = mapped(lines, mapping, spec).join(listed.select(*keys), keys, "left_semi")
     others = with_further(submitted_diagnoses(submissions, spec), further)
-    submitted = _mapped(others, mapping, spec)
-    return _sets_by_person(encounters.drop(CLAIM).unionByName(submitted))
+    submitted = mapped(others, mapping, spec)
+    return sets_by_person(
+        encounters.drop(*keys).unionByName(submitted), *spec.categories.names("pre")
+    )
+
 
+def condition_sets_of_both(
+    claims: DataFrame,
+    eligible: DataFrame,
+    mappings: Sequence[DataFrame],
+    specs: Sequence[ModelSpec],
+) -> DataFrame:
+    """(hicn, v0_0..., v1_0...): the sets of two models from one scan of the claims.
 
-def condition_sets_of_labels(dx_hcc: DataFrame, spec: ModelSpec) -> DataFrame:
-    """The same sets from the labelled rows of ``dx_to_hcc``."""
-    numbers = dx_hcc.where(F.col("hcc").isin(*spec.hcc_labels)).select(
-        "hicn", F.substring("hcc", 4, 3).cast("int").alias("number")
+    The first model takes lines flagged by submission-based eligibility; the second takes lines
+    of listed claims, and inpatient submissions among the same lines.  A line carries the
+    categories that its diagnosis has in either model, and one aggregate makes both sets.
+    """
+    keys = claim_keys(claims, eligible)
+    listed = eligible if CLAIM_SLOT in keys else distinct_claims(eligible)
+    marks = listed.where(F.col(CLAIM).isNotNull()).select(*keys, F.lit(True).alias("_listed"))
+    prefixes = [f"v{i}" for i in range(len(specs))]
+    names = [spec.categories.names(p) for spec, p in zip(specs, prefixes, strict=True)]
+    first, second = (in_year("clm_thru_dt", spec.service_year) for spec in specs)
+    flagged = F.col("raps_riskeligible") == 1
+    submitted = code_in("provider_type", SUBMISSION_PROVIDER_TYPES)
+    lines = claims.where(
+        in_years("clm_thru_dt", {spec.service_year for spec in specs})
+        & F.col("diag").isNotNull() & F.col("hicn").isNotNull()
+    ).select(
+        *keys, "hicn", F.replace("diag", F.lit("."), F.lit("")).alias("diag"),
+        F.coalesce(flagged & first, F.lit(False)).alias("_first"),
+        F.coalesce(submitted & second, F.lit(False)).alias("_second"),
+        second.alias("_in_second"),
+    )
+    left, right = (
+        crosswalk_sets(m, spec, p) for m, spec, p in zip(mappings, specs, prefixes, strict=True)
+    )
+    both = left.join(right, "diag", "full")
+    zero = F.lit(0).cast("bigint")
+    both = both.withColumns({n: F.coalesce(n, zero) for group in names for n in group})
+    found = lookup_join(lines, both, ["diag"], "inner", spread_by=["hicn"], facts_are_set=True)
+    met = found.join(marks, keys, "left")
+    takes = (
+        F.col("_first"),
+        F.col("_second") | (F.col("_in_second") & F.col("_listed").isNotNull()),
     )
-    return _sets_by_person(numbers.select("hicn", *_number_words("number")))
+    words = [F.when(take, F.col(n)).otherwise(zero).alias(n)
+             for take, group in zip(takes, names, strict=True) for n in group]
+    return sets_by_person(met.select("hicn", *words), *names[0], *names[1])

@@ -19,9 +19,8 @@ from riskweave.functions.codes import (
     starts_with_any,
 )
 from riskweave.functions.lookups import lookup_join
-from riskweave.models import CLAIM_RULES, ClaimRules
+from riskweave.models import CLAIM, CLAIM_RULES, CLAIM_SLOT, ClaimRules
 
-CLAIM = "clm_cntl_num"
 FACILITY, SERVICE, WHOLE_BILL = "clm_fac_type_cd", "clm_srvc_clsfctn_type_cd", "type_of_bill"
 _CODE_AND_YEAR = ("hcpcs_cd", "cy")
 
@@ -72,7 +71,7 @@ def _code_lines(claims: DataFrame, *extra: Column) -> DataFrame:
 def _with_listed_line(lines: DataFrame, cpt: DataFrame) -> DataFrame:
     matched = lookup_join(
         _code_lines(lines), _listed(cpt), _CODE_AND_YEAR, "left_semi",
-        spread_by=[CLAIM], facts_are_set=True, counted=cpt,
+        spread_by=[CLAIM], facts_are_set=True,
     )
     return matched.select(CLAIM).distinct()
 
@@ -123,7 +122,7 @@ def claim_flags(
     listed = _listed(cpt).withColumn("listed", F.lit(True))
     matched = lookup_join(
         lines, listed, _CODE_AND_YEAR, "left",
-        spread_by=[CLAIM], facts_are_set=True, counted=cpt,
+        spread_by=[CLAIM], facts_are_set=True,
     )
     rules = {
         "physician": "by_type and listed", "inpatient": "inpatient",
@@ -141,13 +140,27 @@ def eligible_claims(
     return claim_flags(claims, cpt, rules).select(CLAIM)
 
 
+def claim_keys(lines: DataFrame, listed: DataFrame) -> list[str]:
+    """What lines and list are joined by: the slot, too, where both are stored with one."""
+    stored = CLAIM_SLOT in lines.columns and CLAIM_SLOT in listed.columns
+    return [CLAIM, CLAIM_SLOT] if stored else [CLAIM]
+
+
+def distinct_claims(listed: DataFrame) -> DataFrame:
+    """The list without the copies that it may be stored with."""
+    return listed.where(F.col(CLAIM_SLOT) == 0) if CLAIM_SLOT in listed.columns else listed
+
+
 def flag_eds_eligible(claims: DataFrame, eligible: DataFrame) -> DataFrame:
     """Claim lines with ``eds_riskeligible`` = 1 when the claim is in the list, else 0.
 
-    ``eligible`` holds each claim number once, as all lists here do.  Both sides are shuffled
-    on the claim number; with a list read from a table, adaptive execution splits a claim
-    number that holds a large share of the lines.
+    ``eligible`` holds each claim number once, as all lists here do.  Tables that
+    ``sources.buckets`` has written are joined where they lie.  Others are shuffled on the claim
+    number; with a list read from a table, adaptive execution then splits a claim number that
+    holds a large share of the lines.
     """
-    marks = eligible.where(F.col(CLAIM).isNotNull()).select(CLAIM, F.lit(1).alias("_mark"))
-    flagged = claims.drop("eds_riskeligible").join(marks, CLAIM, "left")
+    keys = claim_keys(claims, eligible)
+    listed = eligible if CLAIM_SLOT in keys else distinct_claims(eligible)
+    marks = listed.where(F.col(CLAIM).isNotNull()).select(*keys, F.lit(1).alias("_mark"))
+    flagged = claims.drop("eds_riskeligible").join(marks, keys, "left").drop(CLAIM_SLOT)
     return flagged.withColumn("eds_riskeligible", F.coalesce("_mark", F.lit(0))).drop("_mark")

@@ -10,16 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.bitset import WORDS, drop_children, flag, word_names
+from riskweave.functions.codes import normalized
 from riskweave.models import ModelSpec, demographic_labels
 from riskweave.operators.person import EXTRA, extra_bits, extra_flags, features, orec_adjusted
 
 
-def with_sets(person: DataFrame, sets: DataFrame) -> DataFrame:
-    """Person rows with their category set; persons without a category get the empty set."""
-    joined = person.join(sets, "hicn", "left")
+def with_sets(person: DataFrame, sets: DataFrame, spec: ModelSpec) -> DataFrame:
+    """Person rows with their category set; persons without a category get the empty set.
+
+    Identifiers meet in key form, and the person's stays as given.
+    """
+    keyed = sets.withColumnRenamed("hicn", "_key")
+    joined = person.join(keyed, normalized(person["hicn"]) == keyed["_key"], "left").drop("_key")
     return joined.withColumns({w: F.coalesce(w, F.lit(0).cast("bigint"))
-                               for w in word_names("pre")})
+                               for w in spec.categories.names("pre")})
 
 
 def profile(person: DataFrame, sets: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -27,28 +31,31 @@ def profile(person: DataFrame, sets: DataFrame, spec: ModelSpec) -> DataFrame:
 
     Interactions read the set before the hierarchies.
     """
-    rows = features(with_sets(person, sets), spec)
-    post = {f"post_{w}": F.expr(drop_children("pre", spec.drops, w)) for w in range(WORDS)}
-    return rows.withColumns({**post, EXTRA: F.expr(extra_bits(spec, "pre"))})
+    rows = features(with_sets(person, sets, spec), spec)
+    post = {
+        name: spec.categories.drop_children("pre", spec.drops, word)
+        for word, name in enumerate(spec.categories.names("post"))
+    }
+    words = post | extra_bits(spec, "pre")
+    return rows.withColumns({name: F.expr(text) for name, text in words.items()})
 
 
 def _hcc_columns(spec: ModelSpec, source: str) -> list[str]:
-    return [f"{flag(source, h)} as hcc{h:03d}" for h in spec.hccs]
+    return [f"{spec.categories.flag(source, h)} as hcc{h:03d}" for h in spec.hccs]
 
 
 def _snapshot_columns(spec: ModelSpec) -> list[str]:
-    return [f"{flag('pre', h)} as cc_{h:02d}" for h in spec.drops]
+    return [f"{spec.categories.flag('pre', h)} as cc_{h:02d}" for h in spec.drops]
 
 
 def _interaction_columns(spec: ModelSpec) -> list[str]:
-    labels = tuple(i.label for i in spec.interactions)
-    return extra_flags(labels, len(demographic_labels()))
+    return extra_flags(tuple(i.label for i in spec.interactions), spec.features)
 
 
 def hcc_flags(person: DataFrame, sets: DataFrame, spec: ModelSpec) -> DataFrame:
-    """One row per hicn of the person table and one 0/1 column per model category."""
-    persons = person.select("hicn").distinct()
-    return with_sets(persons, sets).selectExpr("hicn", *_hcc_columns(spec, "pre"))
+    """One row per person, whatever the case of the identifier, and one 0/1 column per model category."""
+    persons = person.groupBy(normalized("hicn").alias("_id")).agg(F.min("hicn").alias("hicn"))
+    return with_sets(persons.drop("_id"), sets, spec).selectExpr("hicn", *_hcc_columns(spec, "pre"))
 
 
 def hierarchy_snapshot(profiles: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -72,7 +79,7 @@ def assemble(profiles: DataFrame, spec: ModelSpec) -> DataFrame:
         "hicn",
         *_hcc_columns(spec, "pre"),
         "sex", "dob", "age", "orec_adjusted as orec", "disabled", "model",
-        *extra_flags(demographic_labels(), 0),
+        *extra_flags(demographic_labels(), spec.features),
         *_snapshot_columns(spec),
         *_interaction_columns(spec),
         "lookup_key",

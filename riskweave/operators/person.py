@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskweave.functions.bitset import any_of, bit_if
+from riskweave.functions.bitset import BitSet, bit_if
+from riskweave.functions.codes import normalized
 from riskweave.models import (
     AGE_BANDS,
     AGE_SPLIT_BY_ENTITLEMENT,
@@ -26,25 +27,37 @@ from riskweave.models import (
 )
 
 PERSON_COLUMNS = ("hicn", "dob", "sex", "orec", "medicaid", "model")
-# "extra" is one bigint: bit i is demographic label i, then the interactions in label order.
+# Words of bits: the demographic labels, then the interactions in label order.
 EXTRA = "extra"
+# The demographic labels alone fit the first word.
+DEMOGRAPHIC = BitSet(demographic_labels())
+assert DEMOGRAPHIC.words == 1
 
 
 def prepare_person(eligibility: DataFrame) -> DataFrame:
+    """Persons with an identifier, which stays as given; it is compared in key form."""
     return eligibility.where(F.col("hicn").isNotNull()).select(*PERSON_COLUMNS)
 
 
 def duplicate_hicn(person: DataFrame) -> DataFrame:
-    """Identifiers that occur in more than one row, with their row count."""
-    counts = person.groupBy("hicn").agg(F.count(F.lit(1)).alias("row_count"))
+    """Identifiers, in key form, that occur in more than one row, with their row count."""
+    counts = person.groupBy(normalized("hicn").alias("hicn")).agg(
+        F.count(F.lit(1)).alias("row_count")
+    )
     return counts.where("row_count > 1")
 
 
-def require_unique(person: DataFrame) -> None:
-    """Raise when an identifier occurs twice.  An action; it stops at the first finding."""
-    found = duplicate_hicn(person).take(1)
-    if found:
-        raise ValueError(f"HICN {found[0].hicn} occurs in {found[0].row_count} person rows")
+def only_unique(person: DataFrame) -> DataFrame:
+    """The same rows; using them fails when an identifier, in key form, occurs twice.
+
+    The check is part of the plan: rows of a key meet for it, as they do for the join with
+    categories, and no job of its own is run.
+    """
+    rows = F.count(F.lit(1)).over(Window.partitionBy(normalized("hicn")))
+    message = F.format_string("HICN %s occurs in %s person rows", "hicn", "_rows")
+    counted = person.withColumn("_rows", rows)
+    checked = F.when(F.col("_rows") > 1, F.raise_error(message)).otherwise(F.lit(True))
+    return counted.where(checked).drop("_rows")
 
 
 def dual_status_class(code: Column | str) -> Column:
@@ -131,51 +144,51 @@ def demographic_bits() -> str:
     return f"({bands} | case when orec = 1 then case sex {originally} else 0L end else 0L end)"
 
 
-def interaction_test(rule: Interaction, source: str) -> str:
+def interaction_test(rule: Interaction, categories: BitSet, source: str) -> str:
     """SQL text: the rule holds for the person row, on the category set ``source``."""
     if rule.groups == NEVER:
         return "false"
     if rule.groups == INSTITUTIONAL_MEDICAID:
         return f"coalesce(medicaid = 1 and model = '{INSTITUTIONAL_MODEL}', false)"
-    tests = [any_of(source, group) for group in rule.groups]
+    tests = [categories.any_of(source, group) for group in rule.groups]
     if rule.disabled_only:
         tests.append("disabled = 1")
     return f"({' and '.join(tests)})"
 
 
-def extra_bits(spec: ModelSpec, source: str) -> str:
-    """SQL text of ``extra``: demographic bits and one bit per interaction."""
-    first = len(demographic_labels())
-    terms = [
-        bit_if(interaction_test(rule, source), first + i)
-        for i, rule in enumerate(spec.interactions)
-        if rule.groups != NEVER
-    ]
-    return f"{demographic_bits()} | {' | '.join(terms)}"
+def extra_bits(spec: ModelSpec, source: str) -> dict[str, str]:
+    """Name and SQL text of each word of ``extra``."""
+    terms: list[list[str]] = [[] for _ in range(spec.features.words)]
+    terms[0].append(demographic_bits())
+    for rule in spec.interactions:
+        if rule.groups != NEVER:
+            word, bit = spec.features.place(rule.label)
+            terms[word].append(bit_if(interaction_test(rule, spec.categories, source), bit))
+    return {
+        name: " | ".join(parts) or "0L"
+        for name, parts in zip(spec.features.names(EXTRA), terms, strict=True)
+    }
+
 
+def extra_flags(labels: tuple[str, ...], features: BitSet = DEMOGRAPHIC) -> list[str]:
+    """0/1 columns, named by the lower-case labels, from the words ``extra``."""
+    return [f"{features.flag(EXTRA, label)} as {label.lower()}" for label in labels]
 
-def extra_flags(labels: tuple[str, ...], first: int) -> list[str]:
-    """0/1 columns, named by the lower-case labels, from ``extra``."""
-    return [
-        f"cast(getbit({EXTRA}, {first + i}) as int) as {label.lower()}"
-        for i, label in enumerate(labels)
-    ]
+
+def _demographic_words(person: DataFrame) -> DataFrame:
+    return person.select("hicn", F.expr(demographic_bits()).alias(DEMOGRAPHIC.names(EXTRA)[0]))
 
 
 def demographic_bands(person: DataFrame) -> DataFrame:
     """hicn and the 34 age/sex flags."""
     bands = demographic_labels()[: -len(ORIGINALLY_DISABLED)]
-    return person.select("hicn", F.expr(demographic_bits()).alias(EXTRA)).selectExpr(
-        "hicn", *extra_flags(bands, 0)
-    )
+    return _demographic_words(person).selectExpr("hicn", *extra_flags(bands))
 
 
 def originally_disabled(person: DataFrame) -> DataFrame:
     """hicn and the originally-disabled flag of each sex: raw entitlement code, no age test."""
-    first = len(demographic_labels()) - len(ORIGINALLY_DISABLED)
-    return person.select("hicn", F.expr(demographic_bits()).alias(EXTRA)).selectExpr(
-        "hicn", *extra_flags(tuple(label for label, _ in ORIGINALLY_DISABLED), first)
-    )
+    labels = tuple(label for label, _ in ORIGINALLY_DISABLED)
+    return _demographic_words(person).selectExpr("hicn", *extra_flags(labels))
 
 
 def features(person: DataFrame, spec: ModelSpec) -> DataFrame:

@@ -7,23 +7,21 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.functions.bitset import WORD_BITS, WORDS
 from riskweave.functions.lookups import lookup_join
 from riskweave.functions.rounding import COEF_DECIMALS, normalized_score
 from riskweave.models import ModelSpec, demographic_labels
 from riskweave.operators.person import EXTRA
 
 
-def _variables(spec: ModelSpec) -> list[tuple[str, int, int]]:
-    """(label, word, bit) of every output variable; word 3 is ``extra``."""
-    first = len(demographic_labels())
-    demographics = [(label, WORDS, bit) for bit, label in enumerate(demographic_labels())]
-    categories = [
-        (label, h // WORD_BITS, h % WORD_BITS)
+def _variables(spec: ModelSpec, categories: str = "post") -> list[tuple[str, str]]:
+    """(label, SQL text that is 1 when the person has it) of every output variable."""
+    found = [
+        (label, spec.categories.has(categories, h))
         for label, h in zip(spec.hcc_labels, spec.hccs, strict=True)
     ]
-    interactions = [(r.label, WORDS, first + i) for i, r in enumerate(spec.interactions)]
-    return demographics + categories + interactions
+    others = [(label, spec.features.has(EXTRA, label)) for label in spec.features.members]
+    first = len(demographic_labels())
+    return others[:first] + found + others[first:]
 
 
 def set_positions(spec: ModelSpec) -> Column:
@@ -33,8 +31,7 @@ def set_positions(spec: ModelSpec) -> Column:
     repeat the hierarchy expressions for every element.
     """
     entries = ", ".join(
-        f"if(getbit({f'post_{word}' if word < WORDS else EXTRA}, {bit}) = 1, {pos}, -1)"
-        for pos, (_, word, bit) in enumerate(_variables(spec))
+        f"if({has} = 1, {pos}, -1)" for pos, (_, has) in enumerate(_variables(spec))
     )
     return F.expr(f"array_remove(array({entries}), -1)")
 
@@ -84,7 +81,7 @@ def scored(profiles: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFram
     rows = profiles.select("hicn", "lookup_key", set_positions(spec).alias("positions"))
     joined = lookup_join(
         rows, weight_vectors(weights, spec), ["lookup_key"], "left",
-        spread_by=["hicn"], counted=weights,
+        spread_by=["hicn"],
     )
     units = F.expr("aggregate(positions, 0L, (total, p) -> total + coefs[p])")
     return joined.withColumn("units", F.coalesce(units, F.lit(0))).select(
@@ -109,3 +106,48 @@ def bene_hcc(profiles: DataFrame, spec: ModelSpec) -> DataFrame:
 def bene_score(profiles: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
     """(hicn, cms_risk_score)."""
     return risk_score(profiles, weights, spec).select("hicn", "cms_risk_score")
+
+
+def _found_variables(spec: ModelSpec) -> str:
+    """SQL text: (position, categories that dropped it) of what is 1 before the hierarchies."""
+    parents: dict[int, list[int]] = {}
+    for parent, children in spec.drops.items():
+        for child in children:
+            parents.setdefault(child, []).append(parent)
+    number = dict(zip(spec.hcc_labels, spec.hccs, strict=True))
+    entries = []
+    for position, (label, has) in enumerate(_variables(spec, "pre")):
+        by = ", ".join(
+            f"if({spec.categories.has('pre', p)} = 1, 'HCC{p:03d}', null)"
+            for p in sorted(parents.get(number.get(label), ()))
+        )
+        dropped = f"array_compact(array({by}))" if by else "cast(array() as array<string>)"
+        entries.append(
+            f"if({has} = 1, named_struct('position', {position}, 'dropped_by', {dropped}), null)"
+        )
+    return f"array_compact(array({', '.join(entries)}))"
+
+
+def explained(profiles: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
+    """(hicn, hcc, dropped_by, coefficient, contribution): why each variable counts or does not.
+
+    One row for every variable that a person has before the hierarchies.  ``dropped_by`` names
+    the present categories that removed it, joined by "|", and is empty for a variable that
+    counts.  ``coefficient`` is that of the person's lookup key, NULL where the key has no
+    usable weights; ``contribution`` is what the variable adds to the raw sum, so a person's
+    contributions add up to the score before coding intensity and normalization.
+    """
+    found = profiles.select("hicn", "lookup_key", F.expr(f"inline({_found_variables(spec)})"))
+    joined = lookup_join(
+        found, weight_vectors(weights, spec), ["lookup_key"], "left",
+        spread_by=["hicn", "position"],
+    )
+    coefficient = F.get("coefs", F.col("position")).cast("double") / float(10**COEF_DECIMALS)
+    counts = (F.size("dropped_by") == 0) & F.col("coefs").isNotNull()
+    return joined.select(
+        "hicn",
+        _label_at(spec, F.col("position")).alias("hcc"),
+        F.array_join("dropped_by", "|").alias("dropped_by"),
+        coefficient.alias("coefficient"),
+        F.when(counts, coefficient).otherwise(0.0).alias("contribution"),
+    )

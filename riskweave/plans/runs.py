@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskweave.models import V22, V23, ModelSpec
+from riskweave.models import CLAIM_RULES, V22, V23, ClaimRules, ModelSpec
 from riskweave.operators import diagnosis, eds, hcc, score
-from riskweave.operators.person import prepare_person, require_unique
-from riskweave.session import tune
-from riskweave.sources.tables import materialize, write_table
+from riskweave.operators.person import only_unique, prepare_person
+from riskweave.plans.steps import Steps, kept
+from riskweave.sources.publish import Publication, publish_views
+from riskweave.sources.tables import catalog_name, is_path, materialize
 
 
 @dataclass(frozen=True)
@@ -23,35 +24,37 @@ class ModelTables:
     weights: DataFrame
 
 
-def eligible_list(claims: DataFrame, cpt: DataFrame) -> DataFrame:
-    """The claim list, written first as the filter's own result table would be.
+def eligible_list(
+    claims: DataFrame, cpt: DataFrame, rules: ClaimRules = CLAIM_RULES, steps: Steps | None = None
+) -> DataFrame:
+    """The claim list, as the step ``eds_all``.
 
-    A join with claim lines then has two plain scans below its shuffles, the form in which
-    adaptive execution can split a claim number with a large share of the lines.
+    With steps, a join with claim lines has two plain scans below its shuffles, the form in
+    which adaptive execution can split a claim number with a large share of the lines.
     """
-    tune(claims.sparkSession)
-    return materialize(eds.eligible_claims(claims, cpt), "eds_all")
+    return kept(steps, eds.eligible_claims(claims, cpt, rules), "eds_all")
 
 
-def flag_claims(claims: DataFrame, cpt: DataFrame) -> DataFrame:
+def flag_claims(
+    claims: DataFrame, cpt: DataFrame, rules: ClaimRules = CLAIM_RULES, steps: Steps | None = None
+) -> DataFrame:
     """Claim lines with ``eds_riskeligible`` from the claim filter."""
-    return eds.flag_eds_eligible(claims, eligible_list(claims, cpt))
+    return eds.flag_eds_eligible(claims, eligible_list(claims, cpt, rules, steps))
 
 
 def _profiles(
-    eligibility: DataFrame, sets: DataFrame, spec: ModelSpec, strict: bool
+    eligibility: DataFrame, sets: DataFrame, spec: ModelSpec, strict: bool, steps: Steps | None
 ) -> DataFrame:
-    """Person profiles from the category sets.
+    """Person profiles from the category sets, the step ``condition_sets_<version>``.
 
-    The sets, three numbers per person, are written between the scan of all claims and the
-    person-level steps: every result is derived from them without going back to the claims,
-    and repeated person rows can be split by adaptive execution.
+    The sets are a few numbers per person.  Written between the scan of all claims and the
+    person-level steps, they serve every result without going back to the claims, and repeated
+    person rows can be split by adaptive execution.
     """
-    tune(eligibility.sparkSession)
     person = prepare_person(eligibility)
     if strict:
-        require_unique(person)
-    return hcc.profile(person, materialize(sets, f"condition_sets_{spec.version}"), spec)
+        person = only_unique(person)
+    return hcc.profile(person, kept(steps, sets, f"condition_sets_{spec.version}"), spec)
 
 
 def profiles(
@@ -60,10 +63,11 @@ def profiles(
     mapping: DataFrame,
     spec: ModelSpec,
     strict: bool = False,
+    steps: Steps | None = None,
 ) -> DataFrame:
     """Person profiles from (hicn, diag) rows of any origin."""
     sets = diagnosis.condition_sets(diagnoses, mapping, spec)
-    return _profiles(eligibility, sets, spec, strict)
+    return _profiles(eligibility, sets, spec, strict, steps)
 
 
 def profiles_v22(
@@ -73,13 +77,14 @@ def profiles_v22(
     strict: bool = False,
     spec: ModelSpec = V22,
     further: Sequence[DataFrame] = (),
+    steps: Steps | None = None,
 ) -> DataFrame:
     """V22 takes the diagnoses of lines flagged by submission-based eligibility.
 
     ``spec`` may be another year's; ``further`` are (hicn, diag) frames from other sources.
     """
     dx = diagnosis.with_further(diagnosis.raps_diagnoses(claims, spec), further)
-    return profiles(eligibility, dx, mapping, spec, strict)
+    return profiles(eligibility, dx, mapping, spec, strict, steps)
 
 
 def profiles_v23(
@@ -91,6 +96,7 @@ def profiles_v23(
     eligible: DataFrame | None = None,
     spec: ModelSpec = V23,
     further: Sequence[DataFrame] = (),
+    steps: Steps | None = None,
 ) -> DataFrame:
     """V23 takes encounter-eligible paid lines and inpatient submissions.
 
@@ -98,11 +104,12 @@ def profiles_v23(
     """
     if eligible is None:
         dx = diagnosis.eds_raps_diagnoses(paid, submissions, spec)
-        return profiles(eligibility, diagnosis.with_further(dx, further), mapping, spec, strict)
+        dx = diagnosis.with_further(dx, further)
+        return profiles(eligibility, dx, mapping, spec, strict, steps)
     sets = diagnosis.condition_sets_of_claims(
         paid, eligible, submissions, mapping, spec, further
     )
-    return _profiles(eligibility, sets, spec, strict)
+    return _profiles(eligibility, sets, spec, strict, steps)
 
 
 def run(rows: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
@@ -117,8 +124,9 @@ def run_v22(
     strict: bool = False,
     spec: ModelSpec = V22,
     further: Sequence[DataFrame] = (),
+    steps: Steps | None = None,
 ) -> DataFrame:
-    rows = profiles_v22(eligibility, claims, tables.mapping, strict, spec, further)
+    rows = profiles_v22(eligibility, claims, tables.mapping, strict, spec, further, steps)
     return run(rows, tables.weights, spec)
 
 
@@ -131,30 +139,87 @@ def run_v23(
     eligible: DataFrame | None = None,
     spec: ModelSpec = V23,
     further: Sequence[DataFrame] = (),
+    steps: Steps | None = None,
 ) -> DataFrame:
     rows = profiles_v23(
-        eligibility, paid, submissions, tables.mapping, strict, eligible, spec, further
+        eligibility, paid, submissions, tables.mapping, strict, eligible, spec, further, steps
     )
     return run(rows, tables.weights, spec)
 
 
-def write_results(result: DataFrame, score_name: str, hcc_name: str) -> None:
-    """Write the score table and the variable list of a run, replacing earlier ones.
+def run_both(
+    eligibility: DataFrame,
+    claims: DataFrame,
+    eligible: DataFrame,
+    tables: Sequence[ModelTables],
+    steps: Steps,
+    strict: bool = False,
+    specs: Sequence[ModelSpec] = (V22, V23),
+) -> list[DataFrame]:
+    """Results of both versions over the same claims, which are scanned once.
 
-    The result is written once in between, so the two tables come from the same rows and the
-    person-level work is done once.
+    Submissions are the lines of ``claims`` with a provider type that counts.  Both category
+    sets of a person come out of one aggregate, the step ``condition_sets_both``.
     """
-    kept = materialize(result, "scored")
-    write_table(kept.select("hicn", "cms_risk_score"), score_name)
-    write_table(kept.select("hicn", F.explode("variables").alias("hcc")), hcc_name)
-
-
-def write_claim_lists(claims: DataFrame, cpt: DataFrame, prefix: str) -> None:
-    """Write the four claim lists: ``<prefix>phys``, ``ip``, ``op`` and ``all``.
-
-    The claims are scanned once; the lists are read off one small table of claim flags.
+    found = diagnosis.condition_sets_of_both(claims, eligible, [t.mapping for t in tables], specs)
+    sets = steps.keep(found, "condition_sets_both")
+    person = prepare_person(eligibility)
+    if strict:
+        person = only_unique(person)
+    results = []
+    for i, (spec, of_version) in enumerate(zip(specs, tables, strict=True)):
+        words = zip(spec.categories.names(f"v{i}"), spec.categories.names("pre"), strict=True)
+        own = sets.select("hicn", *(F.col(name).alias(pre) for name, pre in words))
+        results.append(run(hcc.profile(person, own, spec), of_version.weights, spec))
+    return results
+
+
+def write_results(
+    result: DataFrame, score_name: str, hcc_name: str, steps: Steps | None = None
+) -> None:
+    """Write the score table and the variable list of a run, replacing earlier ones at once.
+
+    Both come from the same rows, the step ``scored``.  Names are two folders below the same
+    one, or two names of the catalog.
+    """
+    scores = ["hicn", "cms_risk_score"]
+    if is_path(score_name):
+        rows = steps.keep(result, "scored") if steps else materialize(result, "scored")
+        listed = rows.select("hicn", F.explode("variables").alias("hcc"))
+        _replace({score_name: rows.select(*scores), hcc_name: listed})
+    else:
+        publish_views(result, {
+            catalog_name(score_name): ", ".join(scores),
+            catalog_name(hcc_name): "hicn, explode(variables) as hcc",
+        })
+
+
+def write_claim_lists(
+    claims: DataFrame, cpt: DataFrame, prefix: str, rules: ClaimRules = CLAIM_RULES,
+    steps: Steps | None = None,
+) -> None:
+    """Write the four claim lists ``<prefix>phys``, ``ip``, ``op`` and ``all``, all at once.
+
+    The claims are scanned once; the lists are read off one small table of claim flags, the
+    step ``claim_flags``.
     """
-    flags = materialize(eds.claim_flags(claims, cpt), "claim_flags")
-    for name, passed in (("phys", "physician"), ("ip", "inpatient"), ("op", "outpatient"),
-                         ("all", "true")):
-        write_table(flags.where(passed).select(eds.CLAIM), f"{prefix}{name}")
+    passed = {"phys": "physician", "ip": "inpatient", "op": "outpatient", "all": "true"}
+    flags = kept(steps, eds.claim_flags(claims, cpt, rules), "claim_flags")
+    if is_path(prefix):
+        flags = flags if steps else materialize(flags, "claim_flags")
+        _replace({f"{prefix}{name}": flags.where(test).select(eds.CLAIM)
+                  for name, test in passed.items()})
+    else:
+        publish_views(flags, {catalog_name(f"{prefix}{name}"): (eds.CLAIM, test)
+                              for name, test in passed.items()})
+
+
+def _replace(frames: dict[str, DataFrame]) -> None:
+    """Publish folders of one parent together."""
+    folders = {name.rstrip("/").rsplit("/", 1)[0] for name in frames}
+    if len(folders) > 1:
+        raise ValueError(f"tables that are replaced together share a folder, not {sorted(folders)}")
+    spark = next(iter(frames.values())).sparkSession
+    Publication(spark, folders.pop()).replace(
+        {name.rstrip("/").rsplit("/", 1)[1]: frame for name, frame in frames.items()}
+    )

@@ -17,6 +17,23 @@ from riskweave.sources.schemas import Field
 WIDE_PREFIX = "b_"
 
 
+def _as_type(column: Column, given: str, wanted: str) -> Column:
+    """The column in the wanted type.
+
+    A code that arrives as a fractional type (an integer column that had gaps) is the whole
+    number's digits, ``1.0`` being "1"; one that is no whole number is an error.
+    """
+    if given == wanted:
+        return column
+    if wanted == "string" and (given in ("double", "float") or given.startswith("decimal")):
+        whole = column.cast("decimal(38,0)")
+        odd = F.format_string("code %s is not a whole number", column.cast("string"))
+        return F.when(column == whole, whole.cast("string")).when(
+            column.isNotNull(), F.raise_error(odd)
+        )
+    return column.cast(wanted)
+
+
 def _conform(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
     present = {name.lower(): (name, type_) for name, type_ in df.dtypes}
     columns: list[Column] = []
@@ -27,9 +44,10 @@ def _conform(df: DataFrame, fields: tuple[Field, ...]) -> DataFrame:
                 raise ValueError(f"input lacks column {field.name}; it has {df.columns}")
             continue
         source, type_ = present[name]
-        column = F.col(source) if type_ == field.type else F.col(source).cast(field.type)
+        column = _as_type(F.col(source), type_, field.type)
         if field.digits and type_ != field.type:
-            column = F.lpad(column, field.digits, "0")
+            column = F.when(F.length(column) < field.digits, F.lpad(column, field.digits, "0")
+                            ).otherwise(column)
         columns.append((normalized(column) if field.key else column).alias(field.name))
     return df.select(*columns)
 
@@ -50,6 +68,7 @@ def cpt_list(df: DataFrame) -> DataFrame:
 
 
 def eligibility(df: DataFrame) -> DataFrame:
+    """Persons.  Their identifiers stay as given; joins compare them in key form."""
     return _conform(df, schemas.ELIGIBILITY)
 
 

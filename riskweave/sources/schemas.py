@@ -40,7 +40,7 @@ CPT_LIST = (
     Field("cy", "int"),
 )
 ELIGIBILITY = (
-    Field("hicn", "string", key=True),
+    Field("hicn", "string"),
     Field("dob", "date"),
     Field("sex", "int"),
     Field("orec", "int"),

@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -52,6 +53,24 @@ def settings(spark, **values):
                 spark.conf.set(name, value)
 
 
+def jobs_so_far(spark) -> int:
+    """Jobs that the session has started in the present group."""
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+
+
+@contextlib.contextmanager
+def no_job(spark):
+    """Fails when anything inside starts a job."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "jobs of a test")
+    before = jobs_so_far(spark)
+    try:
+        yield
+        assert jobs_so_far(spark) == before
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
 PERSON_SCHEMA = "hicn string, dob date, sex int, orec int, medicaid int, model string"
 
 

@@ -8,14 +8,15 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conftest import mapping_by_number, settings
+from conftest import mapping_by_number, no_job, settings
 from riskweave.checks import fixtures
 from riskweave.functions import lookups
 from riskweave.models import V22, V23
 from riskweave.operators import diagnosis, eds, hcc, person, score
 from riskweave.plans import runs
+from riskweave.plans.steps import Steps
 from riskweave.sources import ingest
-from riskweave.sources.tables import materialize
+from riskweave.sources.tables import materialize, shared_folder
 
 
 def plan_of(df: DataFrame) -> str:
@@ -93,7 +94,7 @@ def test_python_never_runs_per_row(spark, sf_dir):
         runs.ModelTables(fixtures.mapping(spark), fixtures.weights(spark, V22)))
     plan = plan_of(result)
     assert "Python" not in plan and "Pandas" not in plan
-    assert "NestedLoop" not in plan.split("BroadcastExchange")[0]
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_salted_join_equals_broadcast_join(spark, claims):
@@ -113,7 +114,7 @@ def test_salted_join_equals_broadcast_join(spark, claims):
         return [sorted(map(str, f.collect())) for f in frames]
 
     broadcast = results()
-    with settings(spark, riskweave__broadcast__maxRows="3", riskweave__join__salts="5",
+    with settings(spark, riskweave__broadcast__maxBytes="3", riskweave__join__salts="5",
                   spark__sql__autoBroadcastJoinThreshold="-1"):
         assert not lookups.fits_broadcast(mapping)
         plan = plan_of(eds.eligible_claims(claims, cpt))
@@ -124,7 +125,7 @@ def test_salted_join_equals_broadcast_join(spark, claims):
 def test_a_hot_code_is_spread_by_the_salt(spark):
     facts = spark.range(8000).selectExpr("'HOT' as code", "cast(id as string) as owner")
     reference = spark.range(100).selectExpr("if(id = 0, 'HOT', 'C' || id) as code", "id as value")
-    with settings(spark, riskweave__broadcast__maxRows="3", riskweave__join__salts="16",
+    with settings(spark, riskweave__broadcast__maxBytes="3", riskweave__join__salts="16",
                   spark__sql__autoBroadcastJoinThreshold="-1",
                   spark__sql__adaptive__coalescePartitions__enabled="false",
                   spark__sql__shuffle__partitions="8"):
@@ -166,7 +167,8 @@ def test_hot_person_rows_are_split(spark):
     dx = spark.sql("select 'HOT' as hicn, 'D8' as diag union all select 'P1', 'D9'")
     with small_partitions(spark):
         profiles = runs.profiles(
-            ingest.eligibility(people), dx, mapping_by_number(spark), V22)
+            ingest.eligibility(people), dx, mapping_by_number(spark), V22,
+            steps=Steps(spark, f"{shared_folder(spark)}/hot-people"))
         assert "SortMergeJoin(skew=true)" in final_plan(profiles)
         found = score.bene_hcc(profiles, V22).groupBy("hcc").count().collect()
     assert {r.hcc: r["count"] for r in found} == {"m75_79": 60000, "HCC008": 20000, "HCC009": 1}
@@ -202,9 +204,36 @@ def test_a_hot_person_in_the_claims_is_combined_before_the_shuffle(spark):
     assert sets.where("hicn = 'HOT'").count() == 1
 
 
-def test_strict_run_reports_duplicates_without_collecting_them(spark, claims):
-    people = person.prepare_person(ingest.eligibility(claims.selectExpr(
+def test_strict_run_fails_on_duplicates_without_a_job_of_its_own(spark, claims):
+    people = ingest.eligibility(claims.selectExpr(
         "hicn", "date'1940-05-05' as dob", "1 as sex", "0 as orec", "0 as medicaid",
-        "'CN' as model")))
-    with pytest.raises(ValueError, match="occurs in"):
-        person.require_unique(people)
+        "'CN' as model"))
+    with no_job(spark):
+        checked = person.only_unique(person.prepare_person(people))
+        plan = plan_of(checked)
+    assert len(re.findall("Exchange hashpartitioning", plan)) == 1
+    with pytest.raises(Exception, match="occurs in"):
+        checked.collect()
+
+
+def test_no_job_runs_while_a_run_is_put_together(spark, sf_dir, claims):
+    """Broadcasts go by plan statistics, and nothing is written without steps."""
+    eligibility = fixtures.eligibility(spark, sf_dir)
+    mapping, cpt = fixtures.mapping(spark), fixtures.cpt_list(spark)
+    with no_job(spark):
+        first = runs.run_v22(
+            eligibility, claims, runs.ModelTables(mapping, fixtures.weights(spark, V22)),
+            strict=True)
+        second = runs.run_v23(
+            eligibility, claims, claims,
+            runs.ModelTables(mapping, fixtures.weights(spark, V23)),
+            eligible=runs.eligible_list(claims, cpt))
+        plans = plan_of(first), plan_of(second)
+    assert all("NestedLoop" not in p and "Cartesian" not in p for p in plans)
+
+
+def test_statistics_bound_broadcasts(spark):
+    small, huge = spark.range(100), spark.range(10**12)
+    assert lookups.fits_broadcast(small) and not lookups.fits_broadcast(huge)
+    # A frame of the driver's memory has no statistics.
+    assert not lookups.fits_broadcast(spark.createDataFrame([(1,)], "a int"))

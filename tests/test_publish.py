@@ -1,0 +1,169 @@
+"""Result tables replaced as one, in folders and in the catalog, and table names."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.plans import runs
+from riskweave.sources import tables
+from riskweave.sources.publish import KEEP, POINTERS, Publication
+
+
+def numbered(spark, n: int):
+    return spark.range(n).select("id", F.lit(n).alias("run"))
+
+
+def runs_of(publication) -> dict[str, int]:
+    return {name: publication.read(name).first().run for name in publication.tables()}
+
+
+def failing(spark):
+    return spark.range(3).select(F.raise_error(F.lit("lost")).cast("int").alias("run"))
+
+
+def test_a_run_that_fails_between_two_writes_leaves_the_old_pair(spark, tmp_path):
+    publication = Publication(spark, f"{tmp_path}/results")
+    assert publication.tables() == {}
+    publication.replace({"score": numbered(spark, 1), "list": numbered(spark, 1)})
+    before = publication.tables()
+    with pytest.raises(Exception, match="lost"):
+        publication.replace({"score": numbered(spark, 2), "list": failing(spark)})
+    assert publication.tables() == before and runs_of(publication) == {"score": 1, "list": 1}
+    # What the failed run had written is gone.
+    assert len(publication.folder.names("_versions")) == 1
+    publication.replace({"score": numbered(spark, 3), "list": numbered(spark, 3)})
+    assert runs_of(publication) == {"score": 3, "list": 3}
+    assert tables.read_table(spark, f"{tmp_path}/results/list").first().run == 3
+
+
+def test_a_reader_in_the_middle_of_a_run_sees_the_old_pair(spark, tmp_path):
+    publication = Publication(spark, str(tmp_path))
+    publication.replace({"a": numbered(spark, 1), "b": numbered(spark, 1)})
+    seen = []
+
+    class Watching(dict):
+        def items(self):
+            for name, frame in super().items():
+                seen.append(runs_of(Publication(spark, str(tmp_path))))
+                yield name, frame
+
+    publication.replace(Watching(a=numbered(spark, 2), b=numbered(spark, 2)))
+    assert seen == [{"a": 1, "b": 1}] * 2
+    assert runs_of(publication) == {"a": 2, "b": 2}
+
+
+def test_two_writers_keep_each_others_tables(spark, tmp_path):
+    one, other = Publication(spark, str(tmp_path)), Publication(spark, str(tmp_path))
+    state = one._state
+    calls = []
+
+    def late():
+        """Between reading and publishing, another writer publishes."""
+        found = state()
+        if not calls:
+            calls.append(1)
+            other.replace({"b": numbered(spark, 7)})
+        return found
+
+    one._state = late
+    one.replace({"a": numbered(spark, 5)})
+    assert runs_of(other) == {"a": 5, "b": 7}
+    assert len(one.folder.names(POINTERS)) == 2
+
+
+def test_an_unfinished_pointer_does_not_count(spark, tmp_path):
+    publication = Publication(spark, str(tmp_path))
+    publication.replace({"a": numbered(spark, 1)})
+    publication.folder.create(f"{POINTERS}/{2:012d}.json", '{"a": "_vers')
+    assert runs_of(publication) == {"a": 1}
+    publication.replace({"b": numbered(spark, 2)})
+    assert runs_of(publication) == {"a": 1, "b": 2}
+
+
+def test_prune_keeps_what_is_published(spark, tmp_path):
+    publication = Publication(spark, str(tmp_path))
+    publication.replace({"fixed": numbered(spark, 9)})
+    for n in (1, 2, 3, 4):
+        publication.replace({"a": numbered(spark, n)})
+    publication.prune()
+    assert len(publication.folder.names(POINTERS)) == KEEP
+    assert runs_of(publication) == {"fixed": 9, "a": 4}
+    left = [v for v in publication.folder.names("_versions")
+            if publication.folder.names(f"_versions/{v}")]
+    assert len(left) == 3  # fixed, and the last two of a
+
+
+def test_tables_replaced_together_share_a_folder(spark, tmp_path):
+    result = spark.sql("select 'A' as hicn, 1.5D as cms_risk_score, array('x', 'y') as variables")
+    with pytest.raises(ValueError, match="share a folder"):
+        runs.write_results(result, f"{tmp_path}/one/score", f"{tmp_path}/two/list")
+    runs.write_results(result, f"{tmp_path}/one/score", f"{tmp_path}/one/list")
+    assert tables.read_table(spark, f"{tmp_path}/one/list").count() == 2
+
+
+def result_of(spark, hicn):
+    return spark.createDataFrame(
+        [(hicn, 1.5, ["x", "y"])], "hicn string, cms_risk_score double, variables array<string>")
+
+
+def drop_all(spark):
+    for kind, names in (("view", ("bene_score_2019", "bene_hcc_2019", "bene_score_2019__rows")),
+                        ("table", [r.tableName for r in spark.sql("show tables").collect()
+                                   if "__rows_0" in r.tableName])):
+        for name in names:
+            spark.sql(f"drop {kind} if exists {name}")
+
+
+def test_catalog_results_are_views_of_the_same_rows(spark):
+    names = ("bene_score_2019", "[default].[bene_hcc_2019]")
+    spark.sql("create table bene_hcc_2019 using parquet as select 'old' as hicn")
+    try:
+        for hicn in ("A", "B", "C"):
+            runs.write_results(result_of(spark, hicn), *names)
+            scores = tables.read_table(spark, names[0])
+            assert [tuple(r) for r in scores.collect()] == [(hicn, 1.5)]
+            listed = tables.read_table(spark, names[1])
+            assert sorted(map(tuple, listed.collect())) == [(hicn, "x"), (hicn, "y")]
+        lost = F.raise_error(F.lit("lost")).cast("string")
+        with pytest.raises(Exception, match="lost"):
+            runs.write_results(result_of(spark, "D").withColumn("hicn", lost), *names)
+        assert tables.read_table(spark, names[0]).first().hicn == "C"
+        assert tables.read_table(spark, names[1]).first().hicn == "C"
+        runs.write_results(result_of(spark, "E"), *names)
+        kept = [r.tableName for r in spark.sql("show tables").collect()
+                if "__rows_0" in r.tableName]
+        assert len(kept) == 2 and tables.read_table(spark, names[1]).first().hicn == "E"
+    finally:
+        drop_all(spark)
+
+
+@pytest.mark.parametrize(("given", "meant"), [
+    ("t", "`t`"), ("dbo.t", "`dbo`.`t`"), ("[dbo].[eligibility table]", "`dbo`.`eligibility table`"),
+    ("[dbo.claims_data]", "`dbo.claims_data`"), ("a.[b]].c].d", "`a`.`b].c`.`d`"),
+    ('"a"."b""c"', '`a`.`b"c`'), ("`a``b`.c", "`a``b`.`c`")])
+def test_table_names(given, meant):
+    assert tables.catalog_name(given) == meant
+
+
+@pytest.mark.parametrize("wrong", ["", "a..b", ".a", "a.", "[a", "a b", "a.b.c.d", "[]"])
+def test_what_is_no_table_name(wrong):
+    with pytest.raises(ValueError):
+        tables.catalog_name(wrong)
+
+
+def test_names_with_a_slash_in_brackets_are_no_paths(spark):
+    assert tables.is_path("/data/x") and tables.is_path("s3a://b/x")
+    assert not tables.is_path("[a/b].c") and not tables.is_path("`a/b`") and not tables.is_path("t")
+
+
+def test_bracketed_names_are_read(spark):
+    spark.sql("create database if not exists dbo")
+    spark.range(4).write.mode("overwrite").saveAsTable("dbo.eligibility_table")
+    try:
+        assert tables.read_table(spark, "[dbo].[eligibility_table]").count() == 4
+        assert tables.read_table(spark, "spark_catalog.dbo.eligibility_table").count() == 4
+        tables.write_table(spark.range(5), "[dbo].[eligibility_table]")
+        assert tables.read_table(spark, "dbo.eligibility_table").count() == 5
+    finally:
+        spark.sql("drop database dbo cascade")

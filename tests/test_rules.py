@@ -1,0 +1,183 @@
+"""Specs of any size, rules as tables, and the explanation of scores."""
+
+from __future__ import annotations
+
+import dataclasses
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import born, diagnoses, mapping_by_number, persons
+from riskweave.functions.bitset import WORD_BITS, BitSet
+from riskweave.models import V22, V23, Interaction, ModelSpec, closed_drops
+from riskweave.operators import hcc, score
+from riskweave.plans import runs
+from riskweave.sources import ingest, rules
+
+WIDE = ModelSpec(
+    version="wide", hccs=(1, 62, 63, 64, 126, 127, 128, 190, 191, 192, 226, 399, 463),
+    drops={63: (127,), 127: (191,), 192: (463,)},
+    interactions=(Interaction("A63_463", ((63,), (463, 399)), False),
+                  Interaction("D191", ((191,),), True)),
+    normalization_millis=1000, coding_intensity_millis=1000)
+
+
+def weights_of(spark, spec, keys=("CN0", "CN1"), each="0.001"):
+    rows = [(k, label, each) for k in keys for label in spec.labels]
+    return ingest.weights(spark.createDataFrame(
+        rows, "lookup_key string, variable string, coef string"))
+
+
+def mapping(spark):
+    return ingest.mapping(spark.range(1, 600).selectExpr("'D' || id as diag", "cast(id as int) as hcc"))
+
+
+def result(spark, spec, table, dx):
+    found = runs.profiles(table, diagnoses(spark, *dx), mapping(spark), spec)
+    return {r.hicn: r for r in runs.run(found, weights_of(spark, spec), spec).collect()}
+
+
+def test_categories_of_any_number_score(spark):
+    table = persons(spark, ("A", born(70), 1, 0, 0, "CN"), ("B", born(70), 1, 0, 0, "CN"),
+                    ("C", born(50), 1, 1, 0, "CN"), ("D", born(70), 1, 0, 0, "CN"))
+    got = result(spark, WIDE, table, [
+        *(("A", n) for n in (62, 63, 64, 126, 128, 190, 226, 399)),
+        ("B", 63), ("B", 127), ("B", 191), ("B", 463), ("B", 192), ("C", 191), ("D", 500)])
+    assert got["A"].variables == [
+        "m70_74", "HCC062", "HCC063", "HCC064", "HCC126", "HCC128", "HCC190", "HCC226", "HCC399",
+        "A63_463"]
+    # 63 drops 127, and 191 through it; 463 is dropped but was there for the interaction.
+    assert got["B"].variables == ["m70_74", "HCC063", "HCC192", "A63_463"]
+    assert got["C"].variables == ["m45_54", "originallydisabled_male", "HCC191", "D191"]
+    assert got["D"].variables == ["m70_74"]
+    assert {h: r.cms_risk_score for h, r in got.items()} == {
+        "A": 0.010, "B": 0.004, "C": 0.004, "D": 0.001}
+    flags = hcc.apply_hierarchies(runs.profiles(
+        table, diagnoses(spark, ("B", 463), ("B", 191)), mapping(spark), WIDE), WIDE)
+    row = next(r for r in flags.collect() if r.hicn == "B")
+    assert [h for h in WIDE.hccs if row[f"hcc{h:03d}"] == 1] == [191, 463]
+
+
+def test_sixty_more_rules(spark):
+    rules_ = tuple(Interaction(f"R{i}", ((V22.hccs[i],),), False) for i in range(60))
+    spec = dataclasses.replace(V22, interactions=V22.interactions + rules_, drops={},
+                               coding_intensity_millis=1000, normalization_millis=1000)
+    assert spec.features.words == 2 and len(spec.labels) == 202
+    table = persons(spark, ("A", born(70), 2, 0, 0, "CN"))
+    got = result(spark, spec, table, [("A", V22.hccs[i]) for i in (0, 30, 59)])["A"]
+    want = ["f70_74", *(f"HCC{V22.hccs[i]:03d}" for i in (0, 30, 59)), "R0", "R30", "R59"]
+    extra = [v for v in got.variables if v in {i.label for i in V22.interactions}]
+    assert [v for v in got.variables if v not in extra] == want
+    assert got.cms_risk_score == pytest.approx(0.001 * len(got.variables), abs=1e-12)
+
+
+def test_three_hundred_categories(spark):
+    spec = dataclasses.replace(WIDE, hccs=tuple(range(1, 400)) + (463,))
+    assert spec.categories.words == 7
+    table = persons(spark, ("A", born(70), 1, 0, 0, "CN"))
+    numbers = [1, 63, 64, 126, 127, 189, 190, 252, 253, 315, 316, 378, 379, 399]
+    got = result(spark, spec, table, [("A", n) for n in numbers])["A"]
+    assert [v for v in got.variables if v.startswith("HCC")] == [
+        f"HCC{n:03d}" for n in numbers if n != 127]
+
+
+def test_the_sign_bit_is_never_used():
+    bits = BitSet(tuple(range(200)))
+    assert bits.words == 4 and WORD_BITS == 63
+    assert all(0 <= mask < 1 << 63 for mask in bits.masks(range(200)))
+    assert BitSet(()).words == 1 and BitSet(()).any_of("x", ()) == "(false)"
+
+
+@pytest.mark.parametrize("spec", [V22, V23])
+def test_rules_come_back_from_tables(spark, spec):
+    categories, drops, interactions = rules.rule_tables(spark, spec)
+    again = rules.read_spec(spec.version, categories, drops.union(drops), interactions,
+                            spec.normalization_millis)
+    assert again == spec
+
+
+def test_an_open_chain_is_closed():
+    assert closed_drops({1: (2,), 2: (3,), 3: (4, 5), 9: ()}) == {
+        1: (2, 3, 4, 5), 2: (3, 4, 5), 3: (4, 5)}
+    spec = dataclasses.replace(V22, drops={8: (9,), 9: (10,), 10: (11,), 11: (12,)})
+    assert spec.drops[8] == (9, 10, 11, 12)
+    assert dataclasses.replace(V22, drops=V22.drops).drops == {
+        p: tuple(sorted(c)) for p, c in V22.drops.items()}
+
+
+def test_an_open_chain_scores_as_a_closed_one(spark):
+    table = persons(spark, ("A", born(70), 1, 0, 0, "CN"))
+    chain = dataclasses.replace(V22, drops={8: (9,), 9: (10,), 10: (11,)})
+    got = result(spark, chain, table, [("A", 8), ("A", 11)])["A"]
+    assert got.variables == ["m70_74", "HCC008"]
+
+
+@pytest.mark.parametrize("drops", [{8: (8,)}, {8: (9,), 9: (8,)}, {8: (9,), 9: (10,), 10: (9,)}])
+def test_a_cycle_is_refused(drops):
+    with pytest.raises(ValueError, match="cycle: (8 -> 8|8 -> 9 -> 8|9 -> 10 -> 9)"):
+        dataclasses.replace(V22, drops=drops)
+
+
+def test_wrong_rule_tables_are_refused(spark):
+    categories, drops, interactions = rules.rule_tables(spark, V22)
+
+    def read(c=categories, d=drops, i=interactions):
+        return rules.read_spec("x", c, d, i, 1000)
+
+    def rule(*row):
+        return interactions.union(spark.createDataFrame([row], rules.INTERACTIONS))
+
+    with pytest.raises(ValueError, match="unknown categories"):
+        read(d=spark.createDataFrame([(8, 13)], rules.DROPS))
+    with pytest.raises(ValueError, match="unknown kind"):
+        read(i=rule(99, "X", "sometimes", False, 0, 8))
+    with pytest.raises(ValueError, match="two interactions"):
+        read(i=rule(0, "X", rules.GROUPS, False, 0, 8))
+    with pytest.raises(ValueError, match="lacks a group"):
+        read(i=rule(99, "X", rules.GROUPS, False, None, 8))
+    with pytest.raises(ValueError, match="labels occur twice"):
+        read(i=rule(99, "HCC47_GCANCER", rules.GROUPS, False, 0, 8))
+    with pytest.raises(ValueError, match="more than"):
+        read(c=spark.range(rules.MAX_ROWS + 1).selectExpr("cast(id as int) as hcc"))
+
+
+# ---------------------------------------------------------------- explanation
+
+@pytest.mark.parametrize("spec", [V22, V23])
+def test_contributions_add_up_to_the_score(spark, spec):
+    spec = dataclasses.replace(spec, normalization_millis=1000, coding_intensity_millis=1000)
+    table = persons(spark, ("a ", born(70), 1, 0, 0, "CN"), ("B", born(50), 2, 1, 1, "I"),
+                    ("C", born(50), 2, 1, 1, "X"))
+    numbers = (8, 9, 10, 12, 85, 111, 161, 106, 55, 57)
+    found = runs.profiles(
+        table, diagnoses(spark, *((p, n) for p in "ABC" for n in numbers)),
+        mapping_by_number(spark), spec)
+    weights = weights_of(spark, spec, ("CN0", "I"), "0.125")
+    rows = score.explained(found, weights, spec).collect()
+    scores = {r.hicn: r for r in runs.run(found, weights, spec).collect()}
+    for hicn, row in scores.items():
+        own = [r for r in rows if r.hicn == hicn]
+        assert sum(r.contribution for r in own) == row.cms_risk_score
+        assert [r.hcc for r in own if not r.dropped_by] == row.variables
+    by = {r.hcc: r for r in rows if r.hicn == "a "}
+    assert by["HCC012"].dropped_by == "HCC008|HCC009|HCC010"
+    assert by["HCC161"].dropped_by == "HCC106"
+    assert (by["HCC161"].coefficient, by["HCC161"].contribution) == (0.125, 0.0)
+    nobody = [r for r in rows if r.hicn == "C"]
+    assert nobody and all(r.coefficient is None and r.contribution == 0 for r in nobody)
+
+
+def test_identifiers_stay_as_given(spark):
+    table = persons(spark, ("abc ", born(70), 1, 0, 0, "CN"), ("ABD", born(70), 1, 0, 0, "CN"))
+    dx = spark.createDataFrame([("ABC", "D8"), ("ABD", "D9")], "hicn string, diag string")
+    found = runs.profiles(table, dx, mapping_by_number(spark), V22)
+    weights = weights_of(spark, V22)
+    assert sorted(map(tuple, score.bene_hcc(found, V22).collect())) == [
+        ("ABD", "HCC009"), ("ABD", "m70_74"), ("abc ", "HCC008"), ("abc ", "m70_74")]
+    assert {r.hicn for r in score.bene_score(found, weights, V22).collect()} == {"abc ", "ABD"}
+    twice = table.union(persons(spark, ("ABC", born(40), 1, 0, 0, "CN")))
+    from riskweave.operators.person import duplicate_hicn
+    assert [tuple(r) for r in duplicate_hicn(twice).collect()] == [("ABC", 2)]
+    flags = hcc.hcc_flags(twice, runs.diagnosis.condition_sets(
+        dx, mapping_by_number(spark), V22), V22)
+    assert sorted(r.hicn for r in flags.where(F.col("hcc008") == 1).collect()) == ["ABC"]
