@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.functions.codes import code_in, in_year, in_years
+from riskweave.functions.counting import Counts, rows, watched
 from riskweave.functions.lookups import lookup_join
 from riskweave.models import (
     CLAIM,
@@ -87,7 +88,7 @@ def sets_by_person(rows: DataFrame, *words: str) -> DataFrame:
 
 
 def mapped(
-    dx: DataFrame, mapping: DataFrame, spec: ModelSpec, prefix: str = "pre"
+    dx: DataFrame, mapping: DataFrame, spec: ModelSpec, counts: Counts | None = None
 ) -> DataFrame:
     """Diagnosis rows that map to a category of the model, with their categories as a set.
 
@@ -95,10 +96,12 @@ def mapped(
     categories does not multiply rows.
     """
     joined = lookup_join(
-        dx, crosswalk_sets(mapping, spec, prefix), ["diag"], "inner",
-        spread_by=[c for c in dx.columns if c != "diag"], facts_are_set=True,
+        watched(counts, dx, diagnoses=rows()), crosswalk_sets(mapping, spec), ["diag"], "inner",
+        spread_by=[c for c in dx.columns if c != "diag"],
+        # Copies are removed before a shuffle unless they are to be counted.
+        facts_are_set=counts is None,
     )
-    return joined.drop("diag")
+    return watched(counts, joined.drop("diag"), mapped_diagnoses=rows())
 
 
 def crosswalk_sets(mapping: DataFrame, spec: ModelSpec, prefix: str = "pre") -> DataFrame:
@@ -110,13 +113,17 @@ def crosswalk_sets(mapping: DataFrame, spec: ModelSpec, prefix: str = "pre") ->
     return of_model.groupBy("diag").agg(*(F.bit_or(name).alias(name) for name in names))
 
 
-def condition_sets(dx: DataFrame, mapping: DataFrame, spec: ModelSpec) -> DataFrame:
+def condition_sets(
+    dx: DataFrame, mapping: DataFrame, spec: ModelSpec, counts: Counts | None = None
+) -> DataFrame:
     """(hicn, pre_0...): the model's categories of each person with any.
 
     ``dx`` may repeat diagnoses: a set union is idempotent, so the distinct that would cost a
     shuffle of its own is not needed.
     """
-    return sets_by_person(mapped(dx, mapping, spec), *spec.categories.names("pre"))
+    found = mapped(dx, mapping, spec, counts)
+    sets = sets_by_person(found, *spec.categories.names("pre"))
+    return watched(counts, sets, persons_with_categories=rows())
 
 
 def condition_sets_of_claims(
@@ -126,21 +133,25 @@ def condition_sets_of_claims(
     mapping: DataFrame,
     spec: ModelSpec,
     further: Sequence[DataFrame] = (),
+    counts: Counts | None = None,
 ) -> DataFrame:
     """The sets of ``eds_raps_diagnoses`` from unflagged claims and the eligible claim list.
 
     Only lines of the service year whose diagnosis maps to a category are shuffled to meet
-    the claim list, instead of all lines to be flagged.
+    the claim list, instead of all lines to be flagged.  Counted diagnoses are those of all
+    these lines, listed or not.
     """
     keys = claim_keys(claims, eligible)
     listed = eligible if CLAIM_SLOT in keys else distinct_claims(eligible)
     lines = _diagnoses(claims, F.col(CLAIM).isNotNull(), spec.service_year, *keys)
-    encounters = mapped(lines, mapping, spec).join(listed.select(*keys), keys, "left_semi")
+    encounters = mapped(lines, mapping, spec, counts).join(
+        listed.select(*keys), keys, "left_semi")
     others = with_further(submitted_diagnoses(submissions, spec), further)
-    submitted = mapped(others, mapping, spec)
-    return sets_by_person(
+    submitted = mapped(others, mapping, spec, counts)
+    sets = sets_by_person(
         encounters.drop(*keys).unionByName(submitted), *spec.categories.names("pre")
     )
+    return watched(counts, sets, persons_with_categories=rows())
 
 
 def condition_sets_of_both(

@@ -7,37 +7,54 @@ interaction bits.  The wide 0/1 tables are projections of it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.functions.codes import normalized
+from riskweave.functions.counting import Counts, rows, watched
 from riskweave.models import ModelSpec, demographic_labels
 from riskweave.operators.person import EXTRA, extra_bits, extra_flags, features, orec_adjusted
 
 
-def with_sets(person: DataFrame, sets: DataFrame, spec: ModelSpec) -> DataFrame:
+def with_sets(
+    person: DataFrame, sets: DataFrame, spec: ModelSpec, counts: Counts | None = None
+) -> DataFrame:
     """Person rows with their category set; persons without a category get the empty set.
 
     Identifiers meet in key form, and the person's stays as given.
     """
     keyed = sets.withColumnRenamed("hicn", "_key")
-    joined = person.join(keyed, normalized(person["hicn"]) == keyed["_key"], "left").drop("_key")
+    if counts is not None:
+        # Rows of a key meet here as they do for the join.
+        key = Window.partitionBy(normalized("hicn"))
+        person = person.withColumns({
+            "_copies": F.count(F.lit(1)).over(key),
+            "_copy": F.row_number().over(key.orderBy("hicn")),
+        })
+    joined = person.join(keyed, normalized(person["hicn"]) == keyed["_key"], "left")
+    joined = watched(
+        counts, joined, person_rows=rows(),
+        repeated_person_rows=F.count_if(F.col("_copies") > 1),
+        _known_persons=F.count_if((F.col("_copy") == 1) & F.col("_key").isNotNull()),
+    ).drop("_key", "_copies", "_copy")
     return joined.withColumns({w: F.coalesce(w, F.lit(0).cast("bigint"))
                                for w in spec.categories.names("pre")})
 
 
-def profile(person: DataFrame, sets: DataFrame, spec: ModelSpec) -> DataFrame:
+def profile(
+    person: DataFrame, sets: DataFrame, spec: ModelSpec, counts: Counts | None = None
+) -> DataFrame:
     """Everything known about a person in a handful of columns.
 
     Interactions read the set before the hierarchies.
     """
-    rows = features(with_sets(person, sets, spec), spec)
+    featured = features(with_sets(person, sets, spec, counts), spec)
     post = {
         name: spec.categories.drop_children("pre", spec.drops, word)
         for word, name in enumerate(spec.categories.names("post"))
     }
     words = post | extra_bits(spec, "pre")
-    return rows.withColumns({name: F.expr(text) for name, text in words.items()})
+    return featured.withColumns({name: F.expr(text) for name, text in words.items()})
 
 
 def _hcc_columns(spec: ModelSpec, source: str) -> list[str]:

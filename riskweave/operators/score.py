@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.functions.counting import Counts, watched
 from riskweave.functions.lookups import lookup_join
 from riskweave.functions.rounding import COEF_DECIMALS, normalized_score
 from riskweave.models import ModelSpec, demographic_labels
@@ -76,13 +77,16 @@ def weight_vectors(weights: DataFrame, spec: ModelSpec) -> DataFrame:
     )
 
 
-def scored(profiles: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
+def scored(
+    profiles: DataFrame, weights: DataFrame, spec: ModelSpec, counts: Counts | None = None
+) -> DataFrame:
     """hicn, lookup_key, cms_risk_score and the variable labels, one row per person row."""
     rows = profiles.select("hicn", "lookup_key", set_positions(spec).alias("positions"))
     joined = lookup_join(
         rows, weight_vectors(weights, spec), ["lookup_key"], "left",
         spread_by=["hicn"],
     )
+    joined = watched(counts, joined, rows_without_weights=F.count_if(F.col("coefs").isNull()))
     units = F.expr("aggregate(positions, 0L, (total, p) -> total + coefs[p])")
     return joined.withColumn("units", F.coalesce(units, F.lit(0))).select(
         "hicn",

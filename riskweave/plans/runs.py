@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.functions.counting import Counts
 from riskweave.models import CLAIM_RULES, V22, V23, ClaimRules, ModelSpec
 from riskweave.operators import diagnosis, eds, hcc, score
 from riskweave.operators.person import only_unique, prepare_person
@@ -43,7 +44,8 @@ def flag_claims(
 
 
 def _profiles(
-    eligibility: DataFrame, sets: DataFrame, spec: ModelSpec, strict: bool, steps: Steps | None
+    eligibility: DataFrame, sets: DataFrame, spec: ModelSpec, strict: bool,
+    steps: Steps | None, counts: Counts | None,
 ) -> DataFrame:
     """Person profiles from the category sets, the step ``condition_sets_<version>``.
 
@@ -54,7 +56,8 @@ def _profiles(
     person = prepare_person(eligibility)
     if strict:
         person = only_unique(person)
-    return hcc.profile(person, kept(steps, sets, f"condition_sets_{spec.version}"), spec)
+    stored = kept(steps, sets, f"condition_sets_{spec.version}", counts)
+    return hcc.profile(person, stored, spec, counts)
 
 
 def profiles(
@@ -64,10 +67,11 @@ def profiles(
     spec: ModelSpec,
     strict: bool = False,
     steps: Steps | None = None,
+    counts: Counts | None = None,
 ) -> DataFrame:
     """Person profiles from (hicn, diag) rows of any origin."""
-    sets = diagnosis.condition_sets(diagnoses, mapping, spec)
-    return _profiles(eligibility, sets, spec, strict, steps)
+    sets = diagnosis.condition_sets(diagnoses, mapping, spec, counts)
+    return _profiles(eligibility, sets, spec, strict, steps, counts)
 
 
 def profiles_v22(
@@ -78,13 +82,14 @@ def profiles_v22(
     spec: ModelSpec = V22,
     further: Sequence[DataFrame] = (),
     steps: Steps | None = None,
+    counts: Counts | None = None,
 ) -> DataFrame:
     """V22 takes the diagnoses of lines flagged by submission-based eligibility.
 
     ``spec`` may be another year's; ``further`` are (hicn, diag) frames from other sources.
     """
     dx = diagnosis.with_further(diagnosis.raps_diagnoses(claims, spec), further)
-    return profiles(eligibility, dx, mapping, spec, strict, steps)
+    return profiles(eligibility, dx, mapping, spec, strict, steps, counts)
 
 
 def profiles_v23(
@@ -97,6 +102,7 @@ def profiles_v23(
     spec: ModelSpec = V23,
     further: Sequence[DataFrame] = (),
     steps: Steps | None = None,
+    counts: Counts | None = None,
 ) -> DataFrame:
     """V23 takes encounter-eligible paid lines and inpatient submissions.
 
@@ -105,16 +111,18 @@ def profiles_v23(
     if eligible is None:
         dx = diagnosis.eds_raps_diagnoses(paid, submissions, spec)
         dx = diagnosis.with_further(dx, further)
-        return profiles(eligibility, dx, mapping, spec, strict, steps)
+        return profiles(eligibility, dx, mapping, spec, strict, steps, counts)
     sets = diagnosis.condition_sets_of_claims(
-        paid, eligible, submissions, mapping, spec, further
+        paid, eligible, submissions, mapping, spec, further, counts
     )
-    return _profiles(eligibility, sets, spec, strict, steps)
+    return _profiles(eligibility, sets, spec, strict, steps, counts)
 
 
-def run(rows: DataFrame, weights: DataFrame, spec: ModelSpec) -> DataFrame:
+def run(
+    rows: DataFrame, weights: DataFrame, spec: ModelSpec, counts: Counts | None = None
+) -> DataFrame:
     """Score and variable list per person row, from its profile."""
-    return score.scored(rows, weights, spec)
+    return score.scored(rows, weights, spec, counts)
 
 
 def run_v22(
@@ -125,9 +133,12 @@ def run_v22(
     spec: ModelSpec = V22,
     further: Sequence[DataFrame] = (),
     steps: Steps | None = None,
+    counts: Counts | None = None,
 ) -> DataFrame:
-    rows = profiles_v22(eligibility, claims, tables.mapping, strict, spec, further, steps)
-    return run(rows, tables.weights, spec)
+    rows = profiles_v22(
+        eligibility, claims, tables.mapping, strict, spec, further, steps, counts
+    )
+    return run(rows, tables.weights, spec, counts)
 
 
 def run_v23(
@@ -140,11 +151,13 @@ def run_v23(
     spec: ModelSpec = V23,
     further: Sequence[DataFrame] = (),
     steps: Steps | None = None,
+    counts: Counts | None = None,
 ) -> DataFrame:
     rows = profiles_v23(
-        eligibility, paid, submissions, tables.mapping, strict, eligible, spec, further, steps
+        eligibility, paid, submissions, tables.mapping, strict, eligible, spec, further, steps,
+        counts,
     )
-    return run(rows, tables.weights, spec)
+    return run(rows, tables.weights, spec, counts)
 
 
 def run_both(

@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from riskweave.functions.counting import Counts
 from riskweave.sources.files import Folder
 
 MANIFEST = "_steps"
@@ -38,6 +39,8 @@ def _plan_text(df: DataFrame) -> str:
     finally:
         for name, value in before.items():
             conf.unset(name) if value is None else conf.set(name, value)
+    # A watched frame is the same frame; its observer has a new name each time.
+    text = "\n".join(line for line in text.splitlines() if "CollectMetrics" not in line)
     text = re.sub(r"\blambda (\w+?)_\d+#", r"lambda \1#", text)
     return re.sub(r"#\d+L?", "", text)
 
@@ -87,24 +90,37 @@ class Steps:
         self.taken: list[str] = []
         self.written: list[str] = []
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """The frame's rows, from the folder."""
+    def keep(self, df: DataFrame, name: str, counts: Counts | None = None) -> DataFrame:
+        """The frame's rows, from the folder.
+
+        What ``counts`` watches in the frame is noted in the manifest for reruns.
+        """
         key = plan_key(df)
         step = f"{name}-{key or uuid.uuid4().hex}"
         entry, path = f"{MANIFEST}/{step}.json", f"{self.folder.path}/{step}"
         if key and self.folder.exists(entry):
             self.taken.append(name)
+            described = json.loads(self.folder.read(entry))
+            if counts is not None:
+                counts.forget()
+                counts.add(described["counts"])
         else:
             df.write.mode("overwrite").parquet(path)
-            described = {"step": name, "schema": json.loads(df.schema.json())}
+            described = {
+                "step": name,
+                "schema": json.loads(df.schema.json()),
+                "counts": counts.settle() if counts is not None else {},
+            }
             self.folder.create(entry, json.dumps(described), replace=True)
             self.written.append(name)
-        schema = StructType.fromJson(json.loads(self.folder.read(entry))["schema"])
+        schema = StructType.fromJson(described["schema"])
         return self.spark.read.schema(schema).parquet(path)
 
     def clear(self) -> None:
         self.folder.delete()
 
 
-def kept(steps: Steps | None, df: DataFrame, name: str) -> DataFrame:
-    return df if steps is None else steps.keep(df, name)
+def kept(
+    steps: Steps | None, df: DataFrame, name: str, counts: Counts | None = None
+) -> DataFrame:
+    return df if steps is None else steps.keep(df, name, counts)
