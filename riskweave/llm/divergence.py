@@ -1,9 +1,9 @@
 """How much the sources of a language differ in their words, by in-mapper stripes.
 
 Each task folds whole documents into one stripe a language and term: the number of documents
-that hold the term, and its occurrences in each source.  When stripes outgrow ``SPILL`` cells,
-those of one document so far are spilled, or all if that frees too little; so a task's memory is
-bounded, and frequent terms stay until its end.  Cells of equal keys are merged behind one
+that hold the term, and its occurrences in each source.  When stripes outgrow ``SPILL``, those
+of one document so far are spilled, or all if that frees too little; so a task's memory is
+bounded, and frequent terms stay until its end.  Stripes of equal keys are merged behind one
 shuffle, to which a frequent term or a large source comes as one stripe a task.  Stripes with
 enough documents are written; their sums give every group's size.  The merged stripes then emit
 the divergences: shards of bounded size, each together with the group sizes, give sums for pairs
@@ -35,13 +35,15 @@ LEAST_DOCS = 3
 BEST = 200
 UNIT_STEPS = 3  # shares are in units of 1000 ** -3
 TABLE = byte_table(LETTERS)
-SPILL = 1 << 17
+#: Memory of a task's stripes in units of about 40 bytes: a stripe takes some, a cell one.
+SPILL = 1 << 21
+STRIPE_UNITS = 6
+BATCH = 1 << 16
 SHARD = 1 << 19
 CELLS = 1 << 20
 #: Stripe that lists a language's sources.  No term is empty.
 NO_TERM = b""
-#: A cell of a stripe; its first cell carries the number of documents, the others 0.
-CELL = "lang string, term binary, source string, n long, df long"
+STRIPE = "lang string, term binary, df long, source array<string>, n array<long>"
 FOUND = "lang string, source string, part string, item binary, value long"
 
 
@@ -50,7 +52,7 @@ class Stripes:
 
     def __init__(self, spill: int = SPILL):
         self._spill = spill
-        self.cells = 0
+        self.units = 0
         self._of: dict[str, dict[bytes, dict[str | None, int]]] = {}
 
     def add(self, lang: str, source: str, text: bytes | None) -> None:
@@ -63,56 +65,47 @@ class Stripes:
             stripe = terms.get(term)
             if stripe is None:
                 terms[term] = {None: 1, source: n}
-                self.cells += 1
+                self.units += STRIPE_UNITS + 1
             elif source in stripe:
                 stripe[None] += 1
                 stripe[source] += n
             else:
                 stripe[None] += 1
                 stripe[source] = n
-                self.cells += 1
+                self.units += 1
 
     def full(self) -> bool:
-        return self.cells >= self._spill
+        return self.units >= self._spill
 
     def spill(self) -> Iterator[pa.RecordBatch]:
-        yield self._drain(lambda df: df == 1)
-        if self.cells > self._spill // 2:
-            yield self.drain()
+        yield from self._drain(lambda df: df == 1)
+        if self.units > self._spill * 4 // 5:
+            yield from self.drain()
 
-    def drain(self) -> pa.RecordBatch:
+    def drain(self) -> Iterator[pa.RecordBatch]:
         return self._drain(lambda df: True)
 
-    def _drain(self, goes: Callable[[int], bool]) -> pa.RecordBatch:
-        langs, names, sources, counts, documents = [], [], [], [], []
-        self.cells = 0
+    def _drain(self, goes: Callable[[int], bool]) -> Iterator[pa.RecordBatch]:
+        self.units = 0
         for lang, terms in self._of.items():
-            stay = {}
-            for term, stripe in terms.items():
-                df = stripe[None]
-                if not goes(df):
-                    stay[term] = stripe
-                    self.cells += len(stripe) - 1
-                    continue
-                for source, n in stripe.items():
-                    if source is not None:
-                        langs.append(lang)
-                        names.append(term)
-                        sources.append(source)
-                        counts.append(n)
-                        documents.append(df)
-                        df = 0
-            self._of[lang] = stay
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(names, pa.binary()),
-             pa.array(sources, pa.string()), pa.array(counts, pa.int64()),
-             pa.array(documents, pa.int64())],
-            ["lang", "term", "source", "n", "df"],
-        )
-
-
-def partial_cells(docs: DataFrame, spill: int = SPILL) -> DataFrame:
-    """Cells of every task's stripes, a cell once for each time that it is spilled."""
+            leaving = [term for term, stripe in terms.items() if goes(stripe[None])]
+            for start in range(0, len(leaving), BATCH):
+                names = leaving[start:start + BATCH]
+                stripes = [terms.pop(name) for name in names]
+                df = [stripe.pop(None) for stripe in stripes]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()),
+                     pa.array(df, pa.int64()),
+                     pa.array([list(stripe) for stripe in stripes], pa.list_(pa.string())),
+                     pa.array([list(stripe.values()) for stripe in stripes],
+                              pa.list_(pa.int64()))],
+                    ["lang", "term", "df", "source", "n"],
+                )
+            self.units += sum(STRIPE_UNITS + len(stripe) - 1 for stripe in terms.values())
+
+
+def partial_stripes(docs: DataFrame, spill: int = SPILL) -> DataFrame:
+    """Every task's stripes, a key once for each time that it is spilled."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stripes = Stripes(spill)
         for batch in batches:
@@ -121,14 +114,14 @@ def partial_cells(docs: DataFrame, spill: int = SPILL) -> DataFrame:
                 stripes.add(lang.as_py(), source.as_py(), text.as_py())
                 if stripes.full():
                     yield from stripes.spill()
-        yield stripes.drain()
+        yield from stripes.drain()
 
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.col("text").cast("binary").alias("text"),
     )
-    return texts.mapInArrow(rows, CELL)
+    return texts.mapInArrow(rows, STRIPE)
 
 
 def merged_cells(partial: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
@@ -139,7 +132,10 @@ def merged_cells(partial: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
     documents = F.sum("df").over(Window.partitionBy("lang", "term"))
     dealt = partial.repartition("lang", "term").withColumn("documents", documents)
     kept = dealt.where((F.col("documents") >= least) | (F.col("term") == F.lit(NO_TERM)))
-    return kept.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"))
+    cells = kept.select("lang", "term", F.explode(F.arrays_zip("source", "n")).alias("cell"))
+    return cells.groupBy("lang", "term", F.col("cell.source").alias("source")).agg(
+        F.sum("cell.n").alias("n")
+    )
 
 
 def group_sizes(cells: DataFrame) -> DataFrame:
@@ -227,7 +223,7 @@ def _shard(cells: pa.Table, groups: pa.Table, best: int) -> pa.Table:
 def divergences(docs: DataFrame, scratch: Scratch, least: int = LEAST_DOCS, best: int = BEST,
                 spill: int = SPILL, shard: int = SHARD) -> DataFrame:
     """lang, source, part, item, value and rank: every other source, and the best terms."""
-    cells = scratch.keep(merged_cells(partial_cells(docs, spill), least), "stripes")
+    cells = scratch.keep(merged_cells(partial_stripes(docs, spill), least), "stripes")
     groups = scratch.keep(group_sizes(cells), "groups")
     shards = max(1, -(-cells.count() // shard))
     dealt = cells.where(F.col("term") != F.lit(NO_TERM)).withColumn(

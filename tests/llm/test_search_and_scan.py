@@ -278,7 +278,7 @@ DIVERSE = [
 ]
 
 
-@pytest.mark.parametrize(("spill", "shard", "cells"), [(1 << 18, 1 << 17, 1 << 20), (20, 7, 11)])
+@pytest.mark.parametrize(("spill", "shard", "cells"), [(1 << 21, 1 << 19, 1 << 20), (90, 7, 11)])
 def test_divergences(spark, monkeypatch, spill, shard, cells):
     monkeypatch.setattr(divergence, "CELLS", cells)
     rows = frame(spark, DIVERSE).repartition(3)
