@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.scratch import Scratch
+from riskweave.llm.sieve import marked
 from riskweave.llm.texts import partitions, sha256_hex, whole, without_spaces
 
 SLOTS = 4
@@ -173,12 +174,13 @@ def _local_index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, digest and code points of every row."""
+    """doc_id, digest, code points and hash of the text of every row."""
     text = whole(F.col("text"))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.unhex(sha256_hex(without_spaces(text))).alias("digest"),
         F.char_length(text).cast("long").alias("n_points"),
+        F.xxhash64(text).alias("text_hash"),
     )
 
 
@@ -209,9 +211,9 @@ def live_index(entries: DataFrame, withdrawn: DataFrame | None = None) -> DataFr
     return dealt.groupBy("shard").applyInArrow(shard, ENTRY)
 
 
-def decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """One row per document row: doc_id, keep_id, group_size, kept, text_sha256."""
-    schema = "doc_id long, digest binary, n_points long, row long"
+def _decided(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``decide`` and the hash of each row's text."""
+    schema = "doc_id long, digest binary, n_points long, text_hash long, row long"
     rows = scratch.keep(digests(docs).mapInArrow(_numbered, schema), "digests")
     index = scratch.keep(live_index(rows.mapInArrow(_local_index, ENTRY)), "index")
     # Two plain scans below the join: a digest with very many rows can be split at run time.
@@ -222,23 +224,37 @@ def decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
         F.col("n").alias("group_size"),
         (F.col("row") == F.col("keep_row")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        "text_hash",
     )
 
 
+def decide(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """One row per document row: doc_id, keep_id, group_size, kept, text_sha256."""
+    return _decided(docs, scratch).drop("text_hash")
+
+
 def keep_one(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """The document rows that stay, with all their columns."""
-    kept = decide(docs, scratch).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest")
+    """The document rows that stay, with all their columns, whatever their names.
+
+    Rows alone with their text, told by a sieve, are passed on as they are read; only those that
+    may belong to a group are shuffled to meet the list of what stays.
+    """
+    in_groups = _decided(docs, scratch).where("group_size > 1").groupBy(
+        F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")
+    ).agg(F.bool_or("kept").alias("stays"))
+    listed = scratch.keep(in_groups, "grouped")
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(whole(F.col("text"))).alias("hash"),
     )
-    digest = sha256_hex(without_spaces(whole(F.col("text"))))
-    marked = docs.withColumn("_digest", digest)
-    id_ = F.col("doc_id").cast("long")
-    joined = marked.join(
-        kept, id_.eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
+    sifted = marked(rows, ["id", "hash"], listed, ["of_id", "of_hash"])
+    some = sifted.where("may").join(
+        listed, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")), "left"
     )
     # Rows repeated with id and text: one stays, in the partitioning and order of the join.
-    one = "row_number() over (partition by _kept_id, _kept_digest order by char_length(text) desc)"
-    return joined.withColumn("_n", F.expr(one)).where("_n = 1").select(*docs.columns)
+    one = "row_number() over (partition by id, hash order by stays)"
+    stay = some.withColumn("n", F.expr(one)).where("of_hash is null or (stays and n = 1)")
+    return sifted.where("not may").select("row.*").union(stay.select("row.*"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

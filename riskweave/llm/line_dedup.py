@@ -23,7 +23,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.scratch import Scratch
-from riskweave.llm.texts import SPACES, lower_ascii, partitions, sha256_hex, whole
+from riskweave.llm.texts import (
+    SPACES,
+    free_names,
+    lower_ascii,
+    partitions,
+    sha256_hex,
+    whole,
+)
 
 SHORTEST = 10
 BATCHES = 4
@@ -125,24 +132,28 @@ def _kept(lines: str, drops: str) -> str:
 
 
 def dedup_lines(docs: DataFrame, scratch: Scratch, batches: int = BATCHES) -> DataFrame:
-    """All columns of the documents, with ``n_lines``, ``n_dropped`` and the text ``kept_text``."""
+    """All columns of the documents, with ``n_lines``, ``n_dropped`` and the text ``kept_text``.
+
+    A new column takes an underscore more where the caller has one of its name, in any case.
+    """
     drops = scratch.keep(dropped_lines(docs, scratch, batches), "drops")
-    by_row = drops.groupBy("rid", "rhash").agg(F.sort_array(F.collect_set("pos")).alias("_drops"))
-    marked = docs.withColumns({
-        "_rid": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)),
-        "_rhash": F.xxhash64(whole(F.col("text"))),
-    })
-    joined = marked.join(
-        by_row, (F.col("_rid") == F.col("rid")) & (F.col("_rhash") == F.col("rhash")), "left"
+    by_row = drops.groupBy("rid", "rhash").agg(F.sort_array(F.collect_set("pos")).alias("drops"))
+    rows = docs.select(
+        F.struct("*").alias("row"), whole(F.col("text")).alias("whole"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("own_id"),
+        F.xxhash64(whole(F.col("text"))).alias("own_hash"),
+    )
+    joined = rows.join(
+        by_row, (F.col("own_id") == F.col("rid")) & (F.col("own_hash") == F.col("rhash")), "left"
     )
-    lines = _lines(F.col("text"))
-    kept = F.array_join(F.expr(_kept("_lines", "_drops")), "\n")
-    return joined.withColumn("_lines", lines).select(
-        *docs.columns,
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.when(F.col("_drops").isNull(), 0).otherwise(F.size("_drops")).cast("long")
-        .alias("n_dropped"),
-        F.when(F.col("_drops").isNull(), whole(F.col("text"))).otherwise(kept).alias("kept_text"),
+    n_lines, n_dropped, kept_text = free_names(docs, "n_lines", "n_dropped", "kept_text")
+    kept = F.array_join(F.expr(_kept("lines", "drops")), "\n")
+    none = F.col("drops").isNull()
+    return joined.withColumn("lines", _lines(F.col("whole"))).select(
+        "row.*",
+        F.size("lines").cast("long").alias(n_lines),
+        F.when(none, 0).otherwise(F.size("drops")).cast("long").alias(n_dropped),
+        F.when(none, F.col("whole")).otherwise(kept).alias(kept_text),
     )
 
 

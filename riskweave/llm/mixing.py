@@ -18,7 +18,7 @@ are not read; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.scratch import Scratch
@@ -30,13 +30,21 @@ DIGITS = 3  # hexadecimal digits for each level: 4096 buckets
 LEVELS = 4
 
 
+def _size_and_hash() -> tuple[Column, Column]:
+    """Words of a row's text, and the hash of its id and size."""
+    size = F.regexp_count(whole(F.col("text")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    id_ = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
+    name = F.concat_ws(":", id_, size.cast("string"))
+    return size, F.substring(F.md5(name.cast("binary")), 1, DIGITS * LEVELS)
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     """doc_id, source, size in words and hash."""
-    size = F.regexp_count(whole(F.col("text")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size"))
-    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size")
-    digits = DIGITS * LEVELS
-    return sized.withColumn("hash", F.substring(F.md5(name.cast("binary")), 1, digits))
+    size, hash_ = _size_and_hash()
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size"),
+        hash_.alias("hash"),
+    )
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -117,36 +125,39 @@ def thresholds(sized: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFra
     return state.selectExpr("source", "edge", "edge_words > 0 and 2 * left_over >= edge_words as with_edge")
 
 
-def mix(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """doc_id, source, size, source_size, target and ``times`` the document is taken."""
+def _plan(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...]) -> tuple:
+    """The sized rows, and one row per source that says which of them are taken."""
     sized = scratch.keep(sizes(docs), "sizes")
     wanted = scratch.keep(targets(sized, weights), "targets")
     cut = scratch.keep(thresholds(sized, wanted, scratch), "thresholds")
-    plan = scratch.keep(_on_source(wanted, cut), "plan")
-    once_more = "hash < edge or (hash = edge and with_edge)"
+    return sized, scratch.keep(_on_source(wanted, cut), "plan")
+
+
+_TIMES = (
+    f"passes + if(passes < {MOST} and (hash < edge or (hash = edge and with_edge)), 1, 0)"
+)
+
+
+def mix(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """doc_id, source, size, source_size, target and ``times`` the document is taken."""
+    sized, plan = _plan(docs, scratch, weights)
     return _on_source(sized, plan).selectExpr(
-        "doc_id", "source", "size", "source_size", "target",
-        f"passes + if(passes < {MOST} and ({once_more}), 1, 0) as times",
+        "doc_id", "source", "size", "source_size", "target", f"{_TIMES} as times"
     )
 
 
 def repeat(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """The document rows of the mix, each as often as it is taken, with all their columns."""
-    taken = mix(docs, scratch, weights).where("times > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
-        F.col("size").alias("_size"), F.col("times").alias("_times"),
-    )
-    # Rows repeated with id, source and size are taken alike; each is joined once.
-    taken = scratch.keep(taken.distinct(), "taken")
-    size = F.regexp_count(whole(F.col("text")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    same = (
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size"))
-    )
-    joined = docs.withColumn("_words", size).join(taken, same)
-    copies = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
-    return joined.withColumn("_copy", copies).select(*docs.columns)
+    """The document rows of the mix, each as often as it is taken, with all their columns.
+
+    A row's hash is taken where the row is read and meets the few rows of the plan there, so
+    texts are not shuffled while the plan fits a broadcast.
+    """
+    _, plan = _plan(docs, scratch, weights)
+    _, hash_ = _size_and_hash()
+    rows = docs.select(F.struct("*").alias("row"), "source", hash_.alias("hash"))
+    taken = _on_source(rows, plan).selectExpr("row", f"cast({_TIMES} as int) as times")
+    copies = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy")
+    return taken.where("times > 0").select("row", copies).select("row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

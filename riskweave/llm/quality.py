@@ -23,13 +23,14 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.texts import whole
+from riskweave.llm.texts import free_names, whole
 
 SAMPLE = 8192
 WIDTH = 2048
@@ -156,17 +157,28 @@ def latent_axes(rows: np.ndarray, dimensions: int) -> np.ndarray:
     return np.ascontiguousarray((basis @ turned.T)[:, :dimensions], np.float32)
 
 
-class Model:
-    """Term weights, latent axes and the labelled vectors."""
+class Model(NamedTuple):
+    """Term weights, latent axes and the labelled vectors.
 
-    def __init__(self, terms: np.ndarray, labels: np.ndarray):
+    Tasks get the plain tuple of arrays and make the model of it: what is broadcast must not
+    name a module that workers would have to import.
+    """
+
+    rarity: np.ndarray
+    axes: np.ndarray
+    vectors: np.ndarray
+    labels: np.ndarray
+    mean: float
+
+    @classmethod
+    def learn(cls, terms: np.ndarray, labels: np.ndarray) -> Model:
         seen = (terms > 0).sum(axis=0)
-        self.rarity = (np.log((1 + len(terms)) / (1 + seen)) + 1).astype(np.float32)
-        scaled = _scaled(terms, self.rarity)
-        self.axes = latent_axes(scaled, DIMENSIONS)
-        self.vectors = _unit(scaled @ self.axes)
-        self.labels = labels.astype(np.float32)
-        self.mean = float(labels.mean())
+        rarity = (np.log((1 + len(terms)) / (1 + seen)) + 1).astype(np.float32)
+        scaled = _scaled(terms, rarity)
+        axes = latent_axes(scaled, DIMENSIONS)
+        return cls(
+            rarity, axes, _unit(scaled @ axes), labels.astype(np.float32), float(labels.mean())
+        )
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         """Similarity-weighted share of label 1 among the nearest labelled vectors."""
@@ -187,6 +199,7 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from at most ``sample`` labelled documents, chosen by a hash of the id."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     usable = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = (
         usable.groupBy(F.col("doc_id").cast("long").alias("_labelled"))
@@ -194,9 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
         .orderBy(F.xxhash64("_labelled"), "_labelled").limit(sample)
     )
     # At most ``sample`` rows of two numbers; repeated documents add no more than their rows.
-    rows = docs.select("doc_id", "text").join(
-        F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("_labelled")
-    ).groupBy("_labelled").agg(
+    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled")).groupBy("_labelled").agg(
         F.first("_quality").alias("label"), F.max(whole(F.col("text"))).alias("text")
     ).select("_labelled", "label", "text")
 
@@ -215,29 +226,30 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
         return None
     joined = b"".join(got.column("terms").to_pylist())
     terms = np.frombuffer(joined, np.float32).reshape(-1, WIDTH)
-    return Model(terms, got.column("label").to_numpy())
+    return Model.learn(terms, got.column("label").to_numpy())
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """All columns and ``score`` for every document."""
     if model is None:
         return docs.withColumn("score", F.lit(0.5))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c != "score"]
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
+    kept = [c for c in docs.columns if c.lower() != "score"]
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms()
+        terms, known = Terms(), Model(*sent.value)
         for batch in batches:
             for start in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(start, BLOCK)
                 rows = terms.rows(part.column(part.num_columns - 1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(sent.value.scores(rows), pa.float64())],
+                    [*part.columns[:-1], pa.array(known.scores(rows), pa.float64())],
                     [*kept, "score"],
                 )
 
     schema = docs.select(*kept).schema.add("score", "double")
-    return docs.select(*kept, whole(F.col("text")).alias("_whole_text")).mapInArrow(over, schema)
+    (text,) = free_names(docs, "whole_text")
+    return docs.select(*kept, whole(F.col("text")).alias(text)).mapInArrow(over, schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from riskweave.llm.guess_cost import GuessCost
+from riskweave.llm.texts import free_names
 
 KINDS = ("assign", "access", "hex", "guess")
 BASE = KINDS[:3]
@@ -119,10 +120,7 @@ def scan(docs: DataFrame, words: Sequence[str] = (), least_bits: float = LEAST_B
 
     ``words`` are further words of passwords, the commonest first; they go to every task.
     """
-    name = "findings"
-    while name in {c.lower() for c in docs.columns}:
-        name += "_"
-    words = list(words)
+    (name,), words = free_names(docs, "findings"), list(words)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(words, least_bits)

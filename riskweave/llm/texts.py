@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACES = " \t\n\x0b\x0c\r"
@@ -14,6 +14,17 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as no column of the frame has."""
+    taken, found = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def without_spaces(text: Column) -> Column:
     return F.regexp_replace(text, r"[\x20\x09-\x0D]+", "")
 
