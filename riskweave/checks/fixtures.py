@@ -141,7 +141,21 @@ _TABLES = {
 }
 
 
+# Inputs that were derived and written before: (folder of the test tables, statement) -> path.
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def store(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Derive persons, claims and claim lines once; later calls read what is written here."""
+    for name, text in (("eligibility", ELIGIBILITY), ("claims", CLAIMS),
+                       ("claim_lines", CLAIM_LINES)):
+        _derive(spark, sf_dir, text).write.parquet(f"{folder}/{name}")
+        _STORED[sf_dir, text] = f"{folder}/{name}"
+
+
 def _derive(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    if (sf_dir, text) in _STORED:
+        return spark.read.parquet(_STORED[sf_dir, text])
     tables = {
         name: spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
         for name, schema in _TABLES.items()
