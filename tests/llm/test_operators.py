@@ -136,7 +136,7 @@ def test_chat_format(spark):
         (None, 0, "assistant", "é\n"), (1, 2, "assistant", "a"),
     ]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    got = {r.conv_id: r for r in chat_format.read_back(chat_format.examples(turns)).collect()}
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.conversations(turns)).collect()}
     for conv in (1, 2, 3, None):
         own = sorted((r for r in rows if r[0] == conv), key=lambda r: (last(r[1]), r[2] or "", r[3] or ""))
         said = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in own)
@@ -145,11 +145,16 @@ def test_chat_format(spark):
         assert row.n_turns == len(own) and row.loss_chars == len(learnt)
         assert row.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
         assert row.loss_sha256 == hashlib.sha256(learnt.encode()).hexdigest()
-    made = chat_format.examples(turns).withColumn("t", chat_format.example_text()).collect()
+    made = chat_format.examples(turns).collect()
     # One example per reply and one for turns after the last reply.
     assert len(made) == 4 + 1 + 2 + 1
     for row in made:
-        assert row.t == row.formatted[:row.n_chars] and row.t.endswith(chat_format.STOP)
+        assert row.text.endswith(chat_format.STOP)
+        masked = row.text[row.loss_start:row.loss_end]
+        assert chat_format.START not in masked
+        before = row.text[:row.loss_start]
+        if masked or before.endswith(f"{chat_format.TARGET}{chat_format.TEXT}"):
+            assert row.text == before + masked + chat_format.STOP
     assert chat_format.examples(turns.limit(0)).count() == 0
 
 
@@ -303,7 +308,7 @@ def test_token_counts(spark, odd, empty):
     assert token_counts.count_tokens(empty, path).count() == 0
 
 
-def test_sentence_pieces(spark, odd, empty):
+def test_sentence_pieces(spark, odd, empty, monkeypatch):
     library = pytest.importorskip("sentencepiece")
     public = pytest.importorskip("public_tokenizers")
     path = public.path("piece_bpe_32k.model")
@@ -316,8 +321,9 @@ def test_sentence_pieces(spark, odd, empty):
     assert [r.text for r in back] == [t or "" for _, t, _ in ODD]
     pieces = sentence_pieces.Pieces(path)
     text = "▁" + (P1 + "ab" * 90 + "\n\n中 x").replace(" ", "▁")
+    monkeypatch.setattr(sentence_pieces, "CHUNK", 8)
     parts = list(pieces.stream(text))
-    assert len(parts) > 1 and [i for p in parts for i in p] == model.encode(text[1:].replace("▁", " "))
+    assert len(parts) > 1 and len(list(pieces._window("ab" * 90))) > 1 and [i for p in parts for i in p] == model.encode(text[1:].replace("▁", " "))
     assert sentence_pieces.encode(empty, path).count() == 0
 
 
