@@ -19,6 +19,14 @@ the threshold does, but for a probability of ``MISS``, go no further.  So in the
 members of a bucket are linked through confirmed pairs or have been compared, whatever the
 bucket's size, while a bucket of copies costs one comparison per member.
 
+Prefixes.  Buckets still open after ``BAND_TURNS`` rounds hold texts that are alike but not near,
+such as a template with many fillings, whose members would meet one by one.  Their classes are
+dealt anew: shingles are ordered by the number of these classes that hold them, and a class goes
+into the bucket of each of its rarest shingles, as many that two near sets must share one of
+theirs (all but the threshold's part of the set, and one more).  What tells two fillings apart is
+rare, so they share no bucket, and where a shared shingle stands in both sets bounds how much they
+can share at all.  No near pair is lost by this.
+
 Defined cases: null, empty and blank texts have an empty set and are linked with nothing; a text
 with fewer words than a shingle has its words as its one shingle; rows with equal sets are linked;
 null ids come last and a group of null ids has a null component; repeated rows come out repeated;
@@ -39,13 +47,14 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
 from riskweave.llm.scratch import Scratch
+from riskweave.llm.sieve import marked
 from riskweave.llm.texts import whole
 
 BANDS = 32
 MISS = 1e-5
 BLOCK_BYTES = 1 << 20
 FIRST_PIVOTS, GROWTH = 4, 8
-SIEVE_BITS = 1 << 26
+BAND_TURNS = 2
 
 U = np.uint64
 _FULL = U(0xFFFFFFFFFFFFFFFF)
@@ -258,24 +267,27 @@ def _confirm(near: Near):
     return over
 
 
-def sieve(rows: DataFrame, key: list[str], wanted: DataFrame, wanted_key: list[str]) -> DataFrame:
-    """The rows whose key may be wanted, found before they are shuffled.
+def _shingle_rows(near: Near):
+    """(node, n, shingle) of every member of the texts' sets."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, texts = batch.column("node").to_numpy(), batch.column("text").to_pylist()
+            for part in _blocks(texts):
+                sets = shingle_sets(texts[part], near.words)
+                sizes = np.array([len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(nodes[part], sizes)), pa.array(np.repeat(sizes, sizes)),
+                     pa.array(np.concatenate(sets).view(np.int64))],
+                    ["node", "n", "shingle"],
+                )
 
-    One bit for each hash of a wanted key is broadcast, ``SIEVE_BITS`` bits (8 MB) whatever the
-    number of keys.  No wanted row is lost; others that pass are left to the join that follows.
-    """
-    def place(columns: list[str]):
-        return F.pmod(F.xxhash64(*columns), F.lit(SIEVE_BITS))
+    return over
 
-    bits = wanted.select(place(wanted_key).alias("_place")).groupBy(
-        F.bitmap_bucket_number("_place").alias("_bucket")
-    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_bits"))
-    at = F.bitmap_bit_position(place(key))
-    byte = F.expr("cast(conv(hex(substring(_bits, cast(_at div 8 as int) + 1, 1)), 16, 10) as int)")
-    placed = rows.withColumn("_own", F.bitmap_bucket_number(place(key))).withColumn("_at", at)
-    return placed.join(F.broadcast(bits), F.col("_own") == F.col("_bucket")).where(
-        F.getbit(byte, F.expr("cast(_at % 8 as int)")) == 1
-    ).select(*rows.columns)
+
+def sieve(rows: DataFrame, key: list[str], wanted: DataFrame, wanted_key: list[str]) -> DataFrame:
+    """The rows whose key may be wanted, found before they are shuffled."""
+    return marked(rows, key, wanted, wanted_key, "_may").where("_may").drop("_may")
 
 
 class NearGroups:
@@ -303,13 +315,16 @@ class NearGroups:
         )
 
     def buckets(self) -> DataFrame:
-        """(key, node, n, size) of the classes in buckets with two or more."""
+        """(key, node, n, size, least, least_n) of the classes in buckets with two or more."""
         nodes = self.classes.select("node", "n")
         own = self.rows.select(F.col("row").alias("node"), "bands").join(nodes, "node")
         keys = self.scratch.keep(own.select(F.explode("bands").alias("key"), "node", "n"), "bands")
         shared = keys.groupBy("key").agg(
-            F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("size")
-        ).where("least < most").select("key", "least", "size")
+            F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("most"),
+            F.count("*").alias("size"),
+        ).where("least.node < most").selectExpr(
+            "key", "least.node as least", "least.n as least_n", "size"
+        )
         return self.scratch.keep(
             keys.join(self.scratch.keep(shared, "shared"), "key"), "buckets"
         )
@@ -330,6 +345,34 @@ class NearGroups:
         docs = sieve(docs, ["doc_id", "text_hash"], wanted, ["_id", "_hash"])
         return self.scratch.keep(docs.join(wanted, same).select("node", "text"), "texts")
 
+    def prefix_buckets(self, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+        """(key, node, n, size, pos) by the rarest shingles of the nodes.
+
+        ``pos`` is the shingle's place in the node's set, from 0, the rarest first.  Shingles of
+        one node alone come first and need no bucket.
+        """
+        keep, percent = self.scratch.keep, self.near.percent
+        own = sieve(texts, ["node"], nodes, ["node"]).join(nodes, "node", "left_semi")
+        cells = own.mapInArrow(_shingle_rows(self.near), "node long, n long, shingle long")
+        cells = keep(cells.distinct(), "shingles")
+        held = cells.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+        common = cells.join(keep(held, "shingle-counts"), "shingle")
+        ordered = common.groupBy("node", "n").agg(
+            F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared")
+        )
+        alone = "n - size(shared)"
+        length = f"n - ({percent} * n + 99) div 100 + 1"
+        prefix = ordered.selectExpr(
+            "node", "n", f"{alone} as alone",
+            f"slice(shared, 1, cast(greatest(0, {length} - ({alone})) as int)) as prefix",
+        )
+        placed = prefix.select(
+            "node", "n", "alone", F.posexplode("prefix").alias("at", "cell")
+        ).selectExpr("cell.shingle as key", "node", "n", "alone + at as pos")
+        placed = keep(placed, "prefixes")
+        sizes = placed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+        return keep(placed.join(keep(sizes, "prefix-sizes"), "key"), "prefix-buckets")
+
     def _confirmed(self, pairs: DataFrame, texts: DataFrame, turn: int) -> DataFrame:
         """The pairs (a, b) that are near."""
         pivots = pairs.select("a").distinct()
@@ -365,19 +408,24 @@ class NearGroups:
         scratch, buckets = self.scratch, self.buckets()
         texts = self.texts(buckets)
         p = self.near.percent
-        sized = f"100 * least(n, pivot_n) >= {p} * greatest(n, pivot_n)"
-        first = buckets.where("node <> least").selectExpr("least as a", "node as b", "n")
-        pivot_n = buckets.where("node = least").selectExpr("node as a", "n as pivot_n").distinct()
-        pairs = first.join(pivot_n, "a").where(sized).select("a", "b").distinct()
+        # What two sets can share from the places of a shared member on.
+        reach = f"{100 + p} * least(n - pos, pivot_n - pivot_pos) >= {p} * (n + pivot_n)"
+        first = buckets.where("node <> least").where(
+            f"100 * least(n, least_n) >= {p} * greatest(n, least_n)"
+        )
+        pairs = first.selectExpr("least as a", "node as b").distinct()
         seen = scratch.keep(pairs, "pairs-1")
         links = self._confirmed(seen, texts, 1)
         labels = components(links, scratch, "components-1")
         turn, done, pivots = 1, 0, FIRST_PIVOTS
-        active = buckets.select("key", "node", "n", "size")
+        active = buckets.selectExpr("key", "node", "n", "size", "0L as pos")
         while True:
             turn += 1
+            if turn == BAND_TURNS + 2:
+                nodes = scratch.keep(active.select("node").distinct(), "alike")
+                active, done, pivots = self.prefix_buckets(nodes, texts), 0, FIRST_PIVOTS
             named = active.join(labels, "node", "left").select(
-                "key", "node", "n", "size", F.coalesce("label", "node").alias("label"),
+                "key", "node", "n", "size", "pos", F.coalesce("label", "node").alias("label"),
             )
             named = scratch.keep(named, f"named-{turn}")
             mixed = named.groupBy("key").agg(
@@ -394,13 +442,13 @@ class NearGroups:
             active = scratch.keep(active.join(bins, "node"), f"sketched-{turn}")
             place = "pmod(xxhash64(key, node), 1048576) / 1048576 * size"
             pivot = active.where(f"{place} >= {done} and {place} < {pivots}").selectExpr(
-                "key", "node as pivot", "n as pivot_n", "label as pivot_label",
-                "bins as pivot_bins",
+                "key", "node as pivot", "n as pivot_n", "pos as pivot_pos",
+                "label as pivot_label", "bins as pivot_bins",
             )
             # Sketches too unlike for the threshold need no look at the full sets.
             agree = "size(filter(zip_with(bins, pivot_bins, (x, y) -> x = y), same -> same))"
             met = active.join(scratch.keep(pivot, f"pivots-{turn}"), "key").where(
-                f"label <> pivot_label and {sized} and {agree} >= {self.near.least_bins}"
+                f"label <> pivot_label and {reach} and {agree} >= {self.near.least_bins}"
             )
             # The smaller node is a, as in the pairs before.
             pairs = met.selectExpr("least(node, pivot) as a", "greatest(node, pivot) as b")
@@ -408,7 +456,7 @@ class NearGroups:
             fresh = scratch.keep(fresh, f"pairs-{turn}")
             labels = self._joined(labels, self._confirmed(fresh, texts, turn), turn)
             seen = seen.unionByName(fresh)
-            active = active.select("key", "node", "n", "size")
+            active = active.select("key", "node", "n", "size", "pos")
             done, pivots = pivots, pivots * GROWTH
 
     def decide(self) -> DataFrame:
@@ -441,20 +489,20 @@ def near_groups(docs: DataFrame, scratch: Scratch, near: Near = Near()) -> DataF
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, near: Near = Near()) -> DataFrame:
-    """One document row of each group, with all its columns."""
+    """One document row of each group, with all its columns, whatever their names."""
     kept = near_groups(docs, scratch, near).where("row = keep_row").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"),
-        (F.col("n_shingles") == 0).alias("_kept_all"),
+        F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"),
+        (F.col("n_shingles") == 0).alias("kept_all"),
     )
     kept = scratch.keep(kept.distinct(), "kept")
-    marked = docs.withColumn("_hash", F.xxhash64(whole(F.col("text"))))
-    id_ = F.col("doc_id").cast("long")
-    joined = marked.join(
-        kept, id_.eqNullSafe(F.col("_kept_id")) & (F.col("_hash") == F.col("_kept_hash"))
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), "text",
+        F.xxhash64(whole(F.col("text"))).alias("hash"),
     )
+    joined = rows.join(kept, rows.id.eqNullSafe(kept.kept_id) & (rows.hash == kept.kept_hash))
     # Of rows repeated with id and text one stays, in the partitioning and order of the join.
-    one = "row_number() over (partition by _kept_id, _kept_hash order by char_length(text))"
-    return joined.withColumn("_n", F.expr(one)).where("_n = 1 or _kept_all").select(*docs.columns)
+    one = "row_number() over (partition by kept_id, kept_hash order by char_length(text))"
+    return joined.withColumn("n", F.expr(one)).where("n = 1 or kept_all").select("row.*")
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
