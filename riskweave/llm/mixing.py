@@ -5,15 +5,18 @@ left, documents whose hash is below the source's threshold are taken once more.
 comes from sums of words by source and hash bucket: the running sum names the bucket in which
 the budget ends, and only that bucket is divided further, ``LEVELS`` times.  Documents are then
 filtered by comparing hashes; nothing is sorted by document.  The hash is MD5 of doc_id and
-size, so reruns agree.
+size, so reruns agree.  Where several rows have the boundary's hash, digits of the text's MD5
+divide them, and rows alike in these, too, are divided by digits of a row number.
 
 A histogram has at most 4096 rows for each source and level, summed before the shuffle, so a
 source with a third of all rows costs no more than any other.  The last boundary bucket is
-taken if that brings the source nearer to its target.
+taken if that brings the source nearer to its target, so the mix misses a target by half a
+document's size.
 
-Defined cases: a null text has size 0; a null source is a source, the last one; documents with
-the same id and size are taken together; with no words at all every target is 0; other columns
-are not read; an empty table gives no rows.
+Defined cases: a null text has size 0; a null source is a source, the last one; rows with the
+same id, size and text are taken in such numbers as the target needs, and which of them is open;
+with no words at all every target is 0; other columns are not read; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -27,15 +30,20 @@ from riskweave.llm.texts import whole
 WEIGHTS = (5, 2, 1)
 MOST = 3
 DIGITS = 3  # hexadecimal digits for each level: 4096 buckets
-LEVELS = 4
+LEVELS = 4  # for each of the hash's three parts
 
 
 def _size_and_hash() -> tuple[Column, Column]:
-    """Words of a row's text, and the hash of its id and size."""
-    size = F.regexp_count(whole(F.col("text")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    """Words of a row's text, and the hash: of id and size, of the text, of a row number."""
+    text = whole(F.col("text"))
+    size = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     id_ = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit(""))
-    name = F.concat_ws(":", id_, size.cast("string"))
-    return size, F.substring(F.md5(name.cast("binary")), 1, DIGITS * LEVELS)
+    parts = (
+        F.concat_ws(":", id_, size.cast("string")), text,
+        F.monotonically_increasing_id().cast("string"),
+    )
+    digits = (F.substring(F.md5(part.cast("binary")), 1, DIGITS * LEVELS) for part in parts)
+    return size, F.concat(*digits)
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -97,12 +105,12 @@ def thresholds(sized: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFra
         (F.col("target") - F.col("passes") * F.col("source_size")).alias("left_over"),
         F.lit("").alias("edge"),
     )
-    for level in range(1, LEVELS + 1):
+    for level in range(1, 3 * LEVELS + 1):
         # Within the boundary buckets so far: sums by the next digits.
         inside = _on_source(sized, state).where(F.col("hash").startswith(F.col("edge")))
         bucket = F.substring("hash", 1, DIGITS * level)
         histogram = inside.groupBy("source", bucket.alias("bucket")).agg(
-            F.sum("size").alias("words")
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")
         )
         running = histogram.selectExpr(
             "*", "sum(words) over (partition by source order by bucket) as upto"
@@ -112,16 +120,18 @@ def thresholds(sized: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFra
             "upto - words <= left_over"
         )
         last = begun.groupBy("source").agg(
-            F.max(F.struct("bucket", F.col("upto") - F.col("words"), "words")).alias("b")
-        ).select("source", "b.*").toDF("source", "bucket", "before", "words")
+            F.max(F.struct("bucket", F.col("upto") - F.col("words"), "words", "rows")).alias("b")
+        ).select("source", "b.*").toDF("source", "bucket", "before", "words", "rows")
         state = scratch.keep(
             _on_source(state.select("source", "edge", "left_over"), last).selectExpr(
                 "source", "coalesce(bucket, edge) as edge",
                 "left_over - coalesce(before, 0) as left_over",
-                "coalesce(words, 0) as edge_words",
+                "coalesce(words, 0) as edge_words", "coalesce(rows, 0) as edge_rows",
             ),
             f"level-{level}",
         )
+        if level >= LEVELS and not state.where("edge_rows > 1 and edge_words > 0").limit(1).count():
+            break
     return state.selectExpr("source", "edge", "edge_words > 0 and 2 * left_over >= edge_words as with_edge")
 
 
@@ -133,8 +143,10 @@ def _plan(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...]) -> tuple:
     return sized, scratch.keep(_on_source(wanted, cut), "plan")
 
 
+_BEGINNING = "left(hash, length(edge))"
 _TIMES = (
-    f"passes + if(passes < {MOST} and (hash < edge or (hash = edge and with_edge)), 1, 0)"
+    f"passes + if(passes < {MOST} and"
+    f" ({_BEGINNING} < edge or ({_BEGINNING} = edge and with_edge)), 1, 0)"
 )
 
 
