@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,8 +31,12 @@ class Scratch:
     """One job's folder below the shared folder.  Its tables replace lineage: a lost executor
     costs a re-read.  The folder goes with ``clear`` or when the driver's JVM ends."""
 
+    _made: list[list[Scratch]] = []
+
     def __init__(self, spark: SparkSession, job: str):
         self.spark = spark
+        for made in self._made:
+            made.append(self)
         self.folder = f"{shared_folder(spark)}/{job}-{uuid.uuid4().hex}"
         jvm = spark.sparkContext._jvm
         self._path = jvm.org.apache.hadoop.fs.Path(self.folder)
@@ -48,5 +54,22 @@ class Scratch:
         writer.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def drop(self, name: str) -> None:
+        """Delete one table."""
+        self._fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name)), True)
+
     def clear(self) -> None:
         self._fs.delete(self._path, True)
+
+    @classmethod
+    @contextlib.contextmanager
+    def cleared(cls) -> Iterator[None]:
+        """Folders made inside are deleted at the end, when what they led to is written."""
+        made: list[Scratch] = []
+        cls._made.append(made)
+        try:
+            yield
+        finally:
+            cls._made.remove(made)
+            for scratch in made:
+                scratch.clear()

@@ -9,7 +9,6 @@ import random
 import re
 from collections import Counter
 
-import duckdb
 import numpy as np
 import pytest
 
@@ -293,17 +292,3 @@ def test_shares_do_not_overflow():
     total = 10**13 + 10**6
     want = [1 + 10**9 * (int(c) + 1) // total for c in count]
     assert divergence.share(count, total).tolist() == want
-
-
-# ---------------------------------------------------------------- queries with SQL
-
-@pytest.mark.parametrize("module", [lexical_search, divergence])
-def test_queries_equal_sql(spark, sf_dir, module):
-    con = duckdb.connect()
-    for table in ("documents", "benchmark"):
-        con.sql(f"create view {table} as select * from '{sf_dir}/{table}.parquet'")
-    for name, query in module.QUERIES.items():
-        got, want = query(spark, sf_dir).toArrow(), con.sql(module.ORACLES[name]).to_arrow_table()
-        assert got.column_names == want.column_names
-        assert sorted(map(repr, got.to_pylist())) == sorted(map(repr, want.to_pylist()))
-        assert [str(f.type) for f in got.schema] == [str(f.type) for f in want.schema]
