@@ -104,15 +104,16 @@ class Merges:
         A unit outside the vocabulary is a token of its own.
         """
         last: list[str | None] = [None]
-        fits, known, upto = self.fits, self._fits, 0
+        fits, known, upto = self.fits, self._fits.get, 0
         for at, token in self._ending.iter(text):
             if at < upto:
                 continue  # found already: a longer token fitted
             while upto < at:
                 last.append(text[upto])
                 upto += 1
-            pair = (last[at + 1 - len(token)], token)
-            if known[pair] if pair in known else fits(*pair):
+            before = last[at + 1 - len(token)]
+            found = known((before, token))
+            if found or (found is None and fits(before, token)):
                 last.append(token)
                 upto = at + 1
         return last + list(text[upto:])

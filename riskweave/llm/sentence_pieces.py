@@ -8,22 +8,26 @@ Memory is bounded by the window and the stretch between two such boundaries, not
 
 The vocabulary is one of merges (its scores are the order of merging), so a path is valid when
 every two neighbouring pieces fit (see ``bpe``); at each boundary exactly one such path ends, and
-it is the one the library takes.  Where a word begins all paths meet, since no piece has a word
-mark inside.  The stretch between two such places always gives the same ids and is remembered by
-the task, up to ``REMEMBERED`` stretches; that bounds memory and changes no result.
+it is the one the library takes.  No piece has a word mark inside, so where a word begins every
+piece of the window ends or begins: all paths meet, and looking at the next character shows it.
+The pass commits there at once, and ``_meeting`` looks for meeting paths only in stretches that
+outgrow the window.  What lies between two such places always gives the same ids; the task
+remembers it, up to ``REMEMBERED`` stretches, which bounds memory and changes no result.  Ids are
+put out for each ``CHUNK`` of the text.
 
 Model rules followed: one space is put before a text, spaces are written as the word mark,
 characters outside the vocabulary become byte pieces.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; ids of control
 pieces decode to nothing; a word mark inside a text comes back as a space, as the library does
-it; other columns stay as they are unless named like an output; an empty table gives no rows.
+it; other columns stay as they are unless named like an output, in any case; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import regex
@@ -32,11 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.llm.bpe import Merges
-from riskweave.llm.texts import whole
+from riskweave.llm.texts import free_names, whole
 
 MARK = "▁"
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
+CHUNK = 1 << 16
 
 
 class Pieces:
@@ -56,18 +61,19 @@ class Pieces:
         # Pieces are merged by score, best first.
         rank = {self.texts[i]: -model.get_score(i) for i in normal if len(self.texts[i]) > 1}
         self.merges = Merges(self.ids, rank, by_pair=False)
+        # Where a run of word marks begins no piece goes on, unless one has such a place inside.
         inner = any(MARK in p.lstrip(MARK) for p in self.ids)
-        # A stretch is a run of word marks and what follows up to the next; without pieces that
-        # cross such places the paths meet there.
         self._stretch = None if inner else regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-        self._known: dict[str, list[int]] = {}
-
-    def stream(self, text: str) -> Iterator[list[int]]:
-        """Ids of one text, put out as soon as they are final."""
+        self._known: dict[str, array] = {}
+        self._bytes = [
+            b"" if i in self.control else self.byte_of.get(i, self.texts[i].encode()) for i in ids
+        ]
+        #: Ids committed where paths meet, and ids that the end of a text commits.
+        self.met = self.ended = 0
+
+    def _window(self, text: str) -> Iterator[list[int]]:
+        """Ids of a stretch, put out as soon as they are final."""
         width = self.merges.longest
-        if len(text) < 2 * width:  # the window holds it all
-            yield self._ids(self.merges.last_tokens(text), 0, len(text))
-            return
         held: dict[int, str | None] = {0: None}  # boundary -> piece that ends there
         done, end = 0, 0
         for end, piece in enumerate(self.merges.ends(text), 1):
@@ -93,53 +99,75 @@ class Pieces:
         return live.pop()
 
     def _ids(self, held: dict | list, start: int, stop: int) -> list[int]:
-        path, at = [], stop
-        while at > start:
-            path.append(held[at])
-            at -= len(held[at])
-        found: list[int] = []
-        for piece in reversed(path):
-            own = self.ids.get(piece)
+        """Ids of the path that leads from ``stop`` back to ``start``."""
+        known, found = self.ids, []
+        while stop > start:
+            piece = held[stop]
+            stop -= len(piece)
+            own = known.get(piece)
             if own is not None:
                 found.append(own)
             else:
-                found += (self.byte_id[b] for b in piece.encode())
+                found += (self.byte_id[b] for b in reversed(piece.encode()))
+        found.reverse()
         return found
 
-    def _encode_stretch(self, text: str) -> list[int]:
-        known = self._known.get(text)
-        if known is None:
-            known = [i for part in self.stream(text) for i in part]
+    def _committed(self, stretch: str) -> array:
+        """Ids between two places where all paths meet, by the pass; remembered."""
+        if len(stretch) < 2 * self.merges.longest:  # the window holds it all
+            found = array("i", self._ids(self.merges.last_tokens(stretch), 0, len(stretch)))
+        else:
+            found = array("i", (i for part in self._window(stretch) for i in part))
+        if len(stretch) <= LONGEST_REMEMBERED:
             if len(self._known) >= REMEMBERED:
                 self._known.clear()
-            if len(text) <= LONGEST_REMEMBERED:
-                self._known[text] = known
-        return known
-
-    def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        marked = MARK + text.replace(" ", MARK)
-        found: list[int] = []
-        for stretch in self._stretch.findall(marked) if self._stretch else [marked]:
-            found += self._encode_stretch(stretch)
+            self._known[stretch] = found
+        return found
+
+    def _meets(self, text: str, start: int) -> int:
+        """The first place from ``start`` on where a word begins, or the text's end."""
+        at = text.find(MARK, start) if self._stretch else -1
+        while 0 < at and text[at - 1] == MARK:
+            at = text.find(MARK, at + 1)
+        return len(text) if at < 0 else at
+
+    def stream(self, text: str) -> Iterator[array]:
+        """Ids of a text, put out chunk by chunk; each chunk ends where all paths meet."""
+        known, start = self._known, 0
+        while start < len(text):
+            stop = self._meets(text, start + CHUNK)
+            marked = text[start:stop]
+            found = array("i")
+            for stretch in self._stretch.findall(marked) if self._stretch else [marked]:
+                last = known.get(stretch)
+                if last is None:
+                    last = self._committed(stretch)
+                found += last
+            if stop < len(text):
+                self.met += len(found)
+            else:  # all but the last stretch end where paths meet
+                self.ended += len(last)
+                self.met += len(found) - len(last)
+            yield found
+            start = stop
+
+    def encode(self, text: str) -> array:
+        found = array("i")
+        if text:
+            for part in self.stream(MARK + text.replace(" ", MARK)):
+                found += part
         return found
 
-    def decode(self, ids: list[int]) -> str:
-        parts: list[bytes] = []
-        for i in ids:
-            if i in self.byte_of:
-                parts.append(self.byte_of[i])
-            elif i not in self.control:
-                parts.append(self.texts[i].encode())
-        text = b"".join(parts).decode("utf-8", "replace").replace(MARK, " ")
+    def decode(self, ids: Iterable[int]) -> str:
+        joined = b"".join(map(self._bytes.__getitem__, ids))
+        text = joined.decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """All columns and ``ids``, ``n_ids`` and ``decoded_sha256``, the digest of the text that
     decoding the ids gives."""
-    kept = [c for c in docs.columns if c not in ("ids", "n_ids", "decoded_sha256")]
+    kept = [c for c in docs.columns if c.lower() not in ("ids", "n_ids", "decoded_sha256")]
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(path)
@@ -147,7 +175,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             ids, digests = [], []
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 own = pieces.encode(text)
-                ids.append(pa.array(own, pa.int32()))
+                ids.append(pa.Array.from_buffers(
+                    pa.int32(), len(own), [None, pa.py_buffer(own.tobytes())]))
                 digests.append(hashlib.sha256(pieces.decode(own).encode()).hexdigest())
             sizes = [len(i) for i in ids]
             offsets = pa.array([0, *sizes], pa.int64())
@@ -161,13 +190,14 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
     schema = schema.add("n_ids", "long")
-    read = docs.select(*kept, whole(F.col("text")).alias("_whole_text"))
+    (text,) = free_names(docs, "whole_text")
+    read = docs.select(*kept, whole(F.col("text")).alias(text))
     return read.mapInArrow(over, schema.add("decoded_sha256", "string"))
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
     """All columns and ``text``, decoded from ``ids``; null ids give the empty text."""
-    kept = [c for c in rows.columns if c != "text"]
+    kept = [c for c in rows.columns if c.lower() != "text"]
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(path)
