@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.scratch import Scratch
-from riskweave.llm.sieve import marked
+from riskweave.llm.sieve import rows_that_stay
 from riskweave.llm.texts import partitions, sha256_hex, whole, without_spaces
 
 SLOTS = 4
@@ -242,19 +242,7 @@ def keep_one(docs: DataFrame, scratch: Scratch) -> DataFrame:
     in_groups = _decided(docs, scratch).where("group_size > 1").groupBy(
         F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash")
     ).agg(F.bool_or("kept").alias("stays"))
-    listed = scratch.keep(in_groups, "grouped")
-    rows = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
-        F.xxhash64(whole(F.col("text"))).alias("hash"),
-    )
-    sifted = marked(rows, ["id", "hash"], listed, ["of_id", "of_hash"])
-    some = sifted.where("may").join(
-        listed, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")), "left"
-    )
-    # Rows repeated with id and text: one stays, in the partitioning and order of the join.
-    one = "row_number() over (partition by id, hash order by stays)"
-    stay = some.withColumn("n", F.expr(one)).where("of_hash is null or (stays and n = 1)")
-    return sifted.where("not may").select("row.*").union(stay.select("row.*"))
+    return rows_that_stay(docs, scratch.keep(in_groups, "grouped"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

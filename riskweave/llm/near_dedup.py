@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
 from riskweave.llm.scratch import Scratch
-from riskweave.llm.sieve import marked
+from riskweave.llm.sieve import marked, rows_that_stay
 from riskweave.llm.texts import whole
 
 BANDS = 32
@@ -489,20 +489,20 @@ def near_groups(docs: DataFrame, scratch: Scratch, near: Near = Near()) -> DataF
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, near: Near = Near()) -> DataFrame:
-    """One document row of each group, with all its columns, whatever their names."""
-    kept = near_groups(docs, scratch, near).where("row = keep_row").select(
-        F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"),
-        (F.col("n_shingles") == 0).alias("kept_all"),
+    """One document row of each group, with all its columns, whatever their names.
+
+    Only rows that may belong to a group of several are shuffled.
+    """
+    decided = near_groups(docs, scratch, near).select(
+        F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"),
+        (F.col("row") == F.col("keep_row")).alias("kept"),
     )
-    kept = scratch.keep(kept.distinct(), "kept")
-    rows = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), "text",
-        F.xxhash64(whole(F.col("text"))).alias("hash"),
+    # Rows alike in id and text have equal sets, so at most one of them stays if any goes.
+    by_text = decided.groupBy("of_id", "of_hash").agg(
+        F.bool_or("kept").alias("stays"), F.bool_and("kept").alias("all_stay")
     )
-    joined = rows.join(kept, rows.id.eqNullSafe(kept.kept_id) & (rows.hash == kept.kept_hash))
-    # Of rows repeated with id and text one stays, in the partitioning and order of the join.
-    one = "row_number() over (partition by kept_id, kept_hash order by char_length(text))"
-    return joined.withColumn("n", F.expr(one)).where("n = 1 or kept_all").select("row.*")
+    listed = scratch.keep(by_text.where("not all_stay").drop("all_stay"), "some-go")
+    return rows_that_stay(docs, listed)
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

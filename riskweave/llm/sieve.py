@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskweave.llm.texts import whole
+
 SIEVE_BITS = 1 << 26
 
 
@@ -30,3 +32,24 @@ def marked(
     placed = rows.withColumn("_own", F.bitmap_bucket_number(place(key))).withColumn("_at", at)
     met = placed.join(F.broadcast(bits), F.col("_own") == F.col("_bucket"), "left")
     return met.select(*rows.columns, F.coalesce(bit == 1, F.lit(False)).alias(name))
+
+
+def rows_that_stay(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """The document rows, with all their columns whatever their names, but those that go.
+
+    ``listed`` has one row for each id and text of which some row goes: ``of_id``, ``of_hash``
+    (xxhash64 of the text, null as empty) and ``stays``, whether one of them stays.  Other rows,
+    told by the sieve, are passed on as they are read and not shuffled.
+    """
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(whole(F.col("text"))).alias("hash"),
+    )
+    sifted = marked(rows, ["id", "hash"], listed, ["of_id", "of_hash"])
+    some = sifted.where("may").join(
+        listed, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")), "left"
+    )
+    # Of rows repeated with id and text one stays, in the partitioning and order of the join.
+    one = "row_number() over (partition by id, hash order by stays)"
+    stay = some.withColumn("n", F.expr(one)).where("of_hash is null or (stays and n = 1)")
+    return sifted.where("not may").select("row.*").union(stay.select("row.*"))
