@@ -39,7 +39,7 @@ NEIGHBOURS = 15
 SHARPNESS = 8
 THRESHOLD = 0.3
 BLOCK = 512
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
 WORDS, SHAPES, SCALES = 0.5, 1.0, 1.5
 #: Columns of each group of terms.
