@@ -158,6 +158,30 @@ def test_chat_format(spark):
     assert chat_format.examples(turns.limit(0)).count() == 0
 
 
+def test_chat_query_reads_its_examples_back(spark, monkeypatch):
+    rows = [(c, t, role, f"t{c}{t}<é[") for c in (1, None) for t, role in enumerate(
+        ("user", "assistant", "system", "user", "assistant", "user"))]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    formatted = chat_format.conversations(turns)
+    texts = {(r.conv_id, r.example): r for r in chat_format.examples(turns).collect()}
+    made = chat_format.expand(formatted).collect()
+    assert len(made) == len(texts) == 2 * 3
+    whole_texts = {r.conv_id: r.formatted for r in formatted.collect()}
+    for row in made:
+        own = texts[row.conv_id, row.example]
+        assert own.text == whole_texts[row.conv_id][:row.n_chars] and own.text.endswith(row.added)
+        assert (row.loss_start, row.loss_end) == (own.loss_start, own.loss_end)
+    # What reading back gives comes from the rows of the expansion, each of them.
+    expand = chat_format.expand
+    monkeypatch.setattr(chat_format, "expand", lambda f: expand(f).where("example != 1"))
+    for row in chat_format.read_back(formatted).collect():
+        assert row.n_turns == 3
+        assert row.formatted_chars == sum(
+            len(r.text) for (c, i), r in texts.items() if c == row.conv_id and i != 1)
+        learnt = f"t{row.conv_id}1<é["
+        assert row.loss_sha256 == hashlib.sha256(learnt.encode()).hexdigest()
+
+
 def test_mixing(spark, odd, empty):
     got = mixing.mix(odd, Scratch(spark, "t")).collect()
     names = sorted({r.source for r in got}, key=lambda s: (s is None, s or ""))
