@@ -30,7 +30,9 @@ class Merges:
         self._order = order
         self._by_pair = by_pair
         self._splits: dict[str, tuple | None] = {}
-        self._fits: dict[tuple, bool] = {}
+        # For each token, whether it fits the tokens seen before it.
+        self._fits: dict[str, dict[str | None, bool]] = {}
+        self._pairs = 0
 
     @cached_property
     def longest(self) -> int:
@@ -38,12 +40,17 @@ class Merges:
 
     @cached_property
     def _ending(self):
-        """Finds, at every end in a text, the tokens that end there, longest first."""
+        """Finds, at every end in a text, the tokens that end there, longest first: token, size
+        and what it is known to fit.
+
+        Units are left out: where no longer token fits, the unit is the last token, fit or not.
+        """
         import ahocorasick
 
         found = ahocorasick.Automaton()
         for token in self.tokens:
-            found.add_word(token, token)
+            if len(token) > 1:
+                found.add_word(token, (token, len(token), self._fits.setdefault(token, {})))
         found.make_automaton()
         return found
 
@@ -73,13 +80,16 @@ class Merges:
 
     def fits(self, left: str | None, right: str) -> bool:
         """Whether two tokens may be neighbours; ``left`` is None at the start of a text."""
-        pair = (left, right)
-        known = self._fits.get(pair)
+        pairs = self._fits.setdefault(right, {})
+        known = pairs.get(left)
         if known is None:
             known = self._split(right) is not None and (left is None or self._seam(left, right))
-            if len(self._fits) >= PAIRS_REMEMBERED:
-                self._fits.clear()
-            self._fits[pair] = known
+            if self._pairs >= PAIRS_REMEMBERED:
+                for of_token in self._fits.values():
+                    of_token.clear()
+                self._pairs = 0
+            pairs[left] = known
+            self._pairs += 1
         return known
 
     def _seam(self, left: str, right: str) -> bool:
@@ -103,27 +113,29 @@ class Merges:
 
         A unit outside the vocabulary is a token of its own.
         """
-        last: list[str | None] = [None]
-        fits, known, upto = self.fits, self._fits.get, 0
-        for at, token in self._ending.iter(text):
-            if at < upto:
+        last: list[str | None] = [None, *text]
+        if len(text) < 2 or self.longest < 2:
+            return last
+        fits, done = self.fits, -1
+        for at, (token, size, known) in self._ending.iter(text):
+            if at == done:
                 continue  # found already: a longer token fitted
-            while upto < at:
-                last.append(text[upto])
-                upto += 1
-            before = last[at + 1 - len(token)]
-            found = known((before, token))
+            before = last[at + 1 - size]
+            found = known.get(before)
             if found or (found is None and fits(before, token)):
-                last.append(token)
-                upto = at + 1
-        return last + list(text[upto:])
+                last[at + 1] = token
+                done = at
+        return last
 
     def ends(self, text: str) -> Iterator[str]:
         """The same as a stream that keeps no more than the longest token spans."""
         size = self.longest + 1
+        if size <= 2:
+            yield from text
+            return
         last: list[str | None] = [None] * size
-        fits, known, upto = self.fits, self._fits, 0
-        for at, token in self._ending.iter(text):
+        fits, upto = self.fits, 0
+        for at, (token, length, known) in self._ending.iter(text):
             end = at + 1
             if end == upto:
                 continue  # found already: a longer token fitted
@@ -131,8 +143,8 @@ class Merges:
                 last[(upto + 1) % size] = text[upto]
                 yield text[upto]
                 upto += 1
-            before = last[(end - len(token)) % size]
-            found = known.get((before, token))
+            before = last[(end - length) % size]
+            found = known.get(before)
             if found or (found is None and fits(before, token)):
                 last[end % size] = token
                 yield token

@@ -13,7 +13,8 @@ piece of the window ends or begins: all paths meet, and looking at the next char
 The pass commits there at once, and ``_meeting`` looks for meeting paths only in stretches that
 outgrow the window.  What lies between two such places always gives the same ids; the task
 remembers it, up to ``REMEMBERED`` stretches, which bounds memory and changes no result.  Ids are
-put out for each ``CHUNK`` of the text.
+put out for each ``CHUNK`` of the text, rows by ``BLOCK``, so that a task holds the ids of few
+texts at a time.
 
 Model rules followed: one space is put before a text, spaces are written as the word mark,
 characters outside the vocabulary become byte pieces.
@@ -29,6 +30,7 @@ import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +44,7 @@ MARK = "▁"
 REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 CHUNK = 1 << 16
+BLOCK = 256
 
 
 class Pieces:
@@ -64,7 +67,8 @@ class Pieces:
         # Where a run of word marks begins no piece goes on, unless one has such a place inside.
         inner = any(MARK in p.lstrip(MARK) for p in self.ids)
         self._stretch = None if inner else regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-        self._known: dict[str, array] = {}
+        # Ids, as bytes, of stretches without the word mark at their beginning.
+        self._known: dict[str, bytes] = {}
         self._bytes = [
             b"" if i in self.control else self.byte_of.get(i, self.texts[i].encode()) for i in ids
         ]
@@ -104,26 +108,35 @@ class Pieces:
         while stop > start:
             piece = held[stop]
             stop -= len(piece)
-            own = known.get(piece)
-            if own is not None:
-                found.append(own)
+            if piece in known:
+                found.append(known[piece])
             else:
                 found += (self.byte_id[b] for b in reversed(piece.encode()))
         found.reverse()
         return found
 
-    def _committed(self, stretch: str) -> array:
+    def _committed(self, unmarked: str) -> bytes:
         """Ids between two places where all paths meet, by the pass; remembered."""
+        stretch = MARK + unmarked
         if len(stretch) < 2 * self.merges.longest:  # the window holds it all
-            found = array("i", self._ids(self.merges.last_tokens(stretch), 0, len(stretch)))
+            found = self._ids(self.merges.last_tokens(stretch), 0, len(stretch))
         else:
-            found = array("i", (i for part in self._window(stretch) for i in part))
+            found = [i for part in self._window(stretch) for i in part]
+        found = array("i", found).tobytes()
         if len(stretch) <= LONGEST_REMEMBERED:
             if len(self._known) >= REMEMBERED:
                 self._known.clear()
-            self._known[stretch] = found
+            self._known[unmarked] = found
         return found
 
+    def _stretches(self, marked: str) -> list[str]:
+        """The stretches, without the mark that each begins with."""
+        if not self._stretch:
+            return [marked[1:]]
+        found = marked.split(MARK)
+        del found[0]
+        return [s[1:] for s in self._stretch.findall(marked)] if "" in found else found
+
     def _meets(self, text: str, start: int) -> int:
         """The first place from ``start`` on where a word begins, or the text's end."""
         at = text.find(MARK, start) if self._stretch else -1
@@ -132,22 +145,23 @@ class Pieces:
         return len(text) if at < 0 else at
 
     def stream(self, text: str) -> Iterator[array]:
-        """Ids of a text, put out chunk by chunk; each chunk ends where all paths meet."""
+        """Ids of a marked text, put out chunk by chunk; each chunk ends where all paths meet."""
         known, start = self._known, 0
         while start < len(text):
             stop = self._meets(text, start + CHUNK)
-            marked = text[start:stop]
-            found = array("i")
-            for stretch in self._stretch.findall(marked) if self._stretch else [marked]:
-                last = known.get(stretch)
-                if last is None:
-                    last = self._committed(stretch)
-                found += last
-            if stop < len(text):
-                self.met += len(found)
-            else:  # all but the last stretch end where paths meet
-                self.ended += len(last)
-                self.met += len(found) - len(last)
+            stretches = self._stretches(text[start:stop])
+            parts = list(map(known.get, stretches))
+            if None in parts:
+                for at, part in enumerate(parts):
+                    if part is None:
+                        own = stretches[at]
+                        parts[at] = known.get(own) or self._committed(own)
+            found = array("i", b"".join(parts))
+            self.met += len(found)
+            if stop == len(text):  # all but the last stretch end where paths meet
+                ended = len(parts[-1]) // found.itemsize
+                self.ended += ended
+                self.met -= ended
             yield found
             start = stop
 
@@ -172,21 +186,21 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(path)
         for batch in batches:
-            ids, digests = [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                own = pieces.encode(text)
-                ids.append(pa.Array.from_buffers(
-                    pa.int32(), len(own), [None, pa.py_buffer(own.tobytes())]))
-                digests.append(hashlib.sha256(pieces.decode(own).encode()).hexdigest())
-            sizes = [len(i) for i in ids]
-            offsets = pa.array([0, *sizes], pa.int64())
-            ends = pa.compute.cumulative_sum(offsets).cast(pa.int32())
-            flat = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.ListArray.from_arrays(ends, flat),
-                 pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
-                [*kept, "ids", "n_ids", "decoded_sha256"],
-            )
+            for start in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(start, BLOCK)
+                flat, ends, digests = array("i"), array("i", [0]), []
+                for text in part.column(part.num_columns - 1).to_pylist():
+                    own = pieces.encode(text)
+                    flat += own
+                    ends.append(len(flat))
+                    digests.append(hashlib.sha256(pieces.decode(own).encode()).hexdigest())
+                ends = np.frombuffer(ends, np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(flat, np.int32)))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], ids, pa.array(np.diff(ends).astype(np.int64)),
+                     pa.array(digests, pa.string())],
+                    [*kept, "ids", "n_ids", "decoded_sha256"],
+                )
 
     schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
     schema = schema.add("n_ids", "long")

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 
 from riskweave.llm import (
+    bpe,
     chat_format,
     components,
     exact_dedup,
@@ -351,6 +352,32 @@ def test_sentence_pieces(spark, odd, empty, monkeypatch):
     assert sentence_pieces.encode(empty, path).count() == 0
 
 
+def test_pass_looks_at_few_tokens():
+    letters, words = "abcd", ("ab", "cd", "abcd")
+    rank = {w: i for i, w in enumerate(words)}
+    merges = bpe.Merges([*letters, *words], rank, by_pair=False)
+    assert merges.last_tokens("xabcdab") == [None, "x", "a", "ab", "c", "abcd", "a", "ab"]
+    assert [*merges.ends("xabcdab")] == merges.last_tokens("xabcdab")[1:]
+    # A unit is the last token where no longer one is, so none is looked up.
+    assert len(merges._ending) == len(words)
+    units = bpe.Merges(letters, {}, by_pair=False)
+    assert units.last_tokens("abx") == [None, *units.ends("abx")] == [None, "a", "b", "x"]
+
+
+def test_ids_go_out_by_few_rows(spark, monkeypatch):
+    public = pytest.importorskip("public_tokenizers")
+    pieces = sentence_pieces.Pieces(public.path("piece_bpe_32k.model"))
+    assert pieces._stretches("▁a▁▁b▁") == ["a", "▁b", ""] and pieces._stretches("▁a▁b") == ["a", "b"]
+    again = pieces.encode("ab  cd ab")
+    assert list(again) == list(pieces.encode("ab  cd ab")) and all(
+        isinstance(ids, bytes) for ids in pieces._known.values())
+    monkeypatch.setattr(sentence_pieces, "BLOCK", 2)
+    docs = spark.createDataFrame([(i, "word " * i) for i in range(7)], "doc_id long, text string")
+    rows = sentence_pieces.encode(docs.coalesce(1), public.path("piece_bpe_32k.model")).collect()
+    assert [(r.doc_id, r.ids) for r in rows] == [(i, list(pieces.encode("word " * i))) for i in range(7)]
+    assert all(r.n_ids == len(r.ids) for r in rows)
+
+
 def test_topk_search(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.integers(-3, 4, 6).astype(float).tolist(), "x") for i in range(60)]
