@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm import exact_dedup, mixing, near_dedup, quality, sentence_pieces
-from riskweave.llm.scratch import Scratch
+from riskweave.llm.scratch import Scratch, sweep
 
 #: SQL has neither the classifier nor the tokenizer.  A test compares ``run`` with a plain calculation.
 ORACLE_SQL = None
@@ -40,6 +40,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     The smallest doc_id stays, null last.  Texts without words are no copies of anything and stay.
     """
+    sweep(spark)
     return near_dedup.keep_one(docs, Scratch(spark, "pipeline-near"))
 
 
@@ -49,6 +50,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     A null source is a source.  Texts without words count nothing and go when their source has
     no words at all; rows alike are taken in such numbers as the target needs.
     """
+    sweep(spark)
     return mixing.repeat(docs, Scratch(spark, "pipeline-mixing"))
 
 
@@ -59,7 +61,9 @@ def sentence_piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     import public_tokenizers
 
-    coded = sentence_pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    sweep(spark)  # the executors still hold what the stages before broadcast
+    used = docs.select("doc_id", "source", "text")
+    coded = sentence_pieces.encode(used, public_tokenizers.path("piece_bpe_32k.model"))
     return coded.select("doc_id", "source", "n_ids", "ids", "decoded_sha256")
 
 

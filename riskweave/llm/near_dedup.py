@@ -52,7 +52,7 @@ from riskweave.llm.texts import whole
 
 BANDS = 32
 MISS = 1e-5
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 FIRST_PIVOTS, GROWTH = 4, 8
 BAND_TURNS = 2
 

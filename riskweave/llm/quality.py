@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskweave.llm.texts import free_names, whole
+from riskweave.llm.texts import whole, with_text
 
 SAMPLE = 8192
 WIDTH = 2048
@@ -39,6 +39,7 @@ NEIGHBOURS = 15
 SHARPNESS = 8
 THRESHOLD = 0.3
 BLOCK = 512
+VOTERS = 32
 REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
 WORDS, SHAPES, SCALES = 0.5, 1.0, 1.5
@@ -94,17 +95,16 @@ class Terms:
     """Turns texts into rows of weighted counts."""
 
     def __init__(self) -> None:
-        self._columns: dict[str, tuple[int, int]] = {}
+        # One number a word takes less room than two in a pair.
+        self._columns: dict[str, int] = {}
 
-    def _column(self, word: str) -> tuple[int, int]:
-        """Columns of a word and of its shape."""
+    def _column(self, word: str) -> int:
+        """Columns of a word's shape and of the word, as one number: shape * WIDTH + word."""
         known = self._columns.get(word)
         if known is None:
             lower = word.lower().strip(".,;:!?*#%$&|\"'()")
-            known = (
-                HEAD + zlib.crc32(_shape(word).encode()) % N_SHAPES,
-                WIDTH - N_WORDS + zlib.crc32(lower.encode()) % N_WORDS,
-            )
+            shape = HEAD + zlib.crc32(_shape(word).encode()) % N_SHAPES
+            known = shape * WIDTH + WIDTH - N_WORDS + zlib.crc32(lower.encode()) % N_WORDS
             if len(self._columns) >= REMEMBERED:
                 self._columns.clear()
             if len(word) <= LONGEST_REMEMBERED:
@@ -117,10 +117,10 @@ class Terms:
             words = text.split()
             counts = Counter(words)
             if counts:
-                columns = np.array([self._column(w) for w in counts])
+                columns = np.fromiter(map(self._column, counts), np.int64, len(counts))
                 n = np.fromiter(counts.values(), np.float32, len(counts))
-                row += np.bincount(columns[:, 0], n, WIDTH).astype(np.float32)
-                row += np.bincount(columns[:, 1], n, WIDTH).astype(np.float32)
+                row += np.bincount(columns // WIDTH, n, WIDTH).astype(np.float32)
+                row += np.bincount(columns % WIDTH, n, WIDTH).astype(np.float32)
             for scale, place in enumerate(_scales(text, words, counts)):
                 # Shared between the two nearest bins, so near places give near rows.
                 at, part = divmod(place * (SCALE_BINS - 1), 1)
@@ -185,7 +185,10 @@ class Model(NamedTuple):
         own = _unit(_scaled(terms, self.rarity) @ self.axes)
         cosines = own @ self.vectors.T
         k = min(NEIGHBOURS, cosines.shape[1])
-        near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
+        near = np.empty((len(cosines), k), np.int64)
+        for start in range(0, len(cosines), VOTERS):  # the order of all vectors, of few rows
+            part = cosines[start:start + VOTERS]
+            near[start:start + VOTERS] = np.argpartition(-part, k - 1, axis=1)[:, :k]
         weights = np.clip(np.take_along_axis(cosines, near, 1), 0, 1).astype(np.float64)
         weights = weights ** SHARPNESS
         total = weights.sum(axis=1)
@@ -235,21 +238,20 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
         return docs.withColumn("score", F.lit(0.5))
     sent = docs.sparkSession.sparkContext.broadcast(tuple(model))
     kept = [c for c in docs.columns if c.lower() != "score"]
+    read, at = with_text(docs, kept)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, known = Terms(), Model(*sent.value)
         for batch in batches:
             for start in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(start, BLOCK)
-                rows = terms.rows(part.column(part.num_columns - 1).to_pylist())
+                rows = terms.rows([t or "" for t in part.column(at).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(known.scores(rows), pa.float64())],
+                    [*part.columns[:len(kept)], pa.array(known.scores(rows), pa.float64())],
                     [*kept, "score"],
                 )
 
-    schema = docs.select(*kept).schema.add("score", "double")
-    (text,) = free_names(docs, "whole_text")
-    return docs.select(*kept, whole(F.col("text")).alias(text)).mapInArrow(over, schema)
+    return read.mapInArrow(over, docs.select(*kept).schema.add("score", "double"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

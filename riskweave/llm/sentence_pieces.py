@@ -38,10 +38,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.llm.bpe import Merges
-from riskweave.llm.texts import free_names, whole
+from riskweave.llm.texts import whole, with_text
 
 MARK = "▁"
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONGEST_REMEMBERED = 64
 CHUNK = 1 << 16
 BLOCK = 256
@@ -182,6 +182,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """All columns and ``ids``, ``n_ids`` and ``decoded_sha256``, the digest of the text that
     decoding the ids gives."""
     kept = [c for c in docs.columns if c.lower() not in ("ids", "n_ids", "decoded_sha256")]
+    read, at = with_text(docs, kept)
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(path)
@@ -189,23 +190,21 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
             for start in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(start, BLOCK)
                 flat, ends, digests = array("i"), array("i", [0]), []
-                for text in part.column(part.num_columns - 1).to_pylist():
-                    own = pieces.encode(text)
+                for text in part.column(at).to_pylist():
+                    own = pieces.encode(text or "")
                     flat += own
                     ends.append(len(flat))
                     digests.append(hashlib.sha256(pieces.decode(own).encode()).hexdigest())
                 ends = np.frombuffer(ends, np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(flat, np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], ids, pa.array(np.diff(ends).astype(np.int64)),
+                    [*part.columns[:len(kept)], ids, pa.array(np.diff(ends).astype(np.int64)),
                      pa.array(digests, pa.string())],
                     [*kept, "ids", "n_ids", "decoded_sha256"],
                 )
 
     schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
     schema = schema.add("n_ids", "long")
-    (text,) = free_names(docs, "whole_text")
-    read = docs.select(*kept, whole(F.col("text")).alias(text))
     return read.mapInArrow(over, schema.add("decoded_sha256", "string"))
 
 

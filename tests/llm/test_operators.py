@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskweave.llm import (
     bpe,
@@ -25,6 +26,7 @@ from riskweave.llm import (
     topk_search,
 )
 from riskweave.llm.scratch import Scratch
+from riskweave.llm.texts import with_text
 
 SPACE = re.compile(r"[\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, source string, n long, row string, score double"
@@ -352,6 +354,19 @@ def test_sentence_pieces(spark, odd, empty, monkeypatch):
     assert sentence_pieces.encode(empty, path).count() == 0
 
 
+def test_tasks_get_a_text_once(spark):
+    docs = spark.createDataFrame([(1, "a", None), (2, None, 7)], "doc_id long, Text string, score long")
+    read, at = with_text(docs, docs.columns)
+    assert read.columns == docs.columns and at == 1
+    read, at = with_text(docs, ["doc_id"])
+    assert at == 1 and [r[1] for r in read.collect()] == ["a", ""]
+    codes = docs.select("doc_id", F.col("doc_id").alias("text"))
+    read, at = with_text(codes, codes.columns)
+    assert at == 2 and len(read.columns) == 3
+    plan = quality.score(docs, quality.Model.learn(quality.Terms().rows(["a", "b c"] * 9), np.ones(18)))
+    assert [r.score for r in plan.collect()] == [1, 1] and plan.columns == ["doc_id", "Text", "score"]
+
+
 def test_pass_looks_at_few_tokens():
     letters, words = "abcd", ("ab", "cd", "abcd")
     rank = {w: i for i, w in enumerate(words)}
