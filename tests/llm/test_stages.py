@@ -132,6 +132,21 @@ def test_a_conversation_is_formatted_in_linear_time(spark):
 
 # ---------------------------------------------------------------- suffix arrays
 
+def test_prefixes_and_names_by_words(monkeypatch):
+    rng = np.random.default_rng(4)
+    keys = np.concatenate([rng.integers(0, most, 500) for most in (2, 1 << 16, 1 << 17, 1 << 50)])
+    assert (suffix_array._order(keys) == np.argsort(keys, kind="stable")).all()
+    assert len(suffix_array._order(keys[:0])) == 0
+    for scale in (1, 1 << 20):  # symbols that go four to a word, and symbols that do not
+        t = np.append(np.tile(rng.integers(1, 4, 60), 5) * scale, 0)
+        order = np.array(sorted(range(len(t)), key=lambda i: t[i:].tolist()))
+        for most in (1, 4, 7, 50):
+            found = suffix_array.permuted_prefixes(t, order, most)
+            for a, b in zip(order, order[1:]):
+                same = np.cumprod(t[a:a + most][:len(t) - b] == t[b:b + most][:len(t) - a]).sum()
+                assert found[b] == same
+
+
 def test_suffix_order_up_to_a_depth():
     rng = np.random.default_rng(3)
     for n, k, repeats in ((2, 2, 1), (40, 2, 1), (60, 3, 5), (300, 4, 6), (300, 200, 3)):
