@@ -20,6 +20,7 @@ from riskweave.llm import (
     quality,
     sentence_pieces,
     suffix_array,
+    suffix_dedup,
 )
 from riskweave.llm.scratch import Scratch
 from riskweave.llm.sieve import marked
@@ -132,6 +133,12 @@ def test_a_conversation_is_formatted_in_linear_time(spark):
 
 # ---------------------------------------------------------------- suffix arrays
 
+def test_runs_of_many_stretches():
+    found = [np.array(o) for o in ([5], [5, 5, 7], [7], [1, 2, 2, 1])]
+    assert suffix_dedup._runs(found) == [
+        [(0, 1, 5)], [(0, 2, 5), (2, 1, 7)], [(0, 1, 7)], [(0, 1, 1), (1, 2, 2), (3, 1, 1)]]
+
+
 def test_prefixes_and_names_by_words(monkeypatch):
     rng = np.random.default_rng(4)
     keys = np.concatenate([rng.integers(0, most, 500) for most in (2, 1 << 16, 1 << 17, 1 << 50)])
