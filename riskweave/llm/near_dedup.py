@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
-from riskweave.llm.scratch import Scratch
+from riskweave.llm.scratch import Scratch, sweep
 from riskweave.llm.sieve import marked, rows_that_stay
 from riskweave.llm.texts import whole
 
@@ -285,9 +285,12 @@ def _shingle_rows(near: Near):
     return over
 
 
-def sieve(rows: DataFrame, key: list[str], wanted: DataFrame, wanted_key: list[str]) -> DataFrame:
+def sieve(
+    rows: DataFrame, key: list[str], wanted: DataFrame, wanted_key: list[str],
+    n_wanted: int | None = None,
+) -> DataFrame:
     """The rows whose key may be wanted, found before they are shuffled."""
-    return marked(rows, key, wanted, wanted_key, "_may").where("_may").drop("_may")
+    return marked(rows, key, wanted, wanted_key, "_may", n_wanted).where("_may").drop("_may")
 
 
 class NearGroups:
@@ -375,11 +378,11 @@ class NearGroups:
 
     def _confirmed(self, pairs: DataFrame, texts: DataFrame, turn: int) -> DataFrame:
         """The pairs (a, b) that are near."""
-        pivots = pairs.select("a").distinct()
-        left = sieve(texts, ["node"], pivots, ["a"])
+        pivots, n = pairs.select("a").distinct(), pairs.count()
+        left = sieve(texts, ["node"], pairs, ["a"], n)
         left = left.join(pivots, left.node == pivots.a, "left_semi")
         left = left.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-        right = sieve(texts, ["node"], pairs, ["b"])
+        right = sieve(texts, ["node"], pairs, ["b"], n)
         right = right.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
         found = both.mapInArrow(_confirm(self.near), "a long, b long")
@@ -421,6 +424,7 @@ class NearGroups:
         active = buckets.selectExpr("key", "node", "n", "size", "0L as pos")
         while True:
             turn += 1
+            sweep(scratch.spark)  # the driver still holds what the turn before broadcast
             if turn == BAND_TURNS + 2:
                 nodes = scratch.keep(active.select("node").distinct(), "alike")
                 active, done, pivots = self.prefix_buckets(nodes, texts), 0, FIRST_PIVOTS
@@ -434,11 +438,12 @@ class NearGroups:
             mixed = scratch.keep(mixed, f"open-{turn}")
             named = sieve(named, ["key"], mixed, ["key"])
             active = scratch.keep(named.join(mixed, "key"), f"active-{turn}")
-            if not active.limit(1).count():
+            n_active = active.count()
+            if not n_active:
                 return labels
             # A member's place in its bucket, from 0 up to the bucket's size, by hash.
             bins = self.rows.select(F.col("row").alias("node"), "bins")
-            bins = sieve(bins, ["node"], active, ["node"])
+            bins = sieve(bins, ["node"], active, ["node"], n_active)
             active = scratch.keep(active.join(bins, "node"), f"sketched-{turn}")
             place = "pmod(xxhash64(key, node), 1048576) / 1048576 * size"
             pivot = active.where(f"{place} >= {done} and {place} < {pivots}").selectExpr(

@@ -6,8 +6,9 @@ columns; each of the three groups is scaled to a weight of its own.  A truncated
 decomposition of a labelled sample turns them into ``DIMENSIONS`` latent ones.
 
 The vectors and labels of the sample are broadcast; their number is bounded by the parameter
-``sample`` (8192 rows by default, about 2 MB).  Every document, in blocks, is multiplied with all
-of them, and its ``NEIGHBOURS`` nearest vote with weights that grow with the cosine.
+``sample`` (8192 rows by default, about 2 MB).  Its terms reach the driver without the columns
+that are 0.  Every document, in blocks, is multiplied with all of the vectors, and its
+``NEIGHBOURS`` nearest vote with weights that grow with the cosine.
 
 Only rows outside the held-out fifth are used for learning.  Label, language, source and id are
 not inputs of a score.
@@ -172,12 +173,15 @@ class Model(NamedTuple):
 
     @classmethod
     def learn(cls, terms: np.ndarray, labels: np.ndarray) -> Model:
-        seen = (terms > 0).sum(axis=0)
+        """The model of rows of terms, which are scaled in place, block by block."""
+        blocks = [terms[i:i + BLOCK] for i in range(0, len(terms), BLOCK)]
+        seen = sum((block > 0).sum(axis=0) for block in blocks)
         rarity = (np.log((1 + len(terms)) / (1 + seen)) + 1).astype(np.float32)
-        scaled = _scaled(terms, rarity)
-        axes = latent_axes(scaled, DIMENSIONS)
+        for block in blocks:
+            block[:] = _scaled(block, rarity)
+        axes = latent_axes(terms, DIMENSIONS)
         return cls(
-            rarity, axes, _unit(scaled @ axes), labels.astype(np.float32), float(labels.mean())
+            rarity, axes, _unit(terms @ axes), labels.astype(np.float32), float(labels.mean())
         )
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
@@ -200,6 +204,23 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def _packed(rows: np.ndarray) -> list[pa.Array]:
+    """Columns and counts of each row's terms; most of a row's ``WIDTH`` columns are 0."""
+    filled = [np.flatnonzero(row) for row in rows]
+    return [
+        pa.array([at.astype(np.uint16).tobytes() for at in filled], pa.binary()),
+        pa.array([row[at].tobytes() for row, at in zip(rows, filled, strict=True)], pa.binary()),
+    ]
+
+
+def _unpacked(columns: pa.ChunkedArray, counts: pa.ChunkedArray) -> np.ndarray:
+    """The rows of terms again, all columns of them."""
+    rows = np.zeros((len(columns), WIDTH), np.float32)
+    for row, at, n in zip(rows, columns, counts, strict=True):
+        row[np.frombuffer(at.as_py(), np.uint16)] = np.frombuffer(n.as_py(), np.float32)
+    return rows
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Learn from at most ``sample`` labelled documents, chosen by a hash of the id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -219,16 +240,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
         for batch in batches:
             found = terms.rows(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_labelled"), batch.column("label"),
-                 pa.array([r.tobytes() for r in found], pa.binary())],
-                ["id", "label", "terms"],
+                [batch.column("_labelled"), batch.column("label"), *_packed(found)],
+                ["id", "label", "columns", "counts"],
             )
 
-    got = rows.mapInArrow(over, "id long, label double, terms binary").toArrow().sort_by("id")
+    schema = "id long, label double, columns binary, counts binary"
+    got = rows.mapInArrow(over, schema).toArrow().sort_by("id")
     if not got.num_rows:
         return None
-    joined = b"".join(got.column("terms").to_pylist())
-    terms = np.frombuffer(joined, np.float32).reshape(-1, WIDTH)
+    terms = _unpacked(got.column("columns"), got.column("counts"))
     return Model.learn(terms, got.column("label").to_numpy())
 
 

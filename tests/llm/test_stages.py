@@ -6,8 +6,10 @@ import os
 import subprocess
 import sys
 import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_operators import plain_sets
 
@@ -23,7 +25,7 @@ from riskweave.llm import (
     suffix_dedup,
 )
 from riskweave.llm.scratch import Scratch
-from riskweave.llm.sieve import marked
+from riskweave.llm.sieve import SIEVE_BITS, bitmap, marked, n_bits
 
 CLASHING = [
     "_digest", "_n", "_hash", "_words", "_copy", "_rid", "_rhash", "rid", "_drops", "n_lines",
@@ -115,6 +117,47 @@ def test_marks_tell_every_wanted_row(spark):
     assert sum(found.values()) < wanted.count() + 20
 
 
+def test_a_sieve_is_as_large_as_its_keys_need(spark):
+    assert n_bits(0) == n_bits(100) == 1 << 20 and n_bits(10**9) == SIEVE_BITS == 1 << 26
+    wanted = spark.range(30_000).selectExpr("id as a")
+    bits = bitmap(wanted, ["a"], n_bits(30_000)).selectExpr("sum(octet_length(_bits))").first()[0]
+    assert bits == 1 << 18  # of 8 MB before
+    found = marked(spark.range(300_000), ["id"], wanted, ["a"])
+    assert found.where("may and id < 30000").count() == 30_000
+    assert found.where("may and id >= 30000").count() < 270_000 / 50
+
+
+def test_near_dedup_sweeps_between_turns(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(near_dedup, "sweep", seen.append)
+    rows = [(i, " ".join(f"w{j}" for j in range(40)) + f" x{i}") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert near_dedup.keep_one(docs, Scratch(spark, "t")).count() == 1
+    assert seen
+
+
+def test_learning_takes_little_more_than_the_terms():
+    rng = np.random.default_rng(5)
+    terms = np.zeros((4096, quality.WIDTH), np.float32)
+    terms[np.arange(4096)[:, None], rng.integers(0, quality.WIDTH, (4096, 150))] = rng.random((4096, 150))
+    columns, counts = (pa.chunked_array([x]) for x in quality._packed(terms))
+    assert columns.nbytes + counts.nbytes < terms.nbytes / 5
+    assert (quality._unpacked(columns, counts) == terms).all()
+    seen = (terms > 0).sum(axis=0)
+    rarity = (np.log((1 + len(terms)) / (1 + seen)) + 1).astype(np.float32)
+    scaled = quality._scaled(terms, rarity)
+    axes = quality.latent_axes(scaled, quality.DIMENSIONS)
+    tracemalloc.start()
+    try:
+        model = quality.Model.learn(terms, np.arange(4096) % 2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < terms.nbytes  # 1.6 and more times before
+    assert (model.rarity == rarity).all() and (model.axes == axes).all()
+    assert (model.vectors == quality._unit(scaled @ axes)).all()
+
+
 # ---------------------------------------------------------------- one long conversation
 
 def test_a_conversation_is_formatted_in_linear_time(spark):
