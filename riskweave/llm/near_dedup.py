@@ -46,6 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave.llm.components import components
+from riskweave.llm.memory import giving_back
 from riskweave.llm.scratch import Scratch, sweep
 from riskweave.llm.sieve import marked, rows_that_stay
 from riskweave.llm.texts import whole
@@ -241,7 +242,7 @@ def sketch_table(docs: DataFrame, near: Near) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
         text.cast("binary").alias("text"),
     )
-    return read.mapInArrow(_sketch_rows(near), _SKETCHED)
+    return read.mapInArrow(giving_back(_sketch_rows(near)), _SKETCHED)
 
 
 def _confirm(near: Near):
@@ -356,7 +357,8 @@ class NearGroups:
         """
         keep, percent = self.scratch.keep, self.near.percent
         own = sieve(texts, ["node"], nodes, ["node"]).join(nodes, "node", "left_semi")
-        cells = own.mapInArrow(_shingle_rows(self.near), "node long, n long, shingle long")
+        shingles = giving_back(_shingle_rows(self.near))
+        cells = own.mapInArrow(shingles, "node long, n long, shingle long")
         cells = keep(cells.distinct(), "shingles")
         held = cells.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
         common = cells.join(keep(held, "shingle-counts"), "shingle")
@@ -385,7 +387,7 @@ class NearGroups:
         right = sieve(texts, ["node"], pairs, ["b"], n)
         right = right.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
         both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-        found = both.mapInArrow(_confirm(self.near), "a long, b long")
+        found = both.mapInArrow(giving_back(_confirm(self.near)), "a long, b long")
         # A class whose row is repeated meets a partner several times.
         return self.scratch.keep(found.distinct(), f"links-{turn}")
 

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskweave.llm.memory import giving_back
 from riskweave.llm.texts import whole, with_text
 
 SAMPLE = 8192
@@ -271,7 +272,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                     [*kept, "score"],
                 )
 
-    return read.mapInArrow(over, docs.select(*kept).schema.add("score", "double"))
+    return read.mapInArrow(giving_back(over), docs.select(*kept).schema.add("score", "double"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.llm.bpe import Merges
+from riskweave.llm.memory import giving_back
 from riskweave.llm.texts import whole, with_text
 
 MARK = "▁"
@@ -205,7 +206,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
     schema = docs.select(*kept).schema.add("ids", T.ArrayType(T.IntegerType()))
     schema = schema.add("n_ids", "long")
-    return read.mapInArrow(over, schema.add("decoded_sha256", "string"))
+    return read.mapInArrow(giving_back(over), schema.add("decoded_sha256", "string"))
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:

@@ -17,6 +17,7 @@ from riskweave.llm import (
     chat_format,
     exact_dedup,
     line_dedup,
+    memory,
     mixing,
     near_dedup,
     quality,
@@ -136,6 +137,19 @@ def test_near_dedup_sweeps_between_turns(spark, monkeypatch):
     assert seen
 
 
+def test_tasks_give_back_what_arrow_holds(monkeypatch):
+    class Pool:
+        released = 0
+
+        def release_unused(self):
+            Pool.released += 1
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    batches = [pa.record_batch({"a": [i]}) for i in range(3)]
+    assert list(memory.giving_back(lambda got: (b for b in got))(iter(batches))) == batches
+    assert Pool.released == 1
+
+
 def test_learning_takes_little_more_than_the_terms():
     rng = np.random.default_rng(5)
     terms = np.zeros((4096, quality.WIDTH), np.float32)
