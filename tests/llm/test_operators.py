@@ -185,6 +185,33 @@ def test_chat_query_reads_its_examples_back(spark, monkeypatch):
         assert row.loss_sha256 == hashlib.sha256(learnt.encode()).hexdigest()
 
 
+def test_chat_query_makes_whole_texts(spark, monkeypatch, tmp_path):
+    rows = [(c, t, role, f"t{c}{t}<é[") for c in (1, None) for t, role in enumerate(
+        ("user", "assistant", "system", "user", "assistant", "user"))]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns.write.parquet(f"{tmp_path}/conversations.parquet")
+    formatted = chat_format.conversations(turns)
+    of_conv = {r.conv_id: r.formatted for r in formatted.collect()}
+    made = chat_format.expand(formatted).collect()
+    assert sorted((str(r.conv_id), r.example) for r in made) == [
+        (c, i) for c in ("1", "None") for i in range(3)]
+    for row in made:
+        assert row.text == of_conv[row.conv_id][:row.n_chars]
+        assert row.text[row.loss_start:row.loss_end] in (f"t{row.conv_id}{3 * row.example + 1}<\\é[\\", "")
+    plain = {r.conv_id: r for r in chat_format.read_back(formatted).collect()}
+    got = {r.conv_id: r for r in chat_format.op4_chat_format(spark, str(tmp_path)).collect()}
+    assert {c: got[c] for c in plain} == plain and set(got) == {1, None, -1}
+    # The query reads the texts: another one gives other results.
+    expand = chat_format.expand
+    other = F.concat(F.lit("é"), F.regexp_replace("text", r"t(\w+)1<", "T$11<"))
+    monkeypatch.setattr(chat_format, "expand", lambda f: expand(f).withColumn("text", other))
+    for row in chat_format.op4_chat_format(spark, str(tmp_path)).where(
+            "conv_id is null or conv_id > 0").collect():
+        was = plain[row.conv_id]
+        assert row.formatted_chars == was.formatted_chars + 3
+        assert row.loss_sha256 != was.loss_sha256 and row.turns_sha256 != was.turns_sha256
+
+
 def test_mixing(spark, odd, empty):
     got = mixing.mix(odd, Scratch(spark, "t")).collect()
     names = sorted({r.source for r in got}, key=lambda s: (s is None, s or ""))
