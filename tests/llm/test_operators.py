@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import os
+import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -341,6 +344,38 @@ def test_hot_anchors_are_dealt_by_strings(spark, monkeypatch):
     assert sorted(map(tuple, hot)) == sorted(map(tuple, plain))
 
 
+def test_stretches_go_in_rounds(spark, monkeypatch):
+    rows = [(i, f"{i} " + P1 + f" {i}", "a") for i in range(-2, 10)] + [(None, P1 + "!", "a")]
+    plain = suffix_dedup.remove_repeats(frame(spark, rows), Scratch(spark, "t")).collect()
+    monkeypatch.setattr(suffix_dedup, "ROOM", 0.5)
+    for hot in (suffix_dedup.HOT, 1):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        scratch = Scratch(spark, "t")
+        got = suffix_dedup.remove_repeats(frame(spark, rows), scratch).collect()
+        assert sorted(map(str, got)) == sorted(map(str, plain))
+        tables = os.listdir(scratch.folder.removeprefix("file://"))
+        assert 1 < len(tables) < 50 and all(t.startswith("owners") for t in tables)
+
+
+def test_stretches_are_sent_packed():
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(2_000)]
+    texts = [" ".join(rng.choices(words, k=400)).encode() for _ in range(100)]
+    found = suffix_dedup.Stretches(texts, 50)
+    shorts = suffix_dedup._pack(np.unique(suffix_dedup._short(found.anchor)), np.uint32)
+    docs = pa.table({"rid": [-7, *range(1, 100)], "block": [0] * 100, "text": texts})
+    sent = suffix_dedup._stretch_rows(50, 4)(docs, pa.table({"anchors": [shorts], "hot": [b""]}))
+    rows = sent.drop_columns(["shard", "block"]).to_pylist()
+    n = sum(len(suffix_dedup._unpack(r["sizes"], np.int32)) for r in rows)
+    assert n == len({d for *_, d in found.units(np.arange(len(found.start)), set(), 50)})
+    # As Spark compresses them; 67 bytes of text and 29 of numbers each.
+    assert sum(len(pa.compress(x, "lz4", asbytes=True)) for r in rows for x in r.values()) < 50 * n
+    least, beyond = (suffix_dedup._unpack(x, np.int64) for x in suffix_dedup._least_and_beyond(
+        [[-5, suffix_dedup.LAST], [7, 7]]))
+    assert least.tolist() == [-5, 7]
+    assert (least + beyond).tolist() == [suffix_dedup.LAST, 7]
+
+
 def test_token_counts(spark, odd, empty):
     tokenizers = pytest.importorskip("tokenizers")
     public = pytest.importorskip("public_tokenizers")
